@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from datetime import date
+
 from pyspark.sql import Column, functions as F
 
 from marketlane.functions.columns import as_column
@@ -40,11 +43,17 @@ def whole_seconds(ts: str | Column) -> Column:
     return F.make_timestamp_ntz(*parts, F.second(c).cast("decimal(8,6)"))
 
 
-def in_day(ts: str | Column, ds: str) -> Column:
-    """Half-open day range: unlike ``to_date(ts) = ds`` it reaches the scan."""
+def in_span(ts: str | Column, first: str, last: str | None = None) -> Column:
+    """Half-open range of whole days: unlike ``to_date(ts) = ds`` it reaches the scan."""
     c = as_column(ts)
-    start = F.lit(ds).cast("date")
-    return (c >= start.cast("timestamp_ntz")) & (c < F.date_add(start, 1).cast("timestamp_ntz"))
+    end = F.date_add(F.lit(last or first).cast("date"), 1)
+    return (c >= F.lit(first).cast("timestamp_ntz")) & (c < end.cast("timestamp_ntz"))
+
+
+def in_days(ts: str | Column, days: Sequence[str]) -> Column:
+    """Rows of the listed days, behind a range that reaches the scan."""
+    listed = [date.fromisoformat(d) for d in days]
+    return in_span(ts, min(days), max(days)) & F.to_date(as_column(ts)).isin(listed)
 
 
 def not_expired(ts: str | Column, as_of: str, months: int) -> Column:

@@ -80,6 +80,21 @@ def row_rule_report(table: str, rows: DataFrame, rules: TableRules) -> DataFrame
     )
 
 
+def enforce_rows(table: str, rows: DataFrame, rules: Mapping[str, TableRules] = CORE_RULES) -> DataFrame:
+    """The same rows; reading one that breaks a NOT NULL or CHECK rule fails the job.
+
+    Put in front of a write, so nothing of a bad slice is committed.
+    """
+    rule = rules[table]
+    broken = [(f"{c} is null", F.col(c).isNull()) for c in dict.fromkeys([*rule.unique[:1], *rule.not_null])]
+    broken += [(f"not ({text})", ~F.expr(text)) for text in rule.checks.values()]
+    verdict = F.lit(True)
+    for reason, bad in broken:
+        stop = F.raise_error(F.lit(f"{table}: {reason}")).cast("boolean")
+        verdict = F.when(F.coalesce(bad, F.lit(False)), stop).otherwise(verdict)
+    return rows.where(verdict)
+
+
 def unique_report(table: str, rows: DataFrame, column: str) -> DataFrame:
     """How many key values occur more than once."""
     groups = rows.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
@@ -156,11 +171,12 @@ def require_integrity(counts: DataFrame) -> None:
 
 def shortfalls(staged: DataFrame, manifest: DataFrame) -> DataFrame:
     """Gate 2: entities of a day that landed with fewer rows than announced."""
+    keys = ["source_date", "source_table"]
     landed = F.coalesce(F.col("rows_staging"), F.lit(0))
     return (
-        manifest.join(staged, ["source_date", "source_table"], "left")
+        manifest.join(staged.select(*keys, "rows_staging"), keys, "left")
         .where(landed < F.col("rows_manifest"))
-        .select("source_date", "source_table", landed.alias("rows_staging"), "rows_manifest")
+        .select(*keys, landed.alias("rows_staging"), "rows_manifest")
     )
 
 

@@ -43,6 +43,12 @@ def insert_if_absent(
     return not_in(first_per_key(incoming, [key], order_by), existing, key)
 
 
+def only_keys_of(known: DataFrame, rows: DataFrame, key: str, column: str | None = None) -> DataFrame:
+    """Cut a long list of known keys down to those that ``rows`` can ask for."""
+    asked = rows.select(F.col(column or key).alias(key)).distinct()
+    return known.join(asked, key, "left_semi")
+
+
 def not_in(incoming: DataFrame, existing: DataFrame, key: str) -> DataFrame:
     """Anti join whose big side is first cut down to the keys that come in.
 

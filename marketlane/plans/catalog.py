@@ -762,7 +762,7 @@ def _(w: Work) -> DataFrame:
     "SELECT order_id, created_at::VARCHAR AS created_at FROM f_orders WHERE created_at::DATE = DATE '1997-06-15'",
 )
 def _(w: Work) -> DataFrame:
-    day = facts.orders_fact(w.orders, w.users, w.order_items, ds="1997-06-15")
+    day = facts.orders_fact(w.orders, w.users, w.order_items, days=["1997-06-15"])
     return day.select("order_id", "created_at")
 
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from marketlane.functions.columns import flag
-from marketlane.functions.dates import in_day, whole_seconds
+from marketlane.functions.dates import in_days, whole_seconds
 from marketlane.schemas import NO_CATEGORY_ID, NO_CATEGORY_NAME
 
 
@@ -55,20 +57,20 @@ def products_dim(products: DataFrame, categories: DataFrame, fill_parent: bool =
     )
 
 
-def _slice(rows: DataFrame, ts: str, ds: str | None) -> DataFrame:
-    return rows.where(in_day(ts, ds)) if ds else rows
+def _slice(rows: DataFrame, ts: str, days: Sequence[str] | None) -> DataFrame:
+    return rows.where(in_days(ts, days)) if days else rows
 
 
 def orders_fact(
-    orders: DataFrame, users: DataFrame, order_items: DataFrame, ds: str | None = None
+    orders: DataFrame, users: DataFrame, order_items: DataFrame, days: Sequence[str] | None = None
 ) -> DataFrame:
-    """Orders with user attributes and item count, for one day or for all.
+    """Orders with user attributes and item count, for the listed days or for all.
 
-    Items are counted before the join; for one day only that day's orders are counted.
+    Items are counted before the join; for listed days only their orders are counted.
     """
-    day_orders = _slice(orders, "created_at", ds)
+    day_orders = _slice(orders, "created_at", days)
     items = order_items.select("order_id")
-    if ds:
+    if days:
         items = items.join(day_orders.select("order_id"), "order_id", "left_semi")
     counts = items.groupBy("order_id").agg(F.count("*").alias("cnt"))
     buyers = users.select("user_id", "acquisition_channel", "city", "age_group")
@@ -108,9 +110,9 @@ def order_items_fact(
     orders: DataFrame,
     products: DataFrame,
     categories: DataFrame,
-    ds: str | None = None,
+    days: Sequence[str] | None = None,
 ) -> DataFrame:
-    day_orders = _slice(orders, "created_at", ds).select(
+    day_orders = _slice(orders, "created_at", days).select(
         "order_id", "user_id", F.col("created_at").alias("order_created_at")
     )
     kinds = products.select("product_id", "category_id")
@@ -123,18 +125,18 @@ def order_items_fact(
     )
 
 
-def payments_fact(payments: DataFrame, ds: str | None = None) -> DataFrame:
+def payments_fact(payments: DataFrame, days: Sequence[str] | None = None) -> DataFrame:
     """Payments by the day they were processed, which may be after the order day."""
-    return _slice(payments, "processed_at", ds).select(
+    return _slice(payments, "processed_at", days).select(
         "payment_id", "order_id", "amount", "method", "status", "processed_at"
     )
 
 
-def events_fact(events: DataFrame) -> DataFrame:
+def events_fact(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Typed events as delivered, repeated deliveries included; times keep whole seconds."""
     return events.select(
         "user_id", "session_id", "product_id", "event_type",
-        whole_seconds("created_at").alias("created_at"),
+        whole_seconds("created_at").alias("created_at"), *keep,
     )
 
 

@@ -2,6 +2,7 @@
 
 A mart row is a partial aggregate.  Any number of partial rows per key may be
 stored (one per load, day or micro-batch); the ``*_merge`` readers collapse them.
+``by`` adds columns that keep partial rows apart, such as the fact slice.
 """
 
 from __future__ import annotations
@@ -18,11 +19,11 @@ def completed(orders: DataFrame) -> DataFrame:
     return orders.where(F.col("status") == COMPLETED)
 
 
-def daily_gmv(orders_fact: DataFrame) -> DataFrame:
+def daily_gmv(orders_fact: DataFrame, *by: str) -> DataFrame:
     """Completed orders per day: amount sum, order count, buyer sketch."""
     return (
         completed(orders_fact)
-        .groupBy(day("created_at").alias("day"))
+        .groupBy(day("created_at").alias("day"), *by)
         .agg(
             F.sum("total_amount").alias("gmv_state"),
             F.count("*").alias("orders_state"),
@@ -61,10 +62,10 @@ def daily_gmv_exact(orders_fact: DataFrame) -> DataFrame:
     )
 
 
-def category_revenue_daily(order_items_fact: DataFrame) -> DataFrame:
+def category_revenue_daily(order_items_fact: DataFrame, *by: str) -> DataFrame:
     """Revenue and items per day and category; orders of every status count."""
     return order_items_fact.groupBy(
-        day("order_created_at").alias("day"), "category_id", "category_name"
+        day("order_created_at").alias("day"), "category_id", "category_name", *by
     ).agg(
         F.sum("line_revenue").cast("decimal(18,2)").alias("revenue"),
         F.sum("quantity").alias("items_sold"),
@@ -86,8 +87,8 @@ def event_counters() -> list[Column]:
     ]
 
 
-def funnel_daily(events_fact: DataFrame) -> DataFrame:
-    return events_fact.groupBy(day("created_at").alias("day")).agg(*event_counters())
+def funnel_daily(events_fact: DataFrame, *by: str) -> DataFrame:
+    return events_fact.groupBy(day("created_at").alias("day"), *by).agg(*event_counters())
 
 
 def funnel_merge(counters: DataFrame) -> DataFrame:
@@ -96,8 +97,8 @@ def funnel_merge(counters: DataFrame) -> DataFrame:
     )
 
 
-def user_category_first_buy(order_items_fact: DataFrame) -> DataFrame:
-    return order_items_fact.groupBy("user_id", "category_id").agg(
+def user_category_first_buy(order_items_fact: DataFrame, *by: str) -> DataFrame:
+    return order_items_fact.groupBy("user_id", "category_id", *by).agg(
         F.min("order_created_at").alias("first_buy_state")
     )
 

@@ -43,7 +43,7 @@ def columns_of(layout: str) -> list[str]:
 
 
 CORE = {
-    "categories": ("category_id int, name string, parent_id int"),
+    "categories": "category_id int, name string, parent_id int",
     "users": (
         "user_id string, email string, full_name string, registration_date date,"
         " acquisition_channel string, city string, age_group string, is_active boolean"
@@ -113,6 +113,33 @@ FACT_TABLES = {
     ),
 }
 
+MARTS = {
+    "daily_gmv": "day date, gmv_state decimal(22,2), orders_state bigint, buyers_state binary",
+    "category_revenue_daily": (
+        "day date, category_id int, category_name string, revenue decimal(18,2), items_sold bigint"
+    ),
+    "funnel_daily": "day date, views bigint, carts bigint, purchases bigint",
+    "user_category_first_buy": "user_id string, category_id int, first_buy_state timestamp_ntz",
+}
+
+
+def stored_layouts() -> dict[str, str]:
+    """Layout of every warehouse table, partition columns included."""
+    layouts = {}
+    for name, layout in CORE.items():
+        kind = name if name in FACTS else f"{name}_deliveries"
+        layouts[f"core/{kind}"] = f"{layout}, _source_date date"
+    for name, layout in FACT_TABLES.items():
+        tail = "" if name.endswith("_dim") else ", month int, ds date"
+        layouts[f"facts/{name}"] = layout + tail
+    for name, layout in MARTS.items():
+        layouts[f"marts/{name}"] = f"{layout}, ds date"
+    layouts["dq/rejected_rows"] = REJECTED_ROWS
+    layouts["dq/load_audit"] = f"{LOAD_AUDIT}, ds date"
+    layouts["ops/etl_log"] = ETL_LOG
+    return layouts
+
+
 # Event-time column and storage sort key of each fact.
 FACT_DAY_COLUMN = {
     "orders_fact": "created_at",

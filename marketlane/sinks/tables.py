@@ -13,14 +13,22 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from marketlane.functions.dates import yyyymm
 from marketlane.operators.quality import union_all
-from marketlane.schemas import DIMENSIONS, ETL_LOG, FACT_DAY_COLUMN, FACT_SORT_KEY, FACTS, LANDING_COLUMNS
+from marketlane.schemas import ETL_LOG, FACT_DAY_COLUMN, FACT_SORT_KEY, LANDING_COLUMNS
 from marketlane.sources import storage
+from marketlane.sources.landing import COUNTED, unpivot_counts
 
 
 def append(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").parquet(path)
 
 
+def append_counted(rows: DataFrame, path: str) -> int:
+    """Append and return the number of rows, counted by the write itself."""
+    seen = Observation()
+    append(rows.observe(seen, F.count(F.lit(1)).alias("rows")), path)
+    return seen.get["rows"]
+
+
 def overwrite(rows: DataFrame, path: str) -> None:
     """Full replace of a table."""
     rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
@@ -66,15 +74,18 @@ def drop_slice(spark: SparkSession, path: str, day: str, value: str) -> None:
             storage.delete(spark, f"{parent}/{name}")
 
 
-def write_fact(rows: DataFrame, path: str, table: str, days: Sequence[str] | None = None) -> int:
+def write_fact(
+    rows: DataFrame, path: str, table: str, days: Sequence[str] | None = None, day: str | None = None
+) -> int:
     """Month and day partitions, sorted inside, replaced day by day.
 
+    The slice day is the event day, or column ``day`` where deliveries decide.
     The rebalance hint lets adaptive execution split a busy day over several
     tasks and merge quiet days into one.
     """
-    ts = FACT_DAY_COLUMN[table]
+    slice_day = F.to_date(day or FACT_DAY_COLUMN[table])
     laid_out = (
-        rows.withColumns({"month": yyyymm(ts), "ds": F.to_date(ts)})
+        rows.withColumns({"month": yyyymm(slice_day), "ds": slice_day})
         .hint("rebalance", "month", "ds")
         .sortWithinPartitions("month", "ds", *FACT_SORT_KEY[table])
     )
@@ -113,7 +124,7 @@ def write_landing(rows: DataFrame, root: str, entity: str, day) -> None:
 def manifest_counts(frames: dict[str, tuple[DataFrame, object]]) -> DataFrame:
     """Row counts per day, one column per entity."""
     slim = [f.select(F.to_date(day).alias("ds"), F.lit(e).alias("entity")) for e, (f, day) in frames.items()]
-    order = [e for e in (*DIMENSIONS, *FACTS, "events") if e in frames]
+    order = [e for e in COUNTED if e in frames]
     return union_all(slim).groupBy("ds").pivot("entity", order).agg(F.count("entity"))
 
 
@@ -131,14 +142,9 @@ def write_manifests(counts: DataFrame, root: str) -> None:
 
 def read_written_manifests(spark: SparkSession, root: str) -> DataFrame:
     """Counts written by ``write_manifests`` as ``source_date, source_table, rows_manifest``."""
-    entities = [*DIMENSIONS, *FACTS, "events"]
-    schema = ", ".join(f"{e} bigint" for e in entities) + ", ds date"
+    schema = ", ".join(f"{e} bigint" for e in COUNTED) + ", ds date"
     wide = spark.read.schema(schema).json(f"{root}/manifest")
-    pairs = ", ".join(f"'{e}', {e}" for e in entities)
-    return wide.select(
-        F.col("ds").alias("source_date"),
-        F.expr(f"stack({len(entities)}, {pairs}) as (source_table, rows_manifest)"),
-    ).where(F.col("rows_manifest").isNotNull())
+    return unpivot_counts(wide.withColumnRenamed("ds", "source_date"))
 
 
 def write_monolith(rows: DataFrame, root: str, entity: str, first: bool) -> None:

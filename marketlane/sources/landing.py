@@ -16,6 +16,7 @@ from marketlane.operators.quality import union_all
 from marketlane.schemas import DIMENSIONS, FACTS, LANDING_COLUMNS, landing_schema
 from marketlane.sources import storage
 
+COUNTED = (*DIMENSIONS, *FACTS, "events")
 DAY_PATTERN = r"(\d{4}-\d{2}-\d{2})/[^/]+$"
 # Quotes inside quoted fields are doubled.
 CSV_OPTIONS = {"header": "true", "escape": '"', "encoding": "UTF-8"}
@@ -57,25 +58,23 @@ def read_entity(
     entity: str,
     loaded_at: datetime,
     batch_id: str,
-    ds: str | None = None,
+    days: Sequence[str],
 ) -> DataFrame:
-    """Landed rows of one entity for one day, or for all days when ``ds`` is None.
+    """Landed rows of one entity for the given days; only their files are read.
 
     A file that is missing inside a day counts as no rows.  Categories have no
-    day: the root file is re-read each run and stamped with the run's day.
+    day: the root file is re-read each run and stamped with the run's first day.
     """
     if entity == "categories":
-        path = f"{root}/categories.csv"
-        day = F.lit(ds).cast("date")
+        paths = [f"{root}/categories.csv"]
+        day = F.lit(min(days)).cast("date")
     else:
-        path = f"{root}/{ds or '*'}/{entity}.csv"
-        day = F.lit(ds).cast("date") if ds else F.to_date(
-            F.regexp_extract(F.col("_metadata.file_path"), DAY_PATTERN, 1)
-        )
-    if not storage.matches(spark, path):
-        empty = empty_landing(spark, entity)
-        return stamp(empty, F.lit(ds).cast("date"), loaded_at, batch_id)
-    return stamp(read_csv(spark, entity, path), day, loaded_at, batch_id)
+        paths = [f"{root}/{ds}/{entity}.csv" for ds in days]
+        day = F.to_date(F.regexp_extract(F.col("_metadata.file_path"), DAY_PATTERN, 1))
+    present = [p for p in paths if storage.exists(spark, p)]
+    if not present:
+        return stamp(empty_landing(spark, entity), F.lit(None).cast("date"), loaded_at, batch_id)
+    return stamp(read_csv(spark, entity, present), day, loaded_at, batch_id)
 
 
 def read_entity_layout(
@@ -108,21 +107,24 @@ def read_typed_events(
     return reader.options(**(options or {})).csv(paths)
 
 
-def read_manifest(spark: SparkSession, root: str, ds: str | None = None) -> DataFrame:
+def read_manifest(spark: SparkSession, root: str, days: Sequence[str]) -> DataFrame:
     """Announced row counts as ``source_date, source_table, rows_manifest``."""
-    path = f"{root}/{ds or '*'}/manifest.json"
-    entities = [*DIMENSIONS, *FACTS, "events"]
-    schema = T.StructType([T.StructField(e, T.LongType()) for e in entities])
-    if not storage.matches(spark, path):
+    paths = [f"{root}/{ds}/manifest.json" for ds in days]
+    present = [p for p in paths if storage.exists(spark, p)]
+    if not present:
         return spark.createDataFrame([], "source_date date, source_table string, rows_manifest bigint")
-    wide = spark.read.schema(schema).option("multiLine", "true").json(path)
+    schema = T.StructType([T.StructField(e, T.LongType()) for e in COUNTED])
+    wide = spark.read.schema(schema).option("multiLine", "true").json(present)
     day = F.to_date(F.regexp_extract(F.col("_metadata.file_path"), DAY_PATTERN, 1))
-    pairs = ", ".join(f"'{e}', {e}" for e in entities)
-    return (
-        wide.select(day.alias("source_date"), *entities)
-        .select("source_date", F.expr(f"stack({len(entities)}, {pairs}) as (source_table, rows_manifest)"))
-        .where(F.col("rows_manifest").isNotNull())
-    )
+    return unpivot_counts(wide.select(day.alias("source_date"), *COUNTED))
+
+
+def unpivot_counts(wide: DataFrame) -> DataFrame:
+    """One line per entity that a manifest mentions."""
+    pairs = ", ".join(f"'{e}', {e}" for e in COUNTED)
+    return wide.select(
+        "source_date", F.expr(f"stack({len(COUNTED)}, {pairs}) as (source_table, rows_manifest)")
+    ).where(F.col("rows_manifest").isNotNull())
 
 
 def landed_counts(landed: dict[str, DataFrame]) -> DataFrame:
