@@ -246,25 +246,33 @@ def load_facts(
     """Replace the fact slices of the given days, refresh their marts and log the run."""
     require_core(wh)
     days = sorted(days)
-    log_day = days[-1]
-    order_days, payment_days = _affected_days(wh, days)
+    with sinks.RunLog(spark, wh.path("ops/etl_log"), "core_to_facts", days[-1], run_time) as log:
+        order_days = _write_facts(spark, raw, wh, days, run_time, log)
+        refresh_marts(wh, sorted({*days, *order_days}))
+        log.add("run_complete", "ALL", 0, 0.0)
 
-    def log(task: str, table: str, rows: int, started: float) -> None:
-        seconds = time.monotonic() - started
-        sinks.log_run(spark, wh.path("ops/etl_log"), "core_to_facts", task, log_day, table, rows, seconds, run_time)
 
-    # Only rows that arrived in these days can have a new version.
-    stamp = F.lit(run_time.isoformat(sep=" ")).cast("timestamp_ntz").alias("updated_at")
+def _write_facts(
+    spark: SparkSession, raw: str, wh: Warehouse, days: Sequence[str], run_time: datetime, log: sinks.RunLog
+) -> list[str]:
+    order_days, payment_days = _affected_days(wh, days)
     users, products, categories = wh.users(), wh.products(), wh.categories()
-    dims = {"users_dim": ("users", users), "products_dim": ("products", products)}
-    for table, (entity, rows) in dims.items():
+    orders, items, payments = (wh.read(f"core/{t}") for t in FACTS)
+    stamp = F.lit(run_time.isoformat(sep=" ")).cast("timestamp_ntz").alias("updated_at")
+
+    def changed(entity: str, rows: DataFrame) -> DataFrame:
+        # Only rows that arrived in these days can have a new version.
+        return only_keys_of(rows, _in_days(wh.deliveries(entity), days), f"{entity[:-1]}_id")
+
+    dims = {
+        "users_dim": facts.users_dim(changed("users", users)),
+        "products_dim": facts.products_dim(changed("products", products), categories),
+    }
+    for table, rows in dims.items():
         started = time.monotonic()
-        changed = only_keys_of(rows, _in_days(wh.deliveries(entity), days), f"{entity[:-1]}_id")
-        flat = facts.users_dim(changed) if entity == "users" else facts.products_dim(changed, categories)
-        path = wh.path(f"facts/{table}")
-        log("load_dims", table, sinks.append_counted(flat.select("*", stamp), path), started)
+        written = sinks.append_counted(rows.select("*", stamp), wh.path(f"facts/{table}"))
+        log.add("load_dims", table, written, time.monotonic() - started)
 
-    orders, items, payments = (wh.read(f"core/{t}") for t in FACTS)
     plan = {
         "orders_fact": (facts.orders_fact(orders, users, items, order_days), order_days),
         "order_items_fact": (
@@ -275,19 +283,19 @@ def load_facts(
     for table, (rows, slices) in plan.items():
         started = time.monotonic()
         written = sinks.write_fact(rows, wh.path(f"facts/{table}"), table, slices)
-        log("load_facts", table, written, started)
+        log.add("load_facts", table, written, time.monotonic() - started)
 
-    started = time.monotonic()
-    files = [p for p in (f"{raw}/{ds}/events.csv" for ds in days) if storage.exists(spark, p)]
-    if files:
+    # Events skip core; a day without an event file leaves the event fact alone.
+    have = [ds for ds in days if storage.exists(spark, f"{raw}/{ds}/events.csv")]
+    if have:
+        started = time.monotonic()
         day = F.to_date(F.regexp_extract(F.col("_metadata.file_path"), landing.DAY_PATTERN, 1))
-        scanned = landing.read_typed_events(spark, files).withColumn("_source_date", day)
-        rows = facts.events_fact(scanned, keep=("_source_date",))
-        have = [p.split("/")[-2] for p in files]
-        written = sinks.write_fact(rows, wh.path("facts/events_fact"), "events_fact", have, day="_source_date")
-        log("load_events", "events_fact", written, started)
-    refresh_marts(wh, sorted({*days, *order_days}))
-    log("run_complete", "ALL", 0, time.monotonic())
+        scanned = landing.read_typed_events(spark, [f"{raw}/{ds}/events.csv" for ds in have])
+        rows = facts.events_fact(scanned.withColumn("_source_date", day), keep=("_source_date",))
+        path = wh.path("facts/events_fact")
+        written = sinks.write_fact(rows, path, "events_fact", have, day="_source_date")
+        log.add("load_events", "events_fact", written, time.monotonic() - started)
+    return order_days
 
 
 def _affected_days(wh: Warehouse, days: Sequence[str]) -> tuple[list[str], list[str]]:

@@ -92,13 +92,26 @@ def write_fact(
     return replace_slices(laid_out, path, ["month", "ds"], days)
 
 
-def log_run(
-    spark: SparkSession, path: str, dag: str, task: str, ds: str, table: str, rows: int,
-    seconds: float, ts: datetime, status: str = "success",
-) -> None:
-    """Append one operations record."""
-    record = (ts, dag, task, datetime.fromisoformat(ds).date(), table, int(rows), float(seconds), status)
-    append(spark.createDataFrame([record], ETL_LOG), path)
+class RunLog:
+    """Operations records of one run, appended in one write when the run ends, also a failed one."""
+
+    def __init__(self, spark: SparkSession, path: str, dag: str, ds: str, ts: datetime):
+        self.spark, self.path = spark, path
+        self._head = (ts, dag)
+        self._day = datetime.fromisoformat(ds).date()
+        self._records: list[tuple] = []
+
+    def add(self, task: str, table: str, rows: int, seconds: float, status: str = "success") -> None:
+        ts, dag = self._head
+        self._records.append((ts, dag, task, self._day, table, int(rows), float(seconds), status))
+
+    def __enter__(self) -> RunLog:
+        return self
+
+    def __exit__(self, kind, error, trace) -> None:
+        if kind is not None:
+            self.add("run_failed", "ALL", 0, 0.0, "failed")
+        append(self.spark.createDataFrame(self._records, ETL_LOG).coalesce(1), self.path)
 
 
 def upsert_audit(audit: DataFrame, path: str) -> int:
