@@ -36,7 +36,7 @@ HEADLINE = [
     "pl3_items_promoted",
     "pl4_payments_promoted",
     "pl8_load_audit",
-    "str2_stream_partial_marts",
+    "str1_ingest_events",
 ]
 
 

@@ -11,10 +11,11 @@ SAME_RUN = "same_run"    # another copy delivered by the same run
 LATER_RUN = "later_run"  # first copy of a later run: the key is already taken
 
 
-def total_order(rows: DataFrame, first: Sequence[str | Column]) -> list[Column]:
-    """``first`` followed by all columns, so that only equal rows can tie."""
-    head = [F.col(c) if isinstance(c, str) else c for c in first]
-    return head + [F.col(c) for c in rows.columns]
+def total_order(rows: DataFrame, key: Sequence[str], first: Sequence[str | Column]) -> list[Column]:
+    """``first``, then every other column outside the key, so that only equal rows can tie."""
+    named = [c for c in first if isinstance(c, str)]
+    rest = [c for c in rows.columns if c not in key and c not in named]
+    return [*first, *rest]
 
 
 def first_per_key(rows: DataFrame, key: Sequence[str], order_by: Sequence[str | Column]) -> DataFrame:
@@ -23,7 +24,7 @@ def first_per_key(rows: DataFrame, key: Sequence[str], order_by: Sequence[str |
     The ``= 1`` filter lets Spark prune every map task to one row per key
     before the shuffle, so a hot key never reaches a single task whole.
     """
-    w = Window.partitionBy(*key).orderBy(*total_order(rows, order_by))
+    w = Window.partitionBy(*key).orderBy(*total_order(rows, key, order_by))
     return rows.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
@@ -47,7 +48,7 @@ def mark_copies(
     best row of each salt meets its rivals: at most ``salts`` rows per key and
     run.  The other rows stay in their own salted group.
     """
-    ordered = total_order(rows, order_by)
+    ordered = total_order(rows, [*key, *run], order_by)
     salted = rows.withColumns(
         {
             "_eligible": F.coalesce(eligible, F.lit(False)),

@@ -1,20 +1,73 @@
-"""Exact percentiles of values with few distinct levels."""
+"""Exact percentiles without sorting or gathering all values."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
+# Decimal digits settled per pass: a pass ranks at most 10^4 groups per wanted rank.
+DIGITS = 4
 
-def percentiles(rows: DataFrame, value: str, points: Mapping[str, float]) -> DataFrame:
-    """One row of exact percentiles, computed from the value histogram.
 
-    Rows are counted per value across the cluster first, so the last task sees
-    one entry per distinct value instead of one per row.
+def percentiles(
+    rows: DataFrame, value: str, points: Mapping[str, float], scale: int = 0, digits: int = 12
+) -> DataFrame:
+    """One row of interpolated percentiles of non-negative numbers, and their maximum.
+
+    ``scale`` is the number of decimal places and ``digits`` the total number of
+    digits.  Values are counted per distinct value first.  The wanted ranks are
+    then found digit group by digit group: each pass counts by the next four
+    digits and keeps the one group that holds the rank, so no task ever sees
+    more than 10^4 groups per rank, however many values there are.
     """
-    histogram = rows.groupBy(value).agg(F.count("*").alias("_n"))
-    return histogram.agg(
-        *[F.percentile(value, F.lit(p), F.col("_n")).alias(name) for name, p in points.items()],
-        F.max(value).alias("max_value"),
+    unit = F.lit(10**scale)
+    histogram = (
+        rows.where(F.col(value).isNotNull())
+        .groupBy((F.col(value) * unit).cast("bigint").alias("_v"))
+        .agg(F.count("*").alias("_n"))
+    )
+    position = {name: F.lit(float(p)) * (F.col("_total") - 1) for name, p in points.items()}
+    wanted = [
+        F.struct(
+            F.lit(name).alias("name"), F.lit(side).alias("side"),
+            f(position[name]).cast("bigint").alias("rank"), position[name].alias("position"),
+        )
+        for name in points
+        for side, f in (("low", F.floor), ("high", F.ceil))
+    ]
+    targets = (
+        histogram.agg(F.sum("_n").alias("_total"), F.max("_v").alias("_max"))
+        .select("_max", F.explode(F.array(*wanted)).alias("w"))
+        .select("_max", "w.*", F.lit(0).cast("bigint").alias("_prefix"))
+    )
+    passes = -(-digits // DIGITS)
+    for left in reversed(range(passes)):
+        width = 10 ** (DIGITS * left)
+        outer = width * 10**DIGITS
+        group = F.expr(f"_v div {width}")
+        # Few target rows: ranks of interest, each with the digits found so far.
+        candidates = (
+            histogram.withColumn("_prefix", F.expr(f"_v div {outer}"))
+            .join(targets, "_prefix")
+            .groupBy("name", "side", "rank", "position", "_max", group.alias("_group"))
+            .agg(F.sum("_n").alias("_n"))
+        )
+        running = Window.partitionBy("name", "side").orderBy("_group").rowsBetween(
+            Window.unboundedPreceding, Window.currentRow
+        )
+        targets = (
+            candidates.withColumn("_upto", F.sum("_n").over(running))
+            .where((F.col("_upto") > F.col("rank")) & (F.col("_upto") - F.col("_n") <= F.col("rank")))
+            .select(
+                "name", "side", (F.col("rank") - (F.col("_upto") - F.col("_n"))).alias("rank"),
+                "position", "_max", F.col("_group").alias("_prefix"),
+            )
+        )
+    share = F.col("position") - F.floor("position")
+    weight = F.when(F.col("side") == "low", 1 - share).otherwise(share)
+    found = targets.withColumn("_part", F.col("_prefix") / unit * weight)
+    return found.agg(
+        *[F.sum(F.when(F.col("name") == name, F.col("_part"))).alias(name) for name in points],
+        (F.max("_max") / unit).alias("max_value"),
     )

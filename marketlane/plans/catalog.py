@@ -137,6 +137,17 @@ class Work(Shop):
         self.judged_payments = self.keep("judged_payments", self.judged_payments)
         return self
 
+    def streamed(self, name: str) -> Work:
+        """Same tables with one of them as a file stream."""
+        stream = (
+            self.spark.readStream.schema(self.table(name).schema)
+            .option("pathGlobFilter", f"{name}.parquet")
+            .parquet(self.folder)
+        )
+        other = Work(self.spark, self.folder)
+        other.table = lambda wanted: stream if wanted == name else self.table(wanted)
+        return other
+
     def folder_for(self, label: str) -> str:
         return new_folder(self.spark, label)
 
@@ -1077,6 +1088,26 @@ def _(w: Work) -> DataFrame:
     return quality.constraint_report({n: getattr(w, n) for n in names})
 
 
+@query(
+    "jn4_items_per_order",
+    """SELECT o.order_id, coalesce(n, 0)::BIGINT AS items_count FROM c_orders o
+       LEFT JOIN (SELECT order_id, count(*) AS n FROM c_order_items GROUP BY 1) i ON i.order_id = o.order_id""",
+)
+def _(w: Work) -> DataFrame:
+    return w.orders_fact.select("order_id", "items_count")
+
+
+@query(
+    "con6_omitted_columns",
+    """SELECT order_id, 0.0::DOUBLE AS discount_amount, NULL::VARCHAR AS promo_code FROM s_orders""",
+)
+def _(w: Work) -> DataFrame:
+    """Orders delivered without discount and promotion columns."""
+    short = w.staged("orders").drop("discount_amount", "promo_code")
+    typed = promote.type_orders(promote.fill_omitted(short, "orders"), uuid_ids=False)
+    return typed.select("order_id", "discount_amount", "promo_code")
+
+
 # ---- sources and sinks ------------------------------------------------------------------
 
 
@@ -1155,6 +1186,35 @@ def _(w: Work) -> DataFrame:
     return w.spark.read.parquet(path).groupBy("ds", "event_type").agg(F.count("*").alias("events"))
 
 
+@query(
+    "snk6_dim_version_append",
+    """SELECT user_id, email, is_active::BOOLEAN::BIGINT AS is_active FROM d_users""",
+)
+def _(w: Work) -> DataFrame:
+    """A dimension appended as it stood before and after the repeated deliveries."""
+    path = w.folder_for("users_dim")
+    first_only = w.staged("users").where(~F.col("email").startswith("new-"))
+    for n, staged in enumerate([first_only, w.staged("users")]):
+        users = promote.promote_users(promote.type_users(staged, uuid_ids=False))
+        version = F.lit(f"2024-01-0{n + 1}").cast("timestamp_ntz").alias("updated_at")
+        sinks.append(facts.users_dim(users).select("*", version), path)
+    current = copies.latest_version(w.spark.read.parquet(path), ["user_id"], "updated_at")
+    return current.select("user_id", "email", "is_active")
+
+
+@query(
+    "snk13_daily_dataset",
+    """SELECT registration_date::VARCHAR AS registered, count(*) AS users FROM c_users GROUP BY 1""",
+)
+def _(w: Work) -> DataFrame:
+    """Users written to the landing zone by registration month and read back with their slice."""
+    root = w.folder_for("landing")
+    sinks.write_landing(w.users, root, "users", F.trunc("registration_date", "MM"))
+    landed = landing.read_entity_layout(w.spark, root, "users", RUN_TIME, "batch-1")
+    same_slice = F.trunc(F.col("registration_date").cast("date"), "MM") == F.col("_source_date")
+    return landed.where(same_slice).groupBy(F.col("registration_date").alias("registered")).agg(F.count("*").alias("users"))
+
+
 @query("snk8_audit_upsert", AUDIT_SQL)
 def _(w: Work) -> DataFrame:
     """The audit is written twice; the second write replaces its lines."""
@@ -1180,19 +1240,51 @@ def _(w: Work) -> DataFrame:
 # ---- incremental and streaming -------------------------------------------------------------
 
 
-@query("str1_stream_funnel_daily", "SELECT day::VARCHAR AS day, views, carts, purchases FROM m_funnel")
+@query("str1_stream_funnel_totals", "SELECT day::VARCHAR AS day, views, carts, purchases FROM m_funnel")
 def _(w: Work) -> DataFrame:
+    """Running totals per day in stream state, changed days replaced in the mart."""
     root = w.folder_for("stream")
-    incremental.run_funnel_stream(_event_stream(w), f"{root}/mart", f"{root}/checkpoint")
+    events = facts.events_fact(w.streamed("events").raw_events)
+    incremental.run_funnel_stream(events, f"{root}/mart", f"{root}/checkpoint")
     return w.spark.read.parquet(f"{root}/mart").select("day", "views", "carts", "purchases")
 
 
-@query("str2_stream_partial_marts", "SELECT day::VARCHAR AS day, views, carts, purchases FROM m_funnel")
-def _(w: Work) -> DataFrame:
-    """Events ingested batch by batch into the fact, marts kept as per-batch partial rows."""
+def _ingest(w: Work, table: str, rows: DataFrame) -> str:
     root = w.folder_for("ingest")
-    incremental.run_event_ingest(_event_stream(w), f"{root}/fact", f"{root}/mart", f"{root}/checkpoint")
-    return marts.funnel_merge(w.spark.read.parquet(f"{root}/mart"))
+    incremental.run_fact_ingest(rows, table, root, f"{root}/checkpoint")
+    return root
+
+
+@query("str1_ingest_events", "SELECT day::VARCHAR AS day, views, carts, purchases FROM m_funnel")
+def _(w: Work) -> DataFrame:
+    root = _ingest(w, "events_fact", facts.events_fact(w.streamed("events").raw_events))
+    return marts.funnel_merge(w.spark.read.parquet(f"{root}/funnel_daily"))
+
+
+@query("str1_ingest_orders", "SELECT day::VARCHAR AS day, gmv::DOUBLE AS gmv, orders FROM m_gmv")
+def _(w: Work) -> DataFrame:
+    rows = facts.orders_fact(w.streamed("orders").orders, w.users, w.order_items)
+    root = _ingest(w, "orders_fact", rows)
+    return marts.daily_gmv_merge(w.spark.read.parquet(f"{root}/daily_gmv")).drop("buyers")
+
+
+@query(
+    "str1_ingest_items",
+    """SELECT c.day::VARCHAR AS day, c.category_id::BIGINT AS category_id, c.revenue::DOUBLE AS revenue,
+              count(f.user_id) AS first_buyers
+       FROM m_category c LEFT JOIN (SELECT user_id, category_id, min(order_created_at)::DATE AS day FROM f_items GROUP BY 1, 2) f
+         ON f.category_id = c.category_id AND f.day = c.day GROUP BY 1, 2, 3""",
+)
+def _(w: Work) -> DataFrame:
+    """Both item marts of one ingest: revenue and first buyers per day and category."""
+    rows = facts.order_items_fact(w.streamed("lineitem").order_items, w.orders, w.products, w.categories)
+    root = _ingest(w, "order_items_fact", rows)
+    revenue = marts.category_revenue_merge(w.spark.read.parquet(f"{root}/category_revenue_daily"))
+    first = marts.first_buy_merge(w.spark.read.parquet(f"{root}/user_category_first_buy"))
+    buyers = first.groupBy(F.to_date("first_buy").alias("day"), "category_id").agg(F.count("*").alias("n"))
+    return revenue.join(buyers, ["day", "category_id"], "left").select(
+        "day", "category_id", "revenue", F.coalesce("n", F.lit(0)).alias("first_buyers")
+    )
 
 
 @query(
@@ -1201,16 +1293,3 @@ def _(w: Work) -> DataFrame:
 )
 def _(w: Work) -> DataFrame:
     return facts.without_repeats(w.events_fact.unionByName(w.events_fact))
-
-
-def _event_stream(w: Work) -> DataFrame:
-    """The events table as a file stream in the shape of the event fact."""
-    schema = w.table("events").schema
-    stream = (
-        w.spark.readStream.schema(schema)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(w.folder)
-    )
-    source = Work(w.spark, w.folder)
-    source.table = lambda name: stream if name == "events" else Shop.table(source, name)
-    return facts.events_fact(source.raw_events)

@@ -46,6 +46,21 @@ class Promotion:
     rejected: DataFrame
 
 
+# Core defaults; they apply to a column the delivery leaves out, not to a given NULL.
+DEFAULTS = {
+    "users": {"is_active": "true"},
+    "products": {"is_available": "true"},
+    "orders": {"discount_amount": "0"},
+}
+
+
+def fill_omitted(staged: DataFrame, entity: str) -> DataFrame:
+    """Landing rows with every column of the entity, defaulted where it was left out."""
+    defaults = DEFAULTS.get(entity, {})
+    missing = [c for c in LANDING_COLUMNS[entity] if c not in staged.columns]
+    return staged.withColumns({c: F.lit(defaults.get(c)).cast("string") for c in missing})
+
+
 def _id(column: str, uuid_ids: bool) -> Column:
     return (canonical_uuid(column) if uuid_ids else F.col(column)).alias(column)
 

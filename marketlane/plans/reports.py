@@ -186,7 +186,8 @@ def payment_status_check(orders: DataFrame, payments: DataFrame) -> DataFrame:
 def orders_per_buyer(orders: DataFrame) -> DataFrame:
     """Median, 99th percentile and maximum of orders per buyer."""
     per_buyer = orders.groupBy("user_id").agg(F.count("*").alias("n_orders"))
-    return percentiles(per_buyer, "n_orders", {"median": 0.5, "p99": 0.99})
+    found = percentiles(per_buyer, "n_orders", {"median": 0.5, "p99": 0.99})
+    return found.withColumn("max_value", F.col("max_value").cast("bigint"))
 
 
 def orders_per_month(orders: DataFrame) -> DataFrame:
@@ -194,7 +195,7 @@ def orders_per_month(orders: DataFrame) -> DataFrame:
 
 
 def median_price(products: DataFrame) -> DataFrame:
-    return percentiles(products.where("price IS NOT NULL"), "price", {"median_price": 0.5})
+    return percentiles(products, "price", {"median_price": 0.5}, scale=2)
 
 
 def event_totals(events_fact: DataFrame) -> DataFrame:

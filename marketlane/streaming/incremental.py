@@ -1,9 +1,10 @@
 """Mart maintenance as rows arrive.
 
 Two forms.  ``run_funnel_stream`` keeps running totals per day in stream state
-and replaces the days that changed.  ``run_event_ingest`` keeps no state: each
-micro-batch adds partial mart rows under its own batch number, and readers sum
-them.  Neither drops late rows: state is one row per day, so no watermark is needed.
+and replaces the days that changed.  ``run_fact_ingest`` keeps no state: each
+micro-batch adds partial mart rows under its own batch number, and readers
+merge them.  Neither drops late rows: state is one row per day, so no watermark
+is needed.
 """
 
 from __future__ import annotations
@@ -11,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from marketlane.functions.dates import yyyymm
-from marketlane.plans.marts import event_counters, funnel_daily
+from marketlane.plans import marts
+from marketlane.schemas import FACT_DAY_COLUMN, FACT_SORT_KEY, FACT_TABLES
 from marketlane.sinks.tables import replace_slices
 
 
@@ -22,7 +24,7 @@ def _drain(writer, checkpoint: str) -> None:
 
 def funnel_totals(events: DataFrame) -> DataFrame:
     """Running counters per day of a stream of events."""
-    return events.groupBy(F.to_date("created_at").alias("day")).agg(*event_counters())
+    return events.groupBy(F.to_date("created_at").alias("day")).agg(*marts.event_counters())
 
 
 def run_funnel_stream(events: DataFrame, mart: str, checkpoint: str) -> None:
@@ -34,18 +36,41 @@ def run_funnel_stream(events: DataFrame, mart: str, checkpoint: str) -> None:
     _drain(writer, checkpoint)
 
 
-def run_event_ingest(events: DataFrame, fact: str, mart: str, checkpoint: str) -> None:
-    """Fact and mart partitions are named by the batch: a retried batch overwrites its own."""
+# Marts that an insert into a fact feeds.
+MARTS_OF = {
+    "orders_fact": {"daily_gmv": marts.daily_gmv},
+    "order_items_fact": {
+        "category_revenue_daily": marts.category_revenue_daily,
+        "user_category_first_buy": marts.user_category_first_buy,
+    },
+    "events_fact": {"funnel_daily": marts.funnel_daily},
+}
+
+
+def run_fact_ingest(rows: DataFrame, table: str, root: str, checkpoint: str) -> None:
+    """Append a stream of fact rows and the partial rows of its marts below ``root``.
+
+    Partitions are named by the batch, so a retried batch overwrites its own.
+    Marts are computed from the written slice, not from the source again.
+    """
+    spark = rows.sparkSession
+    ts = FACT_DAY_COLUMN[table]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        tagged = batch.withColumns(
-            {"month": yyyymm("created_at"), "ds": F.to_date("created_at"), "batch": F.lit(batch_id)}
+        laid_out = (
+            batch.withColumns({"batch": F.lit(batch_id), "month": yyyymm(ts)})
+            .hint("rebalance", "month")
+            .sortWithinPartitions("month", *FACT_SORT_KEY[table])
         )
-        laid_out = tagged.hint("rebalance", "month", "ds").sortWithinPartitions("month", "ds", "created_at")
-        replace_slices(laid_out, fact, ["month", "ds", "batch"])
-        replace_slices(funnel_daily(batch).withColumn("batch", F.lit(batch_id)), mart, ["batch"])
-
-    _drain(events.writeStream.foreachBatch(write), checkpoint)
+        fact = f"{root}/{table}"
+        replace_slices(laid_out, fact, ["batch", "month"])
+        layout = f"{FACT_TABLES[table]}, batch bigint, month int"
+        written = spark.read.schema(layout).parquet(fact).where(F.col("batch") == batch_id)
+        for mart, build in MARTS_OF[table].items():
+            partial = build(written).withColumn("batch", F.lit(batch_id))
+            replace_slices(partial, f"{root}/{mart}", ["batch"])
+
+    _drain(rows.writeStream.foreachBatch(write), checkpoint)
 
 
 def dedup_stream(events: DataFrame, delay: str) -> DataFrame:

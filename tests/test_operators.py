@@ -143,10 +143,17 @@ def test_upsert_takes_null_from_latest(spark):
     assert got == [("1", "a", None, "d1"), ("2", "c", 3.0, "d1")]
 
 
-def test_percentiles_are_exact(spark):
-    df = spark.createDataFrame([(v,) for v in [1, 1, 2, 3, 10]], "v int")
-    row = percentiles.percentiles(df, "v", {"median": 0.5, "p75": 0.75}).first()
-    assert (row.median, row.p75, row.max_value) == (2.0, 3.0, 10)
+@pytest.mark.parametrize("scale, top", [(0, 30), (0, 10**11), (2, 5_000)])
+def test_percentiles_are_exact(spark, scale, top):
+    rng = random.Random(top)
+    values = [rng.randrange(top) for _ in range(501)] + [top] * 100
+    df = spark.createDataFrame([(v,) for v in values], "c bigint").select((F.col("c") / F.lit(10**scale)).cast(f"decimal(14,{scale})").alias("v"))
+    points = {"lowest": 0.0, "median": 0.5, "p73": 0.73, "highest": 1.0}
+    got = percentiles.percentiles(df, "v", points, scale=scale).first()
+    want = df.agg(*[F.percentile("v", F.lit(p)).alias(n) for n, p in points.items()]).first()
+    assert got.max_value == top / 10**scale
+    for name in points:
+        assert got[name] == pytest.approx(want[name], rel=1e-12)
 
 
 def test_sketch_estimates_stay_within_error(spark):

@@ -40,14 +40,15 @@ def test_running_totals_survive_restart_and_keep_late_rows(spark, tmp_path):
 
 
 def test_ingest_by_batch_equals_one_batch(spark, tmp_path):
-    src, fact, mart, state = (str(tmp_path / n) for n in ("src", "fact", "mart", "state"))
+    src, root, state = (str(tmp_path / n) for n in ("src", "root", "state"))
     for n, rows in enumerate(BATCHES):
         make_batch(spark, src, n, rows)
-    incremental.run_event_ingest(stream(spark, src), fact, mart, state)
+    incremental.run_fact_ingest(stream(spark, src), "events_fact", root, state)
+    mart, fact = f"{root}/funnel_daily", f"{root}/events_fact"
     assert spark.read.parquet(mart).count() == 3
     assert totals(marts.funnel_merge(spark.read.parquet(mart))) == TOTALS
     assert totals(marts.funnel_daily(spark.read.parquet(fact))) == TOTALS
-    incremental.run_event_ingest(stream(spark, src), fact, mart, state)
+    incremental.run_fact_ingest(stream(spark, src), "events_fact", root, state)
     assert spark.read.parquet(fact).count() == 5
 
 
