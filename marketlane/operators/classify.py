@@ -21,6 +21,15 @@ def first_seen(rows: DataFrame, key: str, arrival: str = "_source_date") -> Data
     return rows.groupBy(key).agg(F.min(arrival).alias("first_ds"))
 
 
+def skew_ready(keyed: DataFrame) -> DataFrame:
+    """Side of a join that was folded by the join key, put behind an exchange of its own.
+
+    A grouped frame would feed the join without a further exchange, and adaptive
+    execution only splits a hot key of the other side when both sides have one.
+    """
+    return keyed.hint("rebalance")
+
+
 def lookup_key(
     rows: DataFrame, column: str, known: DataFrame, key: str, out: str, arrival: str | None
 ) -> DataFrame:
@@ -32,7 +41,7 @@ def lookup_key(
     """
     spread = F.concat(F.lit("\u0000"), F.spark_partition_id().cast("string"))
     left = rows.withColumn("_probe", F.coalesce(F.col(column), spread))
-    right = known.select(F.col(key).alias("_key"), F.col("first_ds").alias("_first_ds"))
+    right = skew_ready(known.select(F.col(key).alias("_key"), F.col("first_ds").alias("_first_ds")))
     joined = left.join(right, F.col("_probe") == F.col("_key"), "left")
     found = F.col("_key").isNotNull()
     if arrival:

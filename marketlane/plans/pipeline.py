@@ -15,11 +15,13 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from marketlane.functions.dates import not_expired
 from marketlane.operators import quality
+from marketlane.operators.classify import skew_ready
 from marketlane.operators.copies import latest_version
 from marketlane.operators.upsert import only_keys_of
 from marketlane.plans import facts, marts, promote
-from marketlane.schemas import DIMENSIONS, FACTS, LOAD_AUDIT, columns_of, stored_layouts
+from marketlane.schemas import DIMENSIONS, EVENT_RETENTION_MONTHS, FACTS, LOAD_AUDIT, columns_of, stored_layouts
 from marketlane.sinks import tables as sinks
 from marketlane.sources import landing, storage
 
@@ -256,7 +258,7 @@ def _write_facts(
     spark: SparkSession, raw: str, wh: Warehouse, days: Sequence[str], run_time: datetime, log: sinks.RunLog
 ) -> list[str]:
     order_days, payment_days = _affected_days(wh, days)
-    users, products, categories = wh.users(), wh.products(), wh.categories()
+    users, products, categories = skew_ready(wh.users()), skew_ready(wh.products()), wh.categories()
     orders, items, payments = (wh.read(f"core/{t}") for t in FACTS)
     stamp = F.lit(run_time.isoformat(sep=" ")).cast("timestamp_ntz").alias("updated_at")
 
@@ -336,6 +338,29 @@ def refresh_marts(wh: Warehouse, days: Sequence[str]) -> None:
     refresh("funnel_daily", "events_fact", lambda r: marts.funnel_daily(r, "ds"))
 
 
+def live_events(wh: Warehouse, as_of: str) -> DataFrame:
+    """Events that retention still keeps on the given day."""
+    return wh.read("facts/events_fact").where(not_expired("created_at", as_of, EVENT_RETENTION_MONTHS))
+
+
+def expire_events(wh: Warehouse, as_of: str) -> list[str]:
+    """Drop the month partitions whose every event is past retention; returns their names.
+
+    Partitions follow the delivery day and events do not postdate it, so a month
+    can go once retention has passed its last day.
+    """
+    limit = datetime.fromisoformat(as_of)
+    last_kept = limit.year * 12 + limit.month - 1 - EVENT_RETENTION_MONTHS
+    dropped = []
+    for name in storage.children(wh.spark, wh.path("facts/events_fact")):
+        if name.startswith("month="):
+            yyyymm = int(name.removeprefix("month="))
+            if yyyymm // 100 * 12 + yyyymm % 100 - 1 < last_kept:
+                storage.delete(wh.spark, wh.path(f"facts/events_fact/{name}"))
+                dropped.append(name)
+    return dropped
+
+
 def run_days(spark: SparkSession, raw: str, wh: Warehouse, days: Sequence[str], run_time: datetime, uuid_ids: bool = True) -> str:
     status = load_core(spark, raw, wh, days, run_time, uuid_ids)
     if status == "success":

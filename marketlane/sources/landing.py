@@ -94,17 +94,26 @@ def read_monolith(spark: SparkSession, root: str, entity: str) -> DataFrame:
     return read_csv(spark, entity, f"{root}/{entity}.csv")
 
 
-def read_typed_events(
-    spark: SparkSession, path: str | Sequence[str], options: dict[str, str] | None = None
-) -> DataFrame:
-    """Events go straight to the fact table, so their time is typed by the scan."""
-    fields = [
-        T.StructField(c, T.TimestampNTZType() if c == "created_at" else T.StringType())
-        for c in LANDING_COLUMNS["events"]
-    ]
+def _typed_events_schema() -> T.StructType:
+    return T.StructType(
+        [
+            T.StructField(c, T.TimestampNTZType() if c == "created_at" else T.StringType())
+            for c in LANDING_COLUMNS["events"]
+        ]
+    )
+
+
+def read_typed_events(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """Events go straight to the fact table, so their time is typed by the scan; a bad time fails."""
     paths = [path] if isinstance(path, str) else list(path)
-    reader = spark.read.schema(T.StructType(fields)).options(**CSV_OPTIONS).option("mode", "FAILFAST")
-    return reader.options(**(options or {})).csv(paths)
+    reader = spark.read.schema(_typed_events_schema()).options(**CSV_OPTIONS)
+    return reader.option("mode", "FAILFAST").csv(paths)
+
+
+def stream_typed_events(spark: SparkSession, root: str, files_per_batch: int = 1000) -> DataFrame:
+    """The same scan as a file stream over all day partitions, present and to come."""
+    reader = spark.readStream.schema(_typed_events_schema()).options(**CSV_OPTIONS)
+    return reader.option("mode", "FAILFAST").option("maxFilesPerTrigger", files_per_batch).csv(f"{root}/*/events.csv")
 
 
 def read_manifest(spark: SparkSession, root: str, days: Sequence[str]) -> DataFrame:

@@ -21,7 +21,6 @@ def spark(tmp_path_factory):
             "spark.ui.enabled": "false",
             "spark.driver.memory": "8g",
             "spark.ui.showConsoleProgress": "false",
-            "spark.sql.maxMetadataValueLength": "2000",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },
     )

@@ -225,5 +225,19 @@ def test_facts_need_a_core(spark, tmp_path):
         pipeline.load_facts(spark, str(tmp_path), Warehouse(spark, str(tmp_path / "wh")), ["2025-01-01"], RUN)
 
 
+def test_event_retention(spark, tmp_path):
+    raw, wh = tmp_path / "raw", Warehouse(spark, str(tmp_path / "wh"))
+    one_day(raw)
+    times = {"2022-11-30": "2022-11-30 23:00:00", "2022-12-15": "2022-12-15 12:00:00", "2025-01-01": "2025-01-01 08:00:00"}
+    for ds, ts in times.items():
+        write_day(raw, ds, events=[event(1, 1, "view", ts)]) if ds != "2025-01-01" else one_day(raw, events=[event(1, 1, "view", ts)])
+    pipeline.run_days(spark, str(raw), wh, list(times), RUN)
+    left = [str(r.created_at) for r in pipeline.live_events(wh, "2024-12-15").collect()]
+    assert sorted(left) == ["2022-12-15 12:00:00", "2025-01-01 08:00:00"]
+    assert pipeline.expire_events(wh, "2024-12-31") == ["month=202211"]
+    assert pipeline.expire_events(wh, "2025-01-01") == ["month=202212"]
+    assert wh.read("facts/events_fact").count() == 1
+
+
 def test_day_listing(spark, history):
     assert landing.day_partitions(spark, str(history[0])) == DAYS

@@ -3,9 +3,11 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from marketlane.functions.dates import in_days
-from marketlane.plans import reports
+from marketlane.operators.classify import first_seen, lookup_key, skew_ready
+from marketlane.plans import facts, reports
 from marketlane.plans.catalog import QUERIES, Work
 
 
@@ -13,6 +15,11 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def formatted(df) -> str:
+    mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    return df._jdf.queryExecution().explainString(mode)
+
+
 def test_no_query_leaves_the_jvm_or_multiplies_rows(spark, small):
     skip = ("src", "snk", "str", "k6")  # these write first
     for name, fn in QUERIES.items():
@@ -24,7 +31,7 @@ def test_no_query_leaves_the_jvm_or_multiplies_rows(spark, small):
 
 
 def test_scan_reads_only_needed_columns(spark, small):
-    text = plan(reports.promo_impact(Work(spark, small).orders))
+    text = formatted(reports.promo_impact(Work(spark, small).orders))
     schema = re.search(r"ReadSchema: (\S+)", text).group(1)
     assert "o_custkey" not in schema and "o_orderdate" not in schema
 
@@ -33,7 +40,7 @@ def test_status_filter_and_day_range_reach_the_scan(spark, tmp_path, small):
     path = str(tmp_path / "orders")
     Work(spark, small).orders.write.parquet(path)
     rows = spark.read.parquet(path).where("status = 'completed'").where(in_days("created_at", ["1997-06-15"]))
-    text = plan(rows)
+    text = formatted(rows)
     pushed = re.search(r"PushedFilters: \[(.*?)\]", text).group(1)
     assert "EqualTo(status,completed)" in pushed
     assert "GreaterThanOrEqual(created_at" in pushed and "LessThan(created_at" in pushed
@@ -47,3 +54,65 @@ def test_number_of_shuffles(spark, small, query, exchanges):
 
 def test_top_k_does_not_sort_everything(spark, small):
     assert "TakeOrderedAndProject" in plan(QUERIES["s2_market_basket"](spark, small))
+
+
+@pytest.fixture
+def skewed(spark):
+    """Thresholds small enough that test data count as skewed and nothing is broadcast."""
+    changed = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2000",
+    }
+    before = {k: spark.conf.get(k) for k in changed}
+    for k, v in changed.items():
+        spark.conf.set(k, v)
+    yield spark
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def hot_rows(spark, key):
+    """A third of 30,000 rows share one key, another tenth has none."""
+    n = F.col("id")
+    value = F.when(n % 3 == 0, "hot").when(n % 10 == 1, None).otherwise(F.concat(F.lit("k"), n))
+    return spark.range(0, 30_000, 1, 8).select(
+        value.alias(key), n.cast("string").alias("payload"), F.lit("2025-01-02").cast("date").alias("_source_date")
+    )
+
+
+def test_hot_key_of_a_lookup_is_split(skewed):
+    rows = hot_rows(skewed, "id")
+    arrivals = rows.where("id is not null").select("id", "_source_date")
+    out = lookup_key(rows, "id", first_seen(arrivals, "id"), "id", "found", "_source_date")
+    assert out.where("found").count() == rows.where("id is not null").count()
+    out.write.format("noop").mode("overwrite").save()
+    out.collect()
+    assert "SortMergeJoin(skew=true)" in plan(out)
+
+
+def test_hot_user_and_hot_order_of_the_facts_are_split(skewed):
+    spark = skewed
+    orders = hot_rows(spark, "user_id").where("user_id is not null").select(
+        F.col("payload").alias("order_id"), "user_id", F.lit("2025-01-02 10:00:00").cast("timestamp_ntz").alias("created_at"),
+        *[F.lit("x").alias(c) for c in ("status", "payment_method")],
+        *[F.lit(1).cast("decimal(12,2)").alias(c) for c in ("total_amount", "discount_amount")],
+    )
+    names = ["acquisition_channel", "city", "age_group"]
+    deliveries = orders.select("user_id").distinct().select("user_id", *[F.lit("a").alias(c) for c in names])
+    users = skew_ready(deliveries.groupBy("user_id").agg(*[F.max(c).alias(c) for c in names]))
+    items = hot_rows(spark, "order_id").where("order_id is not null")
+    fact = facts.orders_fact(orders, users, items.select("order_id"))
+    assert len(fact.collect()) == orders.count()
+    assert "SortMergeJoin(skew=true)" in plan(fact)
+
+    items = items.withColumn("order_id", F.coalesce(F.nullif("order_id", F.lit("hot")), F.lit("3"))).select(
+        F.col("payload").alias("order_item_id"), "order_id", F.lit("p").alias("product_id"),
+        F.lit(1).alias("quantity"), F.lit(1).cast("decimal(12,2)").alias("unit_price"),
+    )
+    products = spark.sql("select 'p' product_id, 1 category_id")
+    categories = spark.sql("select 1 category_id, 'c' name")
+    sold = facts.order_items_fact(items, orders, products, categories)
+    assert len(sold.collect()) >= 10_000
+    assert "SortMergeJoin(skew=true)" in plan(sold)

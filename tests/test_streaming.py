@@ -1,8 +1,10 @@
 from pyspark.sql import functions as F
 
-from marketlane.plans import marts
+from marketlane.plans import facts, marts
 from marketlane.schemas import FACT_TABLES
+from marketlane.sources import landing
 from marketlane.streaming import incremental
+from tests.shop_files import event, write_day
 
 LAYOUT = FACT_TABLES["events_fact"]
 
@@ -59,3 +61,13 @@ def test_repeated_delivery_is_dropped_on_request(spark, tmp_path):
     clean = incremental.dedup_stream(spark.readStream.schema(LAYOUT).parquet(f"{src}/b*"), "30 days")
     clean.writeStream.format("parquet").option("path", out).option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
     assert spark.read.parquet(out).count() == 4
+
+
+def test_landing_events_can_be_streamed(spark, tmp_path):
+    raw, root, state = (str(tmp_path / n) for n in ("raw", "root", "state"))
+    for n, ds in enumerate(["2025-01-01", "2025-01-02"]):
+        write_day(tmp_path / "raw", ds, events=[event(n, n, k, f"{ds} 10:00:00.5") for k in ("view", "cart")])
+        rows = facts.events_fact(landing.stream_typed_events(spark, raw, 1))
+        incremental.run_fact_ingest(rows, "events_fact", root, state)
+    stored = marts.funnel_merge(spark.read.parquet(f"{root}/funnel_daily"))
+    assert totals(stored) == [("2025-01-01", 1, 1, 0), ("2025-01-02", 1, 1, 0)]
