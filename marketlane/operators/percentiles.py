@@ -27,6 +27,24 @@ def percentiles(
         .groupBy((F.col(value) * unit).cast("bigint").alias("_v"))
         .agg(F.count("*").alias("_n"))
     )
+    passes = -(-digits // DIGITS)
+    width = 10 ** (DIGITS * (passes - 1))
+    # First pass: all values by their leading digits, one small sorted group.
+    ordered = Window.orderBy("_group").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    everything = Window.orderBy("_group").rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing
+    )
+    leading = (
+        histogram.groupBy(F.expr(f"_v div {width}").alias("_group"))
+        .agg(F.sum("_n").alias("_n"), F.max("_v").alias("_max"))
+        .withColumns(
+            {
+                "_upto": F.sum("_n").over(ordered),
+                "_total": F.sum("_n").over(everything),
+                "_max": F.max("_max").over(everything),
+            }
+        )
+    )
     position = {name: F.lit(float(p)) * (F.col("_total") - 1) for name, p in points.items()}
     wanted = [
         F.struct(
@@ -36,34 +54,20 @@ def percentiles(
         for name in points
         for side, f in (("low", F.floor), ("high", F.ceil))
     ]
-    targets = (
-        histogram.agg(F.sum("_n").alias("_total"), F.max("_v").alias("_max"))
-        .select("_max", F.explode(F.array(*wanted)).alias("w"))
-        .select("_max", "w.*", F.lit(0).cast("bigint").alias("_prefix"))
-    )
-    passes = -(-digits // DIGITS)
-    for left in reversed(range(passes)):
-        width = 10 ** (DIGITS * left)
-        outer = width * 10**DIGITS
-        group = F.expr(f"_v div {width}")
-        # Few target rows: ranks of interest, each with the digits found so far.
+    targets = _holding(leading.select("*", F.explode(F.array(*wanted)).alias("w")).select("*", "w.*"))
+    for left in reversed(range(passes - 1)):
+        width, outer = 10 ** (DIGITS * left), 10 ** (DIGITS * (left + 1))
+        # Two target rows per point, each with the digits found so far.
         candidates = (
             histogram.withColumn("_prefix", F.expr(f"_v div {outer}"))
-            .join(targets, "_prefix")
-            .groupBy("name", "side", "rank", "position", "_max", group.alias("_group"))
+            .join(F.broadcast(targets), "_prefix")
+            .groupBy("name", "side", "rank", "position", "_max", F.expr(f"_v div {width}").alias("_group"))
             .agg(F.sum("_n").alias("_n"))
         )
         running = Window.partitionBy("name", "side").orderBy("_group").rowsBetween(
             Window.unboundedPreceding, Window.currentRow
         )
-        targets = (
-            candidates.withColumn("_upto", F.sum("_n").over(running))
-            .where((F.col("_upto") > F.col("rank")) & (F.col("_upto") - F.col("_n") <= F.col("rank")))
-            .select(
-                "name", "side", (F.col("rank") - (F.col("_upto") - F.col("_n"))).alias("rank"),
-                "position", "_max", F.col("_group").alias("_prefix"),
-            )
-        )
+        targets = _holding(candidates.withColumn("_upto", F.sum("_n").over(running)))
     share = F.col("position") - F.floor("position")
     weight = F.when(F.col("side") == "low", 1 - share).otherwise(share)
     found = targets.withColumn("_part", F.col("_prefix") / unit * weight)
@@ -71,3 +75,12 @@ def percentiles(
         *[F.sum(F.when(F.col("name") == name, F.col("_part"))).alias(name) for name in points],
         (F.max("_max") / unit).alias("max_value"),
     )
+
+
+def _holding(groups: DataFrame) -> DataFrame:
+    """Per target the group its rank falls into, and the rank inside that group."""
+    before = F.col("_upto") - F.col("_n")
+    return groups.where((F.col("_upto") > F.col("rank")) & (before <= F.col("rank"))).select(
+        "name", "side", (F.col("rank") - before).alias("rank"), "position", "_max",
+        F.col("_group").alias("_prefix"),
+    )

@@ -55,7 +55,10 @@ def main(folder: str, names: list[str]) -> int:
 
     spark = build_session(
         master="local[8]",
-        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"},
+        **{
+            "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
+            "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false",
+        },
     )
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(folder)

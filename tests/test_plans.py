@@ -21,7 +21,8 @@ def formatted(df) -> str:
 
 
 def test_no_query_leaves_the_jvm_or_multiplies_rows(spark, small):
-    skip = ("src", "snk", "str", "k6")  # these write first
+    # These write first and read the written tables.
+    skip = ("src", "snk", "str", "k6", "k7", "p7", "pl6", "pl8", "pl9", "pl11", "ups4", "con1", "agg17")
     for name, fn in QUERIES.items():
         if name.startswith(skip):
             continue
