@@ -15,9 +15,9 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marketlane.functions.dates import not_expired
+from marketlane.functions.dates import in_days, not_expired
 from marketlane.operators import quality
-from marketlane.operators.classify import skew_ready
+from marketlane.operators.classify import first_seen, skew_ready
 from marketlane.operators.copies import latest_version
 from marketlane.operators.upsert import only_keys_of
 from marketlane.plans import facts, marts, promote
@@ -74,9 +74,20 @@ def _in_days(rows: DataFrame, days: Sequence[str], column: str = "_source_date")
     return rows.where(F.col(column).isin([datetime.fromisoformat(d).date() for d in days]))
 
 
+def _covers_all(wh: Warehouse, days: Sequence[str]) -> bool:
+    """Do the given days make up the whole history?  Answered by the directory listing."""
+    names = [n for e in ("users_deliveries", *FACTS) for n in storage.children(wh.spark, wh.path(f"core/{e}"))]
+    return {n.removeprefix("_source_date=") for n in names if "=" in n} <= set(days)
+
+
+def _cut(wh: Warehouse, known: DataFrame, rows: DataFrame, key: str, days: Sequence[str]) -> DataFrame:
+    """Known rows whose key occurs in ``rows``; when all days are loaded nothing would be cut."""
+    return known if _covers_all(wh, days) else only_keys_of(known, rows, key)
+
+
 def _outside(wh: Warehouse, table: str, key: str, days: Sequence[str]) -> DataFrame | None:
     """Keys that slices other than ``days`` already hold."""
-    if not wh.has(f"core/{table}"):
+    if not wh.has(f"core/{table}") or _covers_all(wh, days):
         return None
     rows = wh.read(f"core/{table}")
     return rows.where(~F.col("_source_date").isin([datetime.fromisoformat(d).date() for d in days])).select(key)
@@ -125,7 +136,10 @@ def load_core(
 
     Days without a directory are skipped.  Running days again replaces their slices.
     """
-    days = [ds for ds in days if landing.has_day(spark, raw, ds)]
+    if len(days) == 1:
+        days = [ds for ds in days if landing.has_day(spark, raw, ds)]
+    else:
+        days = sorted(set(days) & set(landing.day_partitions(spark, raw)))
     if not days:
         return "skipped"
     run_id = f"run-{uuid.uuid4().hex[:12]}"
@@ -134,12 +148,17 @@ def load_core(
     try:
         _load_dimensions(wh, raw, days, run_time, run_id, uuid_ids)
         _require_parents(wh, days)
-        landed = {t: landing.read_entity(spark, raw, t, run_time, run_id, days) for t in FACTS}
+
+        def land(table: str) -> DataFrame:
+            # Parsed once into columns; the key lookups below then read single columns.
+            rows = landing.read_entity(spark, raw, table, run_time, run_id, days)
+            sinks.overwrite(rows, f"{work}/landed_{table}")
+            return spark.read.schema(rows.schema).parquet(f"{work}/landed_{table}")
 
         def judge(table: str, judged: DataFrame) -> DataFrame:
             # Judged once, then read by promotion, quarantine and audit.
             sinks.overwrite(judged, f"{work}/{table}")
-            return spark.read.parquet(f"{work}/{table}")
+            return spark.read.schema(judged.schema).parquet(f"{work}/{table}")
 
         def store(table: str, promotion: promote.Promotion) -> None:
             rows = quality.enforce_rows(table, promotion.accepted)
@@ -148,18 +167,19 @@ def load_core(
                 ["_source_date"], days, day="_source_date",
             )
 
-        def first_seen(entity: str, key: str, rows: DataFrame) -> DataFrame:
-            seen = wh.deliveries(entity, last).groupBy(key).agg(F.min("_source_date").alias("first_ds"))
-            return only_keys_of(seen, rows, key)
+        def arrivals(entity: str, key: str, rows: DataFrame) -> DataFrame:
+            delivered = wh.deliveries(entity, last).select(key, "_source_date")
+            return first_seen(_cut(wh, delivered, rows, key, days), key)
 
-        users = first_seen("users", "user_id", landed["orders"])
+        landed = {t: land(t) for t in FACTS}
+        users = arrivals("users", "user_id", landed["orders"])
         judged = {"orders": judge("orders", promote.classify_orders(landed["orders"], users))}
         orders = promote.split_orders(judged["orders"], _outside(wh, "orders", "order_id", days), uuid_ids)
         store("orders", orders)
 
         arrived = promote.arrived_orders(wh.read("core/orders"))
-        products = first_seen("products", "product_id", landed["order_items"])
-        item_orders = only_keys_of(arrived, landed["order_items"], "order_id")
+        products = arrivals("products", "product_id", landed["order_items"])
+        item_orders = _cut(wh, arrived, landed["order_items"], "order_id", days)
         judged["order_items"] = judge(
             "order_items", promote.classify_items(landed["order_items"], products, item_orders)
         )
@@ -168,7 +188,7 @@ def load_core(
         )
         store("order_items", items)
 
-        payment_orders = only_keys_of(arrived, landed["payments"], "order_id")
+        payment_orders = _cut(wh, arrived, landed["payments"], "order_id", days)
         judged["payments"] = judge("payments", promote.classify_payments(landed["payments"], payment_orders))
         payments = promote.split_payments(
             judged["payments"], _outside(wh, "payments", "payment_id", days), uuid_ids
@@ -258,17 +278,20 @@ def _write_facts(
     spark: SparkSession, raw: str, wh: Warehouse, days: Sequence[str], run_time: datetime, log: sinks.RunLog
 ) -> list[str]:
     order_days, payment_days = _affected_days(wh, days)
-    users, products, categories = skew_ready(wh.users()), skew_ready(wh.products()), wh.categories()
+    products, categories = skew_ready(wh.products()), wh.categories()
     orders, items, payments = (wh.read(f"core/{t}") for t in FACTS)
+    buyers = _cut(wh, wh.deliveries("users"), orders.where(in_days("created_at", order_days)), "user_id", days)
+    users = skew_ready(promote.promote_users(buyers))
     stamp = F.lit(run_time.isoformat(sep=" ")).cast("timestamp_ntz").alias("updated_at")
 
-    def changed(entity: str, rows: DataFrame) -> DataFrame:
-        # Only rows that arrived in these days can have a new version.
-        return only_keys_of(rows, _in_days(wh.deliveries(entity), days), f"{entity[:-1]}_id")
+    def changed(entity: str) -> DataFrame:
+        # Only keys that arrived in these days can have a new version.
+        rows = wh.deliveries(entity)
+        return _cut(wh, rows, _in_days(rows, days), f"{entity[:-1]}_id", days)
 
     dims = {
-        "users_dim": facts.users_dim(changed("users", users)),
-        "products_dim": facts.products_dim(changed("products", products), categories),
+        "users_dim": facts.users_dim(promote.promote_users(changed("users"))),
+        "products_dim": facts.products_dim(promote.promote_products(changed("products")), categories),
     }
     for table, rows in dims.items():
         started = time.monotonic()
@@ -288,7 +311,7 @@ def _write_facts(
         log.add("load_facts", table, written, time.monotonic() - started)
 
     # Events skip core; a day without an event file leaves the event fact alone.
-    have = [ds for ds in days if storage.exists(spark, f"{raw}/{ds}/events.csv")]
+    have = landing.days_with(spark, raw, "events.csv", days)
     if have:
         started = time.monotonic()
         day = F.to_date(F.regexp_extract(F.col("_metadata.file_path"), landing.DAY_PATTERN, 1))

@@ -47,6 +47,14 @@ def day_partitions(spark: SparkSession, root: str) -> list[str]:
     return [n for n in storage.children(spark, root) if len(n) == 10 and n[4] == n[7] == "-"]
 
 
+def days_with(spark: SparkSession, root: str, name: str, days: Sequence[str]) -> list[str]:
+    """Those of ``days`` that hold a file ``name``: one look-up for one day, one listing for many."""
+    if len(days) == 1:
+        return [ds for ds in days if storage.exists(spark, f"{root}/{ds}/{name}")]
+    found = {path.rsplit("/", 2)[1] for path in storage.matching(spark, f"{root}/*/{name}")}
+    return [ds for ds in days if ds in found]
+
+
 def read_csv(spark: SparkSession, entity: str, path: str | Sequence[str]) -> DataFrame:
     paths = [path] if isinstance(path, str) else list(path)
     return spark.read.schema(landing_schema(entity)).options(**CSV_OPTIONS).csv(paths)
@@ -66,15 +74,14 @@ def read_entity(
     day: the root file is re-read each run and stamped with the run's first day.
     """
     if entity == "categories":
-        paths = [f"{root}/categories.csv"]
+        paths = storage.matching(spark, f"{root}/categories.csv")
         day = F.lit(min(days)).cast("date")
     else:
-        paths = [f"{root}/{ds}/{entity}.csv" for ds in days]
+        paths = [f"{root}/{ds}/{entity}.csv" for ds in days_with(spark, root, f"{entity}.csv", days)]
         day = F.to_date(F.regexp_extract(F.col("_metadata.file_path"), DAY_PATTERN, 1))
-    present = [p for p in paths if storage.exists(spark, p)]
-    if not present:
+    if not paths:
         return stamp(empty_landing(spark, entity), F.lit(None).cast("date"), loaded_at, batch_id)
-    return stamp(read_csv(spark, entity, present), day, loaded_at, batch_id)
+    return stamp(read_csv(spark, entity, paths), day, loaded_at, batch_id)
 
 
 def read_entity_layout(
@@ -118,12 +125,11 @@ def stream_typed_events(spark: SparkSession, root: str, files_per_batch: int = 1
 
 def read_manifest(spark: SparkSession, root: str, days: Sequence[str]) -> DataFrame:
     """Announced row counts as ``source_date, source_table, rows_manifest``."""
-    paths = [f"{root}/{ds}/manifest.json" for ds in days]
-    present = [p for p in paths if storage.exists(spark, p)]
-    if not present:
+    paths = [f"{root}/{ds}/manifest.json" for ds in days_with(spark, root, "manifest.json", days)]
+    if not paths:
         return spark.createDataFrame([], "source_date date, source_table string, rows_manifest bigint")
     schema = T.StructType([T.StructField(e, T.LongType()) for e in COUNTED])
-    wide = spark.read.schema(schema).option("multiLine", "true").json(present)
+    wide = spark.read.schema(schema).option("multiLine", "true").json(paths)
     day = F.to_date(F.regexp_extract(F.col("_metadata.file_path"), DAY_PATTERN, 1))
     return unpivot_counts(wide.select(day.alias("source_date"), *COUNTED))
 

@@ -15,11 +15,10 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop)
 
 
-def matches(spark: SparkSession, pattern: str) -> bool:
-    """Does any path fit the glob pattern?"""
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that fit a glob pattern, by one listing."""
     fs, hadoop = _fs(spark, pattern)
-    found = fs.globStatus(hadoop)
-    return found is not None and len(found) > 0
+    return sorted(status.getPath().toString() for status in fs.globStatus(hadoop) or [])
 
 
 def children(spark: SparkSession, path: str) -> list[str]:
