@@ -37,7 +37,9 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local session without that setting gets one made for it.
     """
     context = spark.sparkContext
-    root = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    named = spark.conf.get("spark.checkpoint.dir", "")
+    unset = ("", None, "<undefined>")  # how an optional setting without a value reads
+    root = context.getCheckpointDir() if named in unset else named
     if not root:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
