@@ -14,7 +14,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from marketlane.plans.catalog import QUERIES  # noqa: E402
+from marketlane.plans.catalog_runs import QUERIES  # noqa: E402
 from marketlane.session import build_session  # noqa: E402
 
 HEADLINE = [

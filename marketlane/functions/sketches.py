@@ -32,7 +32,3 @@ def uniq_hll12(c: str | Column) -> Column:
 
 def uniq_adaptive(c: str | Column, rsd: float = 0.01) -> Column:
     return F.approx_count_distinct(as_column(c), rsd)
-
-
-def uniq_exact(c: str | Column) -> Column:
-    return F.count_distinct(as_column(c))

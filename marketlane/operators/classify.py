@@ -17,8 +17,8 @@ def first_reason(rules: Sequence[tuple[str, Column]]) -> Column:
 
 
 def first_seen(rows: DataFrame, key: str, arrival: str = "_source_date") -> DataFrame:
-    """Each key with the day it first arrived."""
-    return rows.groupBy(key).agg(F.min(arrival).alias("first_ds"))
+    """Each key with the day it first arrived, ready to be joined with a hot key on the other side."""
+    return skew_ready(rows.groupBy(key).agg(F.min(arrival).alias("first_ds")))
 
 
 def skew_ready(keyed: DataFrame) -> DataFrame:
@@ -35,13 +35,13 @@ def lookup_key(
 ) -> DataFrame:
     """Add boolean ``out``: is ``column`` a known key, as of the row's ``arrival`` day?
 
-    ``known`` holds unique keys and their ``first_ds``; with ``arrival=None``
-    the day is not compared.  Rows without a key get a spread-out stand-in that
+    ``known`` holds unique keys and their ``first_ds``, as a scan or ``skew_ready``;
+    with ``arrival=None`` the day is not compared.  Rows without a key get a spread-out stand-in that
     no id can equal (ids never contain NUL), so missing keys do not pile up in one task.
     """
     spread = F.concat(F.lit("\u0000"), F.spark_partition_id().cast("string"))
     left = rows.withColumn("_probe", F.coalesce(F.col(column), spread))
-    right = skew_ready(known.select(F.col(key).alias("_key"), F.col("first_ds").alias("_first_ds")))
+    right = known.select(F.col(key).alias("_key"), F.col("first_ds").alias("_first_ds"))
     joined = left.join(right, F.col("_probe") == F.col("_key"), "left")
     found = F.col("_key").isNotNull()
     if arrival:

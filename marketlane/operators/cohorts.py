@@ -29,13 +29,24 @@ def retention(cohorts: DataFrame, activity: DataFrame, user: str) -> DataFrame:
 
 
 def retention_matrix(long: DataFrame, offsets: Sequence[int]) -> DataFrame:
-    """One row per cohort, one column ``m<offset>`` per listed month."""
-    wide = long.groupBy("cohort").pivot("month_offset", list(offsets)).agg(F.sum("users"))
+    """One row per cohort, one column ``m<offset>`` per listed month; an offset that is not listed fails the job."""
+    known = F.col("month_offset").isin(list(offsets))
+    stop = F.raise_error(F.concat(F.lit("month offset not listed: "), F.col("month_offset").cast("string"))).cast("boolean")
+    complete = long.where(F.when(known, True).otherwise(stop))
+    wide = complete.groupBy("cohort").pivot("month_offset", list(offsets)).agg(F.sum("users"))
     return wide.select(
         "cohort", *[F.coalesce(F.col(f"`{k}`"), F.lit(0)).alias(f"m{k}") for k in offsets]
     )
 
 
+def offset_span(cohorts: DataFrame, activity: DataFrame) -> range:
+    """Every month offset that can occur: from none to the first cohort's distance to the last active month."""
+    first = cohorts.agg(F.min("cohort").alias("first"))
+    last = activity.agg(F.max("active_month").alias("last"))
+    months = first.join(last, F.lit(True)).select(months_between_starts("first", "last").alias("m")).first()["m"]
+    return range(max(0, months if months is not None else 0) + 1)
+
+
 def retention_share(long: DataFrame, cohorts: DataFrame) -> DataFrame:
     """Percent of the cohort that is active in each later month."""
     sizes = cohorts.groupBy("cohort").agg(F.count("*").alias("cohort_users"))

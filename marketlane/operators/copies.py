@@ -39,15 +39,17 @@ def mark_copies(
     run: Sequence[str],
     order_by: Sequence[str | Column],
     eligible: Column,
-    salts: int = 64,
+    salts: int | None = None,
 ) -> DataFrame:
     """Add ``copy_state`` to eligible rows (NULL on the others) and keep all rows.
 
     Two steps.  Each (key, run) is first ranked per salt, the salt being the
-    input task, so a hot key is spread over ``salts`` groups.  Then only the
-    best row of each salt meets its rivals: at most ``salts`` rows per key and
-    run.  The other rows stay in their own salted group.
+    input task, so a hot key is spread over ``salts`` groups, by default as many
+    as the session has shuffle partitions.  Then only the best row of each salt
+    meets its rivals: at most ``salts`` rows per key and run.  The other rows
+    stay in their own salted group.
     """
+    salts = salts or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = total_order(rows, [*key, *run], order_by)
     salted = rows.withColumns(
         {

@@ -19,12 +19,16 @@ def percentiles(
     digits.  Values are counted per distinct value first.  The wanted ranks are
     then found digit group by digit group: each pass counts by the next four
     digits and keeps the one group that holds the rank, so no task ever sees
-    more than 10^4 groups per rank, however many values there are.
+    more than 10^4 groups per rank, however many values there are.  A value that
+    is negative, longer or finer than stated fails the job.
     """
     unit = F.lit(10**scale)
+    scaled = F.col(value) * unit
+    fits = (scaled >= 0) & (scaled < F.lit(10**digits)) & (scaled == scaled.cast("bigint"))
+    stop = F.raise_error(F.concat(F.lit(f"{value} is not a number of {digits} digits, {scale} of them decimal: "), F.col(value).cast("string")))
     histogram = (
         rows.where(F.col(value).isNotNull())
-        .groupBy((F.col(value) * unit).cast("bigint").alias("_v"))
+        .groupBy(F.when(fits, scaled.cast("bigint")).otherwise(stop.cast("bigint")).alias("_v"))
         .agg(F.count("*").alias("_n"))
     )
     passes = -(-digits // DIGITS)

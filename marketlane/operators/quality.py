@@ -180,12 +180,13 @@ def shortfalls(staged: DataFrame, manifest: DataFrame) -> DataFrame:
     )
 
 
-def require_complete(staged: DataFrame, manifest: DataFrame) -> None:
-    bad = shortfalls(staged, manifest).limit(20).collect()
-    if bad:
-        raise QualityError(
-            "rows lost: " + "; ".join(f"{r.source_date} {r.source_table} {r.rows_staging} < {r.rows_manifest}" for r in bad)
-        )
+def require_complete(staged: DataFrame, manifest: DataFrame, path: str) -> None:
+    """Raise when rows were lost; every shortfall of the run is written to ``path``."""
+    bad = shortfalls(staged, manifest)
+    bad.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    count = bad.sparkSession.read.schema(bad.schema).parquet(path).count()
+    if count:
+        raise QualityError(f"rows lost: {count} days and tables landed fewer rows than announced, see {path}")
 
 
 def promotion_counts(judged: DataFrame, accepted: DataFrame, table: str) -> DataFrame:
@@ -205,12 +206,17 @@ def promotion_counts(judged: DataFrame, accepted: DataFrame, table: str) -> Data
     )
 
 
-def load_audit(counts: DataFrame, manifest: DataFrame | None = None) -> DataFrame:
+def load_audit(counts: DataFrame, manifest: DataFrame | None = None, expected: DataFrame | None = None) -> DataFrame:
     """Passport of every day and table.
 
     Staged rows that are neither promoted nor rejected lost a key conflict.
+    ``expected`` lists the days and tables that were asked for; those without
+    rows get a line of zeros.
     """
     keys = ["source_date", "source_table"]
+    if expected is not None:
+        zeros = {c: 0 for c in ("rows_staging", "rows_promoted", "rows_rejected")}
+        counts = expected.select(*keys).join(counts, keys, "left").fillna(zeros)
     if manifest is None:
         joined = counts.withColumn("rows_manifest", F.lit(None).cast("bigint"))
     else:

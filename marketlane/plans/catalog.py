@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from marketlane.functions import columns as C, dates as D, sketches as S
 from marketlane.operators import basket, cohorts, copies, funnel, quality, upsert
-from marketlane.operators.classify import first_seen, lookup_key
+from marketlane.operators.classify import first_seen, lookup_key, skew_ready
 from marketlane.plans import facts, marts, promote, reports
 from marketlane.plans.catalog_sql import statement
 from marketlane.session import new_folder
@@ -83,7 +83,7 @@ class Work(Shop):
 
     @cached_property
     def order_keys(self) -> DataFrame:
-        return promote.arrived_orders(self.order_promotion.accepted)
+        return skew_ready(promote.arrived_orders(self.order_promotion.accepted))
 
     @cached_property
     def judged_items(self) -> DataFrame:
@@ -115,14 +115,22 @@ class Work(Shop):
 
     @cached_property
     def audit(self) -> DataFrame:
-        judged = {
-            "orders": self.judged_orders, "order_items": self.judged_items, "payments": self.judged_payments,
-        }
-        return quality.load_audit(
-            quality.union_all(
-                [quality.promotion_counts(judged[t], p.accepted, t) for t, p in self.promotions.items()]
-            )
+        counts = [quality.promotion_counts(rows, self.winners(t), t) for t, rows in self.verdicts.items()]
+        return quality.load_audit(quality.union_all(counts), self.announced)
+
+    @cached_property
+    def announced(self) -> DataFrame:
+        """Manifest of the clean rows: ``source_date, source_table, rows_manifest``."""
+        placed = self.order_items.join(self.orders.select("order_id", "created_at"), "order_id")
+        wide = sinks.manifest_counts(
+            {
+                "orders": (self.orders, F.col("created_at")),
+                "order_items": (placed, F.col("created_at")),
+                "payments": (self.payments, F.col("processed_at")),
+            }
         )
+        missing = {e: F.lit(None).cast("bigint") for e in landing.COUNTED if e not in wide.columns}
+        return landing.unpivot_counts(wide.withColumns(missing).withColumnRenamed("ds", "source_date"))
 
     def keep(self, label: str, rows: DataFrame) -> DataFrame:
         """Write a frame that is used several times to the shared folder and read it back."""
@@ -130,13 +138,58 @@ class Work(Shop):
         rows.write.parquet(path)
         return self.spark.read.parquet(path)
 
-    def keep_judged(self) -> Work:
-        """Judge every landing row once; all that follows reads the written tables."""
-        self.judged_orders = self.keep("judged_orders", self.judged_orders)
-        self.judged_items = self.keep("judged_items", self.judged_items)
-        self.judged_payments = self.keep("judged_payments", self.judged_payments)
+    def keep_judged(self, *tables: str) -> Work:
+        """Judge every landing row once, whole; all that follows reads the written tables."""
+        for name in tables or ("orders", "items", "payments"):
+            setattr(self, f"judged_{name}", self.keep(f"judged_{name}", getattr(self, f"judged_{name}")))
         return self
 
+    @cached_property
+    def verdicts(self) -> dict[str, DataFrame]:
+        """Per table what counting needs of the judged rows: ``id, _source_date, reject_reason``, written once.
+
+        Orders go first and carry ``copy_state``; their winners are the keys that
+        items and payments are judged by, so no full row is ever written.
+        """
+        columns = ["_source_date", "reject_reason"]
+        orders = self.keep("verdicts", self.judged_orders.select(F.col("order_id").alias("id"), *columns, "copy_state"))
+        first = orders.where(F.col("copy_state") == copies.FIRST).select(F.col("id").alias("order_id"), "_source_date")
+        keys = promote.arrived_orders(first)
+        items = promote.classify_items(
+            self.staged("order_items").select("order_item_id", "order_id", "product_id", "quantity", "_source_date"),
+            self.product_keys, keys,
+        )
+        payments = promote.classify_payments(
+            self.staged("payments").select("payment_id", "order_id", "_source_date"), keys
+        )
+        return {
+            "orders": orders,
+            "order_items": self.keep("verdicts", items.select(F.col("order_item_id").alias("id"), *columns)),
+            "payments": self.keep("verdicts", payments.select(F.col("payment_id").alias("id"), *columns)),
+        }
+
+    @property
+    def rejects(self) -> DataFrame:
+        """``source_table, source_date, reason`` of every rejected row."""
+        rejected = [
+            rows.where("reject_reason IS NOT NULL").select(
+                F.lit(t).alias("source_table"), F.col("_source_date").alias("source_date"), F.col("reject_reason").alias("reason")
+            )
+            for t, rows in self.verdicts.items()
+        ]
+        return quality.union_all(rejected)
+
+    @property
+    def reject_counts(self) -> DataFrame:
+        return quality.reject_summary(self.rejects)
+
+    def winners(self, table: str) -> DataFrame:
+        """``_source_date`` of each promoted row: an id goes to its first accepted day."""
+        rows = self.verdicts[table]
+        if table == "orders":
+            return rows.where(F.col("copy_state") == copies.FIRST).select("_source_date")
+        return rows.where("reject_reason IS NULL").groupBy("id").agg(F.min("_source_date").alias("_source_date")).drop("id")
+
     def streamed(self, name: str) -> Work:
         """Same tables with one of them as a file stream."""
         stream = (
@@ -300,19 +353,21 @@ def _(w: Work) -> DataFrame:
     return reports.cohort_retention(reports.first_purchase_cohorts(w.orders_fact), w.orders_fact)
 
 
-# The source orders span 80 months.
-OFFSETS = range(80)
-
-
 @query(
     "k5_retention_matrix",
-    "SELECT cohort::VARCHAR AS cohort, "
-    + ", ".join(f"coalesce(sum(users) FILTER (month_offset = {k}), 0)::BIGINT AS m{k}" for k in OFFSETS)
-    + " FROM x_retention GROUP BY 1",
+    """SELECT * FROM (PIVOT (
+         SELECT g.cohort::VARCHAR AS cohort, 'm' || k AS m, coalesce(users, 0)::BIGINT AS users
+         FROM (SELECT cohort, unnest(range(0, 1 + date_diff('month', (SELECT min(cohort) FROM x_cohorts),
+                                                            (SELECT max(active_month) FROM x_activity)))) AS k
+               FROM (SELECT DISTINCT cohort FROM x_retention)) g
+         LEFT JOIN x_retention r ON r.cohort = g.cohort AND r.month_offset = k
+       ) ON m USING max(users) GROUP BY cohort)""",
 )
 def _(w: Work) -> DataFrame:
     groups = w.users_dim.select("user_id", D.month_start("registration_date").alias("cohort"))
-    return cohorts.retention_matrix(reports.cohort_retention(groups, w.orders_fact), OFFSETS)
+    bought = cohorts.active_months(w.orders_fact.where("status = 'completed'"), "user_id", "created_at")
+    offsets = cohorts.offset_span(groups, bought)
+    return cohorts.retention_matrix(reports.cohort_retention(groups, w.orders_fact), offsets)
 
 
 @query(
@@ -354,8 +409,7 @@ def _(w: Work) -> DataFrame:
     "SELECT source_table, reason, count(*) AS rows_rejected FROM q_all GROUP BY 1, 2",
 )
 def _(w: Work) -> DataFrame:
-    w.keep_judged()
-    return w.rejected.groupBy("source_table", "reason").agg(F.count("*").alias("rows_rejected"))
+    return w.rejects.groupBy("source_table", "reason").agg(F.count("*").alias("rows_rejected"))
 
 
 @query(
@@ -440,14 +494,46 @@ def _(w: Work) -> DataFrame:
                 (SELECT count(*) FROM s_orders WHERE user_id IS NULL) AS expected,
                 (SELECT count(*) FROM q_orders WHERE reason = 'null_user_id') AS found
          UNION ALL
+         SELECT 'orders', 'orphan_user', (SELECT count(*) FROM s_orders WHERE starts_with(user_id, 'ghost-')),
+                (SELECT count(*) FROM q_orders WHERE reason = 'orphan_user')
+         UNION ALL
+         SELECT 'orders', 'duplicate_pk', (SELECT coalesce(sum(n - 1), 0)::BIGINT FROM (
+                  SELECT count(*) AS n FROM j_orders WHERE base_reason IS NULL GROUP BY order_id, _source_date)),
+                (SELECT count(*) FROM q_orders WHERE reason = 'duplicate_pk')
+         UNION ALL
          SELECT 'order_items', 'null_product_id', (SELECT count(*) FROM s_order_items WHERE product_id IS NULL),
-                (SELECT count(*) FROM j_items WHERE reason = 'null_product_id'))""",
+                (SELECT count(*) FROM j_items WHERE reason = 'null_product_id')
+         UNION ALL
+         SELECT 'order_items', 'orphan_product', (SELECT count(*) FROM s_order_items WHERE starts_with(product_id, 'ghost-')),
+                (SELECT count(*) FROM j_items WHERE reason = 'orphan_product')
+         UNION ALL
+         SELECT 'order_items', 'negative_quantity', (SELECT count(*) FROM s_order_items JOIN d_products USING (product_id)
+                  WHERE quantity::INT <= 0 AND first_ds <= _source_date),
+                (SELECT count(*) FROM j_items WHERE reason = 'negative_quantity')
+         UNION ALL
+         SELECT 'order_items', 'orphan_order', (SELECT count(*) FROM s_order_items s JOIN d_products d USING (product_id)
+                  WHERE quantity::INT > 0 AND first_ds <= _source_date AND order_id NOT IN (SELECT order_id FROM p_orders)),
+                (SELECT count(*) FROM j_items WHERE reason = 'orphan_order')
+         UNION ALL
+         SELECT 'payments', 'orphan_order', (SELECT count(*) FROM s_payments WHERE order_id NOT IN (SELECT order_id FROM p_orders)),
+                (SELECT count(*) FROM j_payments WHERE reason = 'orphan_order'))""",
 )
 def _(w: Work) -> DataFrame:
-    w.keep_judged()
+    """All eight pairs of table and reason against defects counted on the landing rows themselves."""
+    known_users = lookup_key(w.staged("orders"), "user_id", w.user_keys, "user_id", "ok", "_source_date")
+    copied = known_users.where("user_id IS NOT NULL AND ok").groupBy("order_id", "_source_date").agg(F.count("*").alias("n"))
+    items = lookup_key(w.staged("order_items"), "product_id", w.product_keys, "product_id", "ok", "_source_date")
+    stocked = items.where("product_id IS NOT NULL AND ok")
+    accepted = w.verdicts["orders"].where(F.col("copy_state") == copies.FIRST).select(F.col("id").alias("order_id"))
     injected = {
         ("orders", "null_user_id"): w.staged("orders").where("user_id IS NULL"),
+        ("orders", "orphan_user"): w.staged("orders").where("user_id LIKE 'ghost-%'"),
+        ("orders", "duplicate_pk"): copied.select(F.explode(F.sequence(F.lit(1), F.col("n"))).alias("k")).where("k > 1"),
         ("order_items", "null_product_id"): w.staged("order_items").where("product_id IS NULL"),
+        ("order_items", "orphan_product"): w.staged("order_items").where("product_id LIKE 'ghost-%'"),
+        ("order_items", "negative_quantity"): stocked.where("CAST(quantity AS INT) <= 0"),
+        ("order_items", "orphan_order"): stocked.where("CAST(quantity AS INT) > 0").join(accepted, "order_id", "left_anti"),
+        ("payments", "orphan_order"): w.staged("payments").join(accepted, "order_id", "left_anti"),
     }
     expected = quality.union_all(
         [
@@ -457,7 +543,7 @@ def _(w: Work) -> DataFrame:
             for (t, r), rows in injected.items()
         ]
     )
-    return reports.quarantine_completeness(w.rejected, expected)
+    return reports.quarantine_completeness(w.rejects, expected)
 
 
 # ---- marts ----------------------------------------------------------------------
@@ -628,7 +714,7 @@ def _(w: Work) -> DataFrame:
 )
 def _(w: Work) -> DataFrame:
     rows = w.staged("orders").select("order_id", "user_id", F.col("_source_date").alias("source_date"))
-    return rows.join(w.user_keys.select("user_id"), "user_id", "left_semi")
+    return rows.join(w.user_keys.select("user_id"), "user_id", "left_semi")  # keys have an exchange of their own
 
 
 @query(
@@ -859,18 +945,23 @@ def _(w: Work) -> DataFrame:
 
 @query(
     "pl5_cascade_by_order_reason",
-    """SELECT coalesce(o.reason, 'order_not_rejected') AS order_reason, count(*) AS payments FROM j_payments p
-       LEFT JOIN (SELECT DISTINCT order_id, reason FROM q_orders) o ON p.order_id = o.order_id
-       WHERE p.reason = 'orphan_order' GROUP BY 1""",
+    """SELECT p.source_table, coalesce(o.reason, 'order_not_rejected') AS order_reason, count(*) AS rows_rejected
+       FROM (SELECT 'order_items' AS source_table, order_id FROM j_items WHERE reason = 'orphan_order'
+             UNION ALL SELECT 'payments', order_id FROM j_payments WHERE reason = 'orphan_order') p
+       LEFT JOIN (SELECT DISTINCT order_id, reason FROM q_orders) o ON p.order_id = o.order_id GROUP BY 1, 2""",
 )
 def _(w: Work) -> DataFrame:
-    """Rejected payments by what happened to their order."""
+    """Items and payments rejected with their order, by what happened to the order."""
     reasons = w.order_promotion.rejected.select("order_id", F.col("reject_reason").alias("order_reason")).distinct()
+    lost = [
+        p.rejected.where(F.col("reject_reason") == promote.ORPHAN_ORDER).select(F.lit(t).alias("source_table"), "order_id")
+        for t, p in (("order_items", w.item_promotion), ("payments", w.payment_promotion))
+    ]
     return (
-        w.payment_promotion.rejected.select("order_id")
+        quality.union_all(lost)
         .join(reasons, "order_id", "left")
-        .groupBy(F.coalesce("order_reason", F.lit("order_not_rejected")).alias("order_reason"))
-        .agg(F.count("*").alias("payments"))
+        .groupBy("source_table", F.coalesce("order_reason", F.lit("order_not_rejected")).alias("order_reason"))
+        .agg(F.count("*").alias("rows_rejected"))
     )
 
 
@@ -912,41 +1003,36 @@ def _(w: Work) -> DataFrame:
 
 
 AUDIT_SQL = """SELECT source_date::VARCHAR AS source_date, source_table, rows_staging, rows_promoted, rows_rejected,
-                      rows_conflict_skipped FROM n_audit"""
+                      rows_conflict_skipped, rows_manifest FROM n_audit LEFT JOIN n_announced USING (source_date, source_table)"""
 
 
 @query("pl8_load_audit", AUDIT_SQL)
 def _(w: Work) -> DataFrame:
-    w.keep_judged()
-    return w.audit.drop("rows_manifest")
+    return w.audit
 
 
 @query(
     "pl9_integrity_gate",
-    "SELECT 0::BIGINT AS orphan_order_items, 0::BIGINT AS orphan_product_items, 0::BIGINT AS nonpositive_qty, 0::BIGINT AS null_user_orders FROM (SELECT count(*) FROM p_items)",
+    """SELECT (SELECT count(*) FROM p_items WHERE order_id NOT IN (SELECT order_id FROM p_orders)) AS orphan_order_items,
+              (SELECT count(*) FROM p_items WHERE product_id NOT IN (SELECT product_id FROM d_products)) AS orphan_product_items,
+              (SELECT count(*) FROM p_items WHERE quantity <= 0) AS nonpositive_qty,
+              (SELECT count(*) FROM p_orders WHERE user_id IS NULL) AS null_user_orders""",
 )
 def _(w: Work) -> DataFrame:
-    w.keep_judged()
+    w.keep_judged("orders", "items")
     return quality.integrity_counts(w.order_promotion.accepted, w.item_promotion.accepted, w.core_products)
 
 
 @query(
     "pl10_manifest_shortfalls",
-    """SELECT source_date::VARCHAR AS source_date, 'orders' AS source_table, n AS rows_staging, announced AS rows_manifest
-       FROM (SELECT s._source_date AS source_date, count(*) AS n FROM s_orders s GROUP BY 1) a
-       JOIN (SELECT created_at::DATE AS source_date, 2 + count(*) AS announced FROM c_orders GROUP BY 1) m USING (source_date)
-       WHERE n < announced
-       UNION ALL
-       SELECT created_at::DATE::VARCHAR, 'orders', 0, 2 + count(*) FROM c_orders
-       WHERE created_at::DATE NOT IN (SELECT _source_date FROM s_orders) GROUP BY 1""",
+    """SELECT source_date::VARCHAR AS source_date, source_table, coalesce(rows_staging, 0) AS rows_staging, rows_manifest
+       FROM (SELECT source_date, source_table, 2 + rows_manifest AS rows_manifest FROM n_announced) m
+       LEFT JOIN n_staged s USING (source_date, source_table) WHERE coalesce(rows_staging, 0) < rows_manifest""",
 )
 def _(w: Work) -> DataFrame:
-    """Landing counts against a manifest that announces two more orders than were placed."""
-    staged = landing.landed_counts({"orders": w.staged("orders")})
-    announced = w.orders.groupBy(F.to_date("created_at").alias("source_date")).agg(
-        (F.count("*") + 2).alias("rows_manifest")
-    )
-    return quality.shortfalls(staged, announced.withColumn("source_table", F.lit("orders")))
+    """Landing counts against manifests that announce two more rows of each fact than were placed."""
+    staged = landing.landed_counts({t: w.staged(t) for t in ("orders", "order_items", "payments")})
+    return quality.shortfalls(staged, w.announced.withColumn("rows_manifest", F.col("rows_manifest") + 2))
 
 
 @query(
@@ -957,13 +1043,12 @@ def _(w: Work) -> DataFrame:
               (SELECT count(*) FROM j_items WHERE reason IS NOT NULL)""",
 )
 def _(w: Work) -> DataFrame:
-    w.keep_judged()
     parts = []
     for table in ("orders", "order_items"):
         counted = {
-            "rows_staging": w.staged(table),
-            "rows_promoted": w.promotions[table].accepted,
-            "rows_rejected": w.promotions[table].rejected,
+            "rows_staging": w.verdicts[table],
+            "rows_promoted": w.winners(table),
+            "rows_rejected": w.verdicts[table].where("reject_reason IS NOT NULL"),
         }
         parts += [f.select(F.lit(table).alias("source_table"), F.lit(n).alias("kind")) for n, f in counted.items()]
     kinds = ["rows_staging", "rows_promoted", "rows_rejected"]
@@ -1000,6 +1085,25 @@ def _(w: Work) -> DataFrame:
     return promote.plain_dimension(promote.type_users(w.staged("users"), uuid_ids=False))
 
 
+@query(
+    "pl20_plain_categories",
+    """SELECT category_id::DECIMAL(38,6)::BIGINT AS category_id, name,
+              nullif(parent_id, '')::DECIMAL(38,6)::BIGINT AS parent_id FROM s_categories""",
+)
+def _(w: Work) -> DataFrame:
+    return promote.plain_dimension(promote.type_categories(w.staged("categories")))
+
+
+@query(
+    "pl20_plain_products",
+    """SELECT product_id, name, nullif(category_id, '')::DECIMAL(38,6)::BIGINT AS category_id, price::DOUBLE AS price,
+              cost_price::DOUBLE AS cost_price, rating::DOUBLE AS rating, is_available::BOOLEAN AS is_available,
+              created_at::TIMESTAMP::VARCHAR AS created_at FROM s_products""",
+)
+def _(w: Work) -> DataFrame:
+    return promote.plain_dimension(promote.type_products(w.staged("products"), uuid_ids=False))
+
+
 @query(
     "win1_order_copies",
     """SELECT order_id, created_at, _source_date::VARCHAR AS source_date,
@@ -1031,7 +1135,6 @@ def _(w: Work) -> DataFrame:
     """SELECT source_table, sum(rows_conflict_skipped)::BIGINT AS skipped FROM n_audit GROUP BY 1""",
 )
 def _(w: Work) -> DataFrame:
-    w.keep_judged()
     return w.audit.groupBy("source_table").agg(F.sum("rows_conflict_skipped").alias("skipped"))
 
 
@@ -1041,8 +1144,7 @@ def _(w: Work) -> DataFrame:
        FROM q_all GROUP BY 1, 2, 3""",
 )
 def _(w: Work) -> DataFrame:
-    w.keep_judged()
-    return quality.reject_summary(w.rejected)
+    return w.reject_counts
 
 
 def _constraints_sql(users: str, products: str, orders: str, items: str, payments: str) -> str:
@@ -1108,6 +1210,20 @@ def _(w: Work) -> DataFrame:
     return typed.select("order_id", "discount_amount", "promo_code")
 
 
+@query(
+    "con6_omitted_flags",
+    """SELECT 'users' AS entity, user_id AS id, true AS flag FROM s_users
+       UNION ALL SELECT 'products', product_id, true FROM s_products""",
+)
+def _(w: Work) -> DataFrame:
+    """Users and products delivered without their flags, which default to true."""
+    users = promote.type_users(promote.fill_omitted(w.staged("users").drop("is_active"), "users"), uuid_ids=False)
+    products = promote.type_products(promote.fill_omitted(w.staged("products").drop("is_available"), "products"), uuid_ids=False)
+    return users.select(F.lit("users").alias("entity"), F.col("user_id").alias("id"), F.col("is_active").alias("flag")).unionByName(
+        products.select(F.lit("products").alias("entity"), F.col("product_id").alias("id"), F.col("is_available").alias("flag"))
+    )
+
+
 # ---- sources and sinks ------------------------------------------------------------------
 
 
@@ -1119,9 +1235,9 @@ def _(w: Work) -> DataFrame:
 def _(w: Work) -> DataFrame:
     """All landing orders written to one CSV table in two appends and scanned back as text."""
     root = w.folder_for("monolith")
-    rows = w.staged("orders")
-    sinks.write_monolith(rows.where("status = 'completed'"), root, "orders", first=True)
-    sinks.write_monolith(rows.where("status <> 'completed'"), root, "orders", first=False)
+    rows, done = w.staged("orders"), F.col("status").eqNullSafe("completed")
+    sinks.write_monolith(rows.where(done), root, "orders", first=True)
+    sinks.write_monolith(rows.where(~done), root, "orders", first=False)
     return landing.read_monolith(w.spark, root, "orders")
 
 
@@ -1133,7 +1249,7 @@ def _(w: Work) -> DataFrame:
 def _(w: Work) -> DataFrame:
     root = w.folder_for("manifests")
     sinks.write_manifests(sinks.manifest_counts({"events": (w.events_fact, F.col("created_at"))}), root)
-    return sinks.read_written_manifests(w.spark, root)
+    return landing.read_written_manifests(w.spark, root)
 
 
 @query(

@@ -76,7 +76,8 @@ def _in_days(rows: DataFrame, days: Sequence[str], column: str = "_source_date")
 
 def _covers_all(wh: Warehouse, days: Sequence[str]) -> bool:
     """Do the given days make up the whole history?  Answered by the directory listing."""
-    names = [n for e in ("users_deliveries", *FACTS) for n in storage.children(wh.spark, wh.path(f"core/{e}"))]
+    tables = ("users_deliveries", "products_deliveries", *FACTS)
+    names = [n for e in tables for n in storage.children(wh.spark, wh.path(f"core/{e}"))]
     return {n.removeprefix("_source_date=") for n in names if "=" in n} <= set(days)
 
 
@@ -136,16 +137,14 @@ def load_core(
 
     Days without a directory are skipped.  Running days again replaces their slices.
     """
-    if len(days) == 1:
-        days = [ds for ds in days if landing.has_day(spark, raw, ds)]
-    else:
-        days = sorted(set(days) & set(landing.day_partitions(spark, raw)))
+    days = sorted(set(days) & set(landing.day_partitions(spark, raw)))
     if not days:
         return "skipped"
     run_id = f"run-{uuid.uuid4().hex[:12]}"
     work = wh.path(f"_work/{run_id}")
     last = max(days)
     try:
+        _remember_slices(wh, days)
         _load_dimensions(wh, raw, days, run_time, run_id, uuid_ids)
         _require_parents(wh, days)
 
@@ -219,6 +218,13 @@ def _require_single_payment(wh: Warehouse, accepted: DataFrame, days: Sequence[s
     quality.require_zero(quality.unique_report("payments", ids, "order_id"))
 
 
+def _key_report(wh: Warehouse, table: str, days: Sequence[str]) -> DataFrame:
+    """Primary keys of the new slices that occur twice, there or in earlier slices."""
+    key = quality.CORE_RULES[table].unique[0]
+    rows = wh.read(f"core/{table}")
+    return quality.unique_report(table, _cut(wh, rows.select(key), _in_days(rows, days), key, days), key)
+
+
 def _audit(wh: Warehouse, raw: str, judged: dict[str, DataFrame], days: Sequence[str], run_time: datetime, run_id: str) -> None:
     counts = quality.union_all(
         [
@@ -227,24 +233,28 @@ def _audit(wh: Warehouse, raw: str, judged: dict[str, DataFrame], days: Sequence
         ]
     )
     clock = F.lit(run_time.isoformat(sep=" ")).cast("timestamp_ntz")
-    lines = quality.load_audit(counts, landing.read_manifest(wh.spark, raw, days)).withColumns(
+    asked = wh.spark.createDataFrame(
+        [(datetime.fromisoformat(ds).date(), t) for ds in days for t in judged], "source_date date, source_table string"
+    )
+    lines = quality.load_audit(counts, landing.read_manifest(wh.spark, raw, days), asked).withColumns(
         {
             "run_id": F.lit(run_id), "started_at": clock,
             "finished_at": F.current_timestamp().cast("timestamp_ntz"), "status": F.lit("success"),
         }
     )
-    sinks.upsert_audit(lines.select(*columns_of(LOAD_AUDIT)), wh.path("dq/load_audit"))
+    sinks.upsert_audit(lines.select(*columns_of(LOAD_AUDIT)), wh.path("dq/load_audit"), days)
 
 
 def _gates(wh: Warehouse, raw: str, days: Sequence[str]) -> None:
-    """New items against their parents, then landed rows against the manifests."""
+    """Keys of the new rows, new items against their parents, then landed rows against the manifests."""
+    quality.require_zero(quality.union_all([_key_report(wh, t, days) for t in FACTS]))
     items = _in_days(wh.read("core/order_items"), days)
     parents = only_keys_of(wh.read("core/orders").select("order_id", "user_id"), items, "order_id")
     products = only_keys_of(wh.deliveries("products").select("product_id").distinct(), items, "product_id")
     quality.require_integrity(quality.integrity_counts(parents, items, products))
     audit = _in_days(wh.read("dq/load_audit"), days, "source_date")
     manifest = landing.read_manifest(wh.spark, raw, days).where(F.col("source_table").isin(list(FACTS)))
-    quality.require_complete(audit, manifest)
+    quality.require_complete(audit, manifest, wh.path("dq/shortfalls"))
 
 
 def check_core(wh: Warehouse) -> None:
@@ -271,6 +281,7 @@ def load_facts(
     with sinks.RunLog(spark, wh.path("ops/etl_log"), "core_to_facts", days[-1], run_time) as log:
         order_days = _write_facts(spark, raw, wh, days, run_time, log)
         refresh_marts(wh, sorted({*days, *order_days}))
+        storage.delete(spark, wh.path(LEFT_SLICES))
         log.add("run_complete", "ALL", 0, 0.0)
 
 
@@ -314,17 +325,38 @@ def _write_facts(
     have = landing.days_with(spark, raw, "events.csv", days)
     if have:
         started = time.monotonic()
-        day = F.to_date(F.regexp_extract(F.col("_metadata.file_path"), landing.DAY_PATTERN, 1))
-        scanned = landing.read_typed_events(spark, [f"{raw}/{ds}/events.csv" for ds in have])
-        rows = facts.events_fact(scanned.withColumn("_source_date", day), keep=("_source_date",))
+        rows = facts.events_fact(landing.read_events_of_days(spark, raw, have), keep=("_source_date",))
         path = wh.path("facts/events_fact")
         written = sinks.write_fact(rows, path, "events_fact", have, day="_source_date")
         log.add("load_events", "events_fact", written, time.monotonic() - started)
     return order_days
 
 
+LEFT_SLICES = "ops/left_slices"
+
+
+def _remember_slices(wh: Warehouse, days: Sequence[str]) -> None:
+    """Note the fact slices of the core rows that the run is about to replace.
+
+    A row that the new delivery no longer holds leaves its slice stale; the note
+    stays until ``load_facts`` has refreshed the slice, also in a later run.
+    """
+    if all(wh.has(f"core/{t}") for t in FACTS):
+        sinks.append(_fact_days(wh, days), wh.path(LEFT_SLICES))
+
+
 def _affected_days(wh: Warehouse, days: Sequence[str]) -> tuple[list[str], list[str]]:
-    """Fact slices that rows delivered in ``days`` belong to: order days and payment days.
+    """Fact slices to refresh: those of the rows delivered in ``days`` and those that replaced rows have left."""
+    rows = _fact_days(wh, days)
+    if wh.has(LEFT_SLICES):
+        rows = rows.unionByName(wh.spark.read.schema(rows.schema).parquet(wh.path(LEFT_SLICES)))
+    found = rows.distinct().collect()
+    listed = lambda kind: sorted({*days, *(r.day.isoformat() for r in found if r.kind == kind)})
+    return listed("order"), listed("payment")
+
+
+def _fact_days(wh: Warehouse, days: Sequence[str]) -> DataFrame:
+    """``day, kind``: order days and payment days of the core rows delivered in ``days``.
 
     Rows mostly belong to their delivery day; late items and payments past
     midnight reach other slices.  The result is one entry per calendar day.
@@ -335,15 +367,12 @@ def _affected_days(wh: Warehouse, days: Sequence[str]) -> tuple[list[str], list[
     new_orders = _in_days(orders, days)
     order_days = late.unionByName(new_orders, allowMissingColumns=True).select(F.to_date("created_at").alias("day"))
     payment_days = _in_days(wh.read("core/payments"), days).select(F.to_date("processed_at").alias("day"))
-    found = (
+    return (
         order_days.withColumn("kind", F.lit("order"))
         .unionByName(payment_days.withColumn("kind", F.lit("payment")))
         .where("day IS NOT NULL")
         .distinct()
-        .collect()
     )
-    listed = lambda kind: sorted({*days, *(r.day.isoformat() for r in found if r.kind == kind)})
-    return listed("order"), listed("payment")
 
 
 def refresh_marts(wh: Warehouse, days: Sequence[str]) -> None:

@@ -32,10 +32,6 @@ NULL_PRODUCT = "null_product_id"
 ORPHAN_PRODUCT = "orphan_product"
 NEGATIVE_QUANTITY = "negative_quantity"
 ORPHAN_ORDER = "orphan_order"
-REASONS = (
-    NULL_USER, ORPHAN_USER, DUPLICATE_PK,
-    NULL_PRODUCT, ORPHAN_PRODUCT, NEGATIVE_QUANTITY, ORPHAN_ORDER,
-)
 
 
 @dataclass(frozen=True)
@@ -207,10 +203,13 @@ def _rejected(classified: DataFrame) -> DataFrame:
     return classified.where(F.col("reject_reason").isNotNull())
 
 
-def _winners(classified: DataFrame, key: str) -> DataFrame:
-    """First accepted row per key; the others are dropped silently, as on a key conflict."""
+def _winners(classified: DataFrame, key: str, uuid_ids: bool) -> DataFrame:
+    """First accepted row per key; the others are dropped silently, as on a key conflict.
+
+    Spellings of one UUID are one key.
+    """
     clean = classified.where(F.col("reject_reason").isNull()).drop("reject_reason")
-    return first_per_key(clean, [key], ["_source_date", "_loaded_at"])
+    return first_per_key(clean.withColumn(key, _id(key, uuid_ids)), [key], ["_source_date", "_loaded_at"])
 
 
 def _without_known(rows: DataFrame, existing: DataFrame | None, key: str) -> DataFrame:
@@ -220,8 +219,14 @@ def _without_known(rows: DataFrame, existing: DataFrame | None, key: str) -> Dat
 def split_orders(
     classified: DataFrame, existing: DataFrame | None = None, uuid_ids: bool = True
 ) -> Promotion:
-    """``existing`` holds the order ids that earlier runs already promoted."""
+    """``existing`` holds the order ids that earlier runs already promoted.
+
+    Copies are told apart by the text of the id, as delivered; spellings of one
+    UUID then compete for the key without being rejected.
+    """
     winners = classified.where(F.col("copy_state") == FIRST)
+    if uuid_ids:
+        winners = _winners(winners, "order_id", uuid_ids)
     accepted = _without_known(type_orders(winners, uuid_ids), existing, "order_id")
     return Promotion(accepted, _rejected(classified).drop("copy_state"))
 
@@ -229,14 +234,14 @@ def split_orders(
 def split_items(
     classified: DataFrame, existing: DataFrame | None = None, uuid_ids: bool = True
 ) -> Promotion:
-    accepted = type_items(_winners(classified, "order_item_id"), uuid_ids)
+    accepted = type_items(_winners(classified, "order_item_id", uuid_ids), uuid_ids)
     return Promotion(_without_known(accepted, existing, "order_item_id"), _rejected(classified))
 
 
 def split_payments(
     classified: DataFrame, existing: DataFrame | None = None, uuid_ids: bool = True
 ) -> Promotion:
-    accepted = type_payments(_winners(classified, "payment_id"), uuid_ids)
+    accepted = type_payments(_winners(classified, "payment_id", uuid_ids), uuid_ids)
     return Promotion(_without_known(accepted, existing, "payment_id"), _rejected(classified))
 
 

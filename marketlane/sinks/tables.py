@@ -15,7 +15,7 @@ from marketlane.functions.dates import yyyymm
 from marketlane.operators.quality import union_all
 from marketlane.schemas import ETL_LOG, FACT_DAY_COLUMN, FACT_SORT_KEY, LANDING_COLUMNS
 from marketlane.sources import storage
-from marketlane.sources.landing import COUNTED, unpivot_counts
+from marketlane.sources.landing import COUNTED
 
 
 def append(rows: DataFrame, path: str) -> None:
@@ -114,10 +114,17 @@ class RunLog:
         append(self.spark.createDataFrame(self._records, ETL_LOG).coalesce(1), self.path)
 
 
-def upsert_audit(audit: DataFrame, path: str) -> int:
-    """Replace the audit lines of the days in ``audit``: one line per day and table."""
+def upsert_audit(audit: DataFrame, path: str, days: Sequence[str] | None = None) -> int:
+    """Replace the audit lines of ``days``, or of the days in ``audit``: one line per day and table."""
     dated = audit.withColumn("ds", F.col("source_date")).hint("rebalance", "ds")
-    return replace_slices(dated, path, ["ds"])
+    return replace_slices(dated, path, ["ds"], days)
+
+
+# Fields keep their own white space; the writer would trim it.
+CSV_WRITE = {
+    "header": "true", "escape": '"', "emptyValue": "",
+    "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+}
 
 
 def write_landing(rows: DataFrame, root: str, entity: str, day) -> None:
@@ -128,7 +135,7 @@ def write_landing(rows: DataFrame, root: str, entity: str, day) -> None:
         dated.hint("rebalance", "_source_date")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .options(header="true", escape='"', emptyValue="")
+        .options(**CSV_WRITE)
         .partitionBy("_source_date")
         .csv(f"{root}/{entity}")
     )
@@ -153,18 +160,11 @@ def write_manifests(counts: DataFrame, root: str) -> None:
     )
 
 
-def read_written_manifests(spark: SparkSession, root: str) -> DataFrame:
-    """Counts written by ``write_manifests`` as ``source_date, source_table, rows_manifest``."""
-    schema = ", ".join(f"{e} bigint" for e in COUNTED) + ", ds date"
-    wide = spark.read.schema(schema).json(f"{root}/manifest")
-    return unpivot_counts(wide.withColumnRenamed("ds", "source_date"))
-
-
 def write_monolith(rows: DataFrame, root: str, entity: str, first: bool) -> None:
     """Append to one CSV table per entity, started anew by the first batch."""
     (
         rows.select(*LANDING_COLUMNS[entity])
         .write.mode("overwrite" if first else "append")
-        .options(header="true", escape='"', emptyValue="")
+        .options(**CSV_WRITE)
         .csv(f"{root}/{entity}.csv")
     )

@@ -1,8 +1,13 @@
 """CSV landing zone: everything is text and no row is refused.
 
-Two layouts are read.  ``day``: ``root/YYYY-MM-DD/orders.csv`` with
+Two layouts are read, and told apart by the folder ``root/orders``.  ``day``: ``root/YYYY-MM-DD/orders.csv`` with
 ``root/categories.csv``.  ``entity``: ``root/orders/_source_date=YYYY-MM-DD/*.csv``,
 which is what Spark writes.
+
+Quoted fields may hold newlines, and a row with too many or too few fields fails
+the read.  Reading newlines costs one task per file, whatever its size; a feed
+that is known to have none can be read with ``multi_line=False`` and is then
+split.
 """
 
 from __future__ import annotations
@@ -19,7 +24,15 @@ from marketlane.sources import storage
 COUNTED = (*DIMENSIONS, *FACTS, "events")
 DAY_PATTERN = r"(\d{4}-\d{2}-\d{2})/[^/]+$"
 # Quotes inside quoted fields are doubled.
-CSV_OPTIONS = {"header": "true", "escape": '"', "encoding": "UTF-8"}
+CSV_OPTIONS = {
+    "header": "true", "escape": '"', "encoding": "UTF-8",
+    # All columns are parsed, so that a wrong number of fields is seen whatever is selected.
+    "mode": "FAILFAST", "columnPruning": "false",
+}
+
+
+def csv_options(multi_line: bool = True) -> dict[str, str]:
+    return CSV_OPTIONS | {"multiLine": str(multi_line).lower()}
 
 
 def stamp(rows: DataFrame, source_date, loaded_at: datetime, batch_id: str) -> DataFrame:
@@ -37,27 +50,36 @@ def empty_landing(spark: SparkSession, entity: str) -> DataFrame:
     return spark.createDataFrame([], landing_schema(entity))
 
 
-def has_day(spark: SparkSession, root: str, ds: str) -> bool:
-    """Is there a partition for the day?  If not, the day is skipped."""
-    return storage.exists(spark, f"{root}/{ds}")
+def _by_entity(spark: SparkSession, root: str) -> bool:
+    """Does the landing zone have a folder per entity?"""
+    return storage.exists(spark, f"{root}/orders")
+
+
+def _entity_days(spark: SparkSession, root: str, folder: str, partition: str = "_source_date") -> set[str]:
+    names = storage.children(spark, f"{root}/{folder}")
+    return {n.removeprefix(f"{partition}=") for n in names if n.startswith(f"{partition}=")}
 
 
 def day_partitions(spark: SparkSession, root: str) -> list[str]:
     """Days that have a directory, from the listing alone."""
+    if _by_entity(spark, root):
+        return sorted(set().union(*(_entity_days(spark, root, e) for e in COUNTED if e != "categories")))
     return [n for n in storage.children(spark, root) if len(n) == 10 and n[4] == n[7] == "-"]
 
 
 def days_with(spark: SparkSession, root: str, name: str, days: Sequence[str]) -> list[str]:
-    """Those of ``days`` that hold a file ``name``: one look-up for one day, one listing for many."""
-    if len(days) == 1:
-        return [ds for ds in days if storage.exists(spark, f"{root}/{ds}/{name}")]
+    """Those of ``days`` that hold a file ``name``, by one listing."""
+    if _by_entity(spark, root):
+        folder = name.split(".")[0]
+        found = _entity_days(spark, root, folder, "ds" if folder == "manifest" else "_source_date")
+        return [ds for ds in days if ds in found]
     found = {path.rsplit("/", 2)[1] for path in storage.matching(spark, f"{root}/*/{name}")}
     return [ds for ds in days if ds in found]
 
 
-def read_csv(spark: SparkSession, entity: str, path: str | Sequence[str]) -> DataFrame:
+def read_csv(spark: SparkSession, entity: str, path: str | Sequence[str], multi_line: bool = True) -> DataFrame:
     paths = [path] if isinstance(path, str) else list(path)
-    return spark.read.schema(landing_schema(entity)).options(**CSV_OPTIONS).csv(paths)
+    return spark.read.schema(landing_schema(entity)).options(**csv_options(multi_line)).csv(paths)
 
 
 def read_entity(
@@ -73,6 +95,11 @@ def read_entity(
     A file that is missing inside a day counts as no rows.  Categories have no
     day: the root file is re-read each run and stamped with the run's first day.
     """
+    if _by_entity(spark, root):
+        rows = read_entity_layout(spark, root, entity, loaded_at, batch_id)
+        if entity == "categories":
+            return rows.withColumn("_source_date", F.lit(min(days)).cast("date"))
+        return rows.where(_one_of("_source_date", days))
     if entity == "categories":
         paths = storage.matching(spark, f"{root}/categories.csv")
         day = F.lit(min(days)).cast("date")
@@ -84,6 +111,10 @@ def read_entity(
     return stamp(read_csv(spark, entity, paths), day, loaded_at, batch_id)
 
 
+def _one_of(column: str, days: Sequence[str]):
+    return F.col(column).isin([datetime.fromisoformat(d).date() for d in days])
+
+
 def read_entity_layout(
     spark: SparkSession, root: str, entity: str, loaded_at: datetime, batch_id: str
 ) -> DataFrame:
@@ -92,7 +123,7 @@ def read_entity_layout(
     if not storage.exists(spark, path):
         return stamp(empty_landing(spark, entity), F.lit(None).cast("date"), loaded_at, batch_id)
     schema = landing_schema(entity).add("_source_date", T.DateType())
-    rows = spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
+    rows = spark.read.schema(schema).options(**csv_options()).csv(path)
     return stamp(rows, F.col("_source_date"), loaded_at, batch_id)
 
 
@@ -113,18 +144,29 @@ def _typed_events_schema() -> T.StructType:
 def read_typed_events(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Events go straight to the fact table, so their time is typed by the scan; a bad time fails."""
     paths = [path] if isinstance(path, str) else list(path)
-    reader = spark.read.schema(_typed_events_schema()).options(**CSV_OPTIONS)
-    return reader.option("mode", "FAILFAST").csv(paths)
+    return spark.read.schema(_typed_events_schema()).options(**csv_options()).csv(paths)
+
+
+def read_events_of_days(spark: SparkSession, root: str, days: Sequence[str]) -> DataFrame:
+    """Typed events of the given days, which all have a file, with their ``_source_date``."""
+    if _by_entity(spark, root):
+        schema = _typed_events_schema().add("_source_date", T.DateType())
+        rows = spark.read.schema(schema).options(**csv_options()).csv(f"{root}/events")
+        return rows.where(_one_of("_source_date", days))
+    day = F.to_date(F.regexp_extract(F.col("_metadata.file_path"), DAY_PATTERN, 1))
+    return read_typed_events(spark, [f"{root}/{ds}/events.csv" for ds in days]).withColumn("_source_date", day)
 
 
 def stream_typed_events(spark: SparkSession, root: str, files_per_batch: int = 1000) -> DataFrame:
     """The same scan as a file stream over all day partitions, present and to come."""
-    reader = spark.readStream.schema(_typed_events_schema()).options(**CSV_OPTIONS)
-    return reader.option("mode", "FAILFAST").option("maxFilesPerTrigger", files_per_batch).csv(f"{root}/*/events.csv")
+    reader = spark.readStream.schema(_typed_events_schema()).options(**csv_options())
+    return reader.option("maxFilesPerTrigger", files_per_batch).csv(f"{root}/*/events.csv")
 
 
 def read_manifest(spark: SparkSession, root: str, days: Sequence[str]) -> DataFrame:
     """Announced row counts as ``source_date, source_table, rows_manifest``."""
+    if _by_entity(spark, root) and days_with(spark, root, "manifest.json", days):
+        return read_written_manifests(spark, root).where(_one_of("source_date", days))
     paths = [f"{root}/{ds}/manifest.json" for ds in days_with(spark, root, "manifest.json", days)]
     if not paths:
         return spark.createDataFrame([], "source_date date, source_table string, rows_manifest bigint")
@@ -134,6 +176,13 @@ def read_manifest(spark: SparkSession, root: str, days: Sequence[str]) -> DataFr
     return unpivot_counts(wide.select(day.alias("source_date"), *COUNTED))
 
 
+def read_written_manifests(spark: SparkSession, root: str) -> DataFrame:
+    """Counts written by ``write_manifests`` as ``source_date, source_table, rows_manifest``."""
+    schema = ", ".join(f"{e} bigint" for e in COUNTED) + ", ds date"
+    wide = spark.read.schema(schema).json(f"{root}/manifest")
+    return unpivot_counts(wide.withColumnRenamed("ds", "source_date"))
+
+
 def unpivot_counts(wide: DataFrame) -> DataFrame:
     """One line per entity that a manifest mentions."""
     pairs = ", ".join(f"'{e}', {e}" for e in COUNTED)

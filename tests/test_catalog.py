@@ -1,6 +1,6 @@
 import pytest
 
-from marketlane.plans.catalog import CHECKS, QUERIES
+from marketlane.plans.catalog_runs import CHECKS, QUERIES
 from tests.oracle import compare, connect
 
 

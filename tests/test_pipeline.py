@@ -186,8 +186,10 @@ def test_lost_rows_stop_the_run(spark, tmp_path):
     one_day(tmp_path / "raw")
     write_day(tmp_path / "raw", "2025-01-01", manifest={"orders": 5}, users=[user(1, "2025-01-01")], orders=[order(1, 1, "2025-01-01")])
     wh = Warehouse(spark, str(tmp_path / "wh"))
-    with pytest.raises(QualityError, match="rows lost: 2025-01-01 orders 1 < 5"):
+    with pytest.raises(QualityError, match="rows lost: 1 days and tables .*dq/shortfalls"):
         pipeline.load_core(spark, str(tmp_path / "raw"), wh, ["2025-01-01"], RUN)
+    (line,) = spark.read.parquet(wh.path("dq/shortfalls")).collect()
+    assert (str(line.source_date), line.source_table, line.rows_staging, line.rows_manifest) == ("2025-01-01", "orders", 1, 5)
 
 
 @pytest.mark.parametrize(
