@@ -13,8 +13,11 @@ Documents find their place by their rank among the pieces of their length.
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +25,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, Window, functions as F
 from tokenizers import Tokenizer
 
-from marketlane.llm.common import slices, texts, written
+from marketlane.llm.common import Memo, slices, texts, written
 
 CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
@@ -33,60 +36,78 @@ CHUNKS = 400_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids array<int>"
 
 
-class ChunkIds:
-    """Token ids of white-space separated chunks, each chunk encoded once.
+#: A word of Latin letters that are one character in any normal form, and marks that are one pre-token.
+PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?|*#%&$]*)")
+
+
+class ChunkIds(dict):
+    """Places of token ids by white-space separated chunk; each chunk is encoded once.
 
     The tokenizer folds white space and its pre-tokens never hold any, so the
     ids of a text are those of its chunks in order.  Only the ASCII white space
     that the tokenizer itself folds separates chunks here; other spaces stay
-    inside a chunk and are handled by the tokenizer.
+    inside a chunk and are handled by the tokenizer.  A plain word goes to the
+    tokenizer's merges directly, as its normaliser and pre-tokenizer would only
+    lower its letters and part it from its marks; all else takes the whole way.
     """
 
     def __init__(self, path: str, end_id: int):
-        self.tokenizer = Tokenizer.from_file(path)
-        self.end_id = end_id
+        super().__init__()
+        self.tokenizer, self.end_id = Tokenizer.from_file(path), end_id
+        spelt = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        self.letters = {c: spelt(chr(c))[0][0] for c in range(0xDF, 0x100) if chr(c).isalpha()}
+        merges = self.tokenizer.model.tokenize
+        self.words = Memo(lambda w: [t.id for t in merges(w)], CHUNKS // 2)
         self.reset()
 
     def reset(self):
-        self.place = {None: 0}
-        self.flat = np.full(1 << 16, self.end_id, dtype=np.uint32)
-        self.first, self.size, self.used = [0], [1], 1
-
-    def learn(self, chunks: list[bytes]):
-        encoded = self.tokenizer.encode_batch([c.decode("utf-8", "replace") for c in chunks], add_special_tokens=False)
-        for chunk, code in zip(chunks, encoded):
-            ids = code.ids
-            if self.used + len(ids) > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.empty(max(len(self.flat), len(ids)), dtype=np.uint32)])
-            self.flat[self.used : self.used + len(ids)] = ids
-            self.place[chunk] = len(self.first)
-            self.first.append(self.used)
-            self.size.append(len(ids))
-            self.used += len(ids)
+        self.clear()
+        self.flat, self.first, self.size = array("I", [self.end_id]), array("q", [0]), array("q", [1])
+        self[None] = 0
+
+    def ids_of(self, chunk: bytes) -> list[int]:
+        text = chunk.decode("utf-8", "replace")
+        plain = PLAIN.fullmatch(text)
+        if not plain:
+            return self.tokenizer.encode(text, add_special_tokens=False).ids
+        word, marks = plain.groups()
+        word = word.lower()
+        ids = self.words[word if word.isascii() else word.translate(self.letters)]
+        return ids + self.words[marks] if marks else ids
+
+    def __missing__(self, chunk: bytes) -> int:
+        ids = self.ids_of(chunk)
+        self.first.append(len(self.flat))
+        self.size.append(len(ids))
+        self.flat.extend(ids)
+        place = self[chunk] = len(self.first) - 1
+        return place
 
     def encode(self, docs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all documents with the end id after each, and the number of ids of each document."""
-        if len(self.place) > CHUNKS:
+        if len(self) > CHUNKS:
             self.reset()
         split = [d.split() for d in docs]
-        new = {c for words in split for c in words}.difference(self.place)
-        if new:
-            self.learn(sorted(new))
-        place = self.place
-        index = np.array([place[c] for words in split for c in (*words, None)], dtype=np.int64)
+        index = np.array([self[c] for words in split for c in (*words, None)], dtype=np.int64)
         size, first = np.array(self.size)[index], np.array(self.first)[index]
         ends = np.cumsum(size)
-        ids = self.flat[np.arange(ends[-1]) + np.repeat(first - ends + size, size)]
+        ids = np.array(self.flat, dtype=np.uint32)[np.arange(ends[-1]) + np.repeat(first - ends + size, size)]
         counts = np.add.reduceat(size, np.concatenate([[0], np.cumsum([len(w) + 1 for w in split])[:-1]]))
         return ids, counts
 
 
+@lru_cache(maxsize=1)
+def chunk_ids(path: str) -> ChunkIds:
+    """One coder per Python worker: the next task goes on with what this one has learnt."""
+    return ChunkIds(path, END_ID)
+
+
 def token_pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None, keep_ids: bool = False) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32`` (and ``ids``) of every document, cut only where it exceeds ``capacity``."""
     path = path or public_tokenizers.path(TOKENIZER)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = ChunkIds(path, END_ID)
+        coder = chunk_ids(path)
         for batch in slices(batches):
             ids, counts = coder.encode(texts(batch))
             held = batch.column("doc_id").to_pylist()
