@@ -17,24 +17,20 @@ def lines_per_category(items: DataFrame, order: str, category: str) -> DataFrame
 def category_pairs(items: DataFrame, order: str, category: str) -> DataFrame:
     """Row pairs of different categories within one order: ``cat_a < cat_b, together``.
 
-    Orders with the same basket (categories and their line counts) are merged
-    first; pairs are then formed once per distinct basket, never per order.  A
-    basket holds at most one entry per category of the catalogue.
+    Pairs are formed from each order's sorted categories and summed before they
+    are shuffled, so every task sends at most one row per pair of categories.
+    An order has at most one entry per category of the catalogue.
     """
     baskets = (
         lines_per_category(items, order, category)
         .groupBy(order)
         .agg(F.sort_array(F.collect_list(F.struct(F.col(category).alias("cat"), "n"))).alias("basket"))
         .where(F.size("basket") > 1)
-        .groupBy("basket")
-        .agg(F.count("*").alias("orders"))
-    )
-    left = baskets.select("basket", "orders", F.posexplode("basket").alias("pos", "a"))
-    pairs = left.select(
-        "orders", "a", F.explode(F.expr("slice(basket, pos + 2, size(basket))")).alias("b")
     )
+    left = baskets.select("basket", F.posexplode("basket").alias("pos", "a"))
+    pairs = left.select("a", F.explode(F.expr("slice(basket, pos + 2, size(basket))")).alias("b"))
     return pairs.groupBy(F.col("a.cat").alias("cat_a"), F.col("b.cat").alias("cat_b")).agg(
-        F.sum(F.col("a.n") * F.col("b.n") * F.col("orders")).alias("together")
+        F.sum(F.col("a.n") * F.col("b.n")).alias("together")
     )
 
 

@@ -41,10 +41,11 @@ def retention_matrix(long: DataFrame, offsets: Sequence[int]) -> DataFrame:
 
 def offset_span(cohorts: DataFrame, activity: DataFrame) -> range:
     """Every month offset that can occur: from none to the first cohort's distance to the last active month."""
-    first = cohorts.agg(F.min("cohort").alias("first"))
-    last = activity.agg(F.max("active_month").alias("last"))
-    months = first.join(last, F.lit(True)).select(months_between_starts("first", "last").alias("m")).first()["m"]
-    return range(max(0, months if months is not None else 0) + 1)
+    first = cohorts.agg(F.min("cohort").alias("month")).first()["month"]
+    last = activity.agg(F.max("active_month").alias("month")).first()["month"]
+    if first is None or last is None:
+        return range(1)
+    return range(max(0, 12 * (last.year - first.year) + last.month - first.month) + 1)
 
 
 def retention_share(long: DataFrame, cohorts: DataFrame) -> DataFrame:

@@ -25,31 +25,33 @@ def window_funnel(
     A key of any size is cut into time buckets as long as the window.  A chain
     that starts in bucket ``b`` ends in ``b`` or ``b + 1``, so group ``b`` gets
     the rows of ``b`` and, of the next bucket, those that can continue a chain.
-    Rows are first merged per second, which bounds a group by twice the window
-    length in seconds however many events one key has.
+    Rows are merged per second, which bounds a group by twice the window length
+    in seconds however many events one key has.  Buckets are given out first, so
+    the merge and the windows share one exchange by key and bucket; what is
+    combined before it leaves at most one row per second and task.
     """
     n = len(steps)
     flags = [f"_f{i}" for i in range(n)]
-    per_second = (
-        events.select(
-            *key,
-            epoch_seconds(ts).alias("_sec"),
-            *[F.coalesce(s, F.lit(False)).alias(f) for s, f in zip(steps, flags)],
-        )
-        .groupBy(*key, "_sec")
-        .agg(*[F.max(f).alias(f) for f in flags])
-    )
-    own = F.floor(F.col("_sec") / window_seconds)
     continues = F.lit(False)
     for f in flags[1:]:
         continues = continues | F.col(f)
-    placed = per_second.withColumn("_own", own).withColumn(
-        "_bucket",
-        F.explode(
-            F.when(continues, F.array(F.col("_own"), F.col("_own") - 1)).otherwise(
-                F.array(F.col("_own"))
-            )
-        ),
+    flagged = events.select(
+        *key,
+        epoch_seconds(ts).alias("_sec"),
+        *[F.coalesce(s, F.lit(False)).alias(f) for s, f in zip(steps, flags)],
+    ).withColumn("_own", F.floor(F.col("_sec") / window_seconds))
+    placed = (
+        flagged.withColumn(
+            "_bucket",
+            F.explode(
+                F.when(continues, F.array(F.col("_own"), F.col("_own") - 1)).otherwise(
+                    F.array(F.col("_own"))
+                )
+            ),
+        )
+        .repartition(*key, "_bucket")
+        .groupBy(*key, "_bucket", "_own", "_sec")
+        .agg(*[F.max(f).alias(f) for f in flags])
     )
     # Seconds are unique inside a group, so a row frame already covers all peers.
     running = (

@@ -289,8 +289,12 @@ def _write_facts(
     spark: SparkSession, raw: str, wh: Warehouse, days: Sequence[str], run_time: datetime, log: sinks.RunLog
 ) -> list[str]:
     order_days, payment_days = _affected_days(wh, days)
-    products, categories = skew_ready(wh.products()), wh.categories()
+    categories = wh.categories()
     orders, items, payments = (wh.read(f"core/{t}") for t in FACTS)
+    orders, items = _delivered_with(orders, items, order_days)
+    sold = only_keys_of(items, orders.where(in_days("created_at", order_days)), "order_id")
+    stocked = _cut(wh, wh.deliveries("products"), sold, "product_id", days)
+    products = skew_ready(promote.promote_products(stocked))
     buyers = _cut(wh, wh.deliveries("users"), orders.where(in_days("created_at", order_days)), "user_id", days)
     users = skew_ready(promote.promote_users(buyers))
     stamp = F.lit(run_time.isoformat(sep=" ")).cast("timestamp_ntz").alias("updated_at")
@@ -345,6 +349,19 @@ def _remember_slices(wh: Warehouse, days: Sequence[str]) -> None:
         sinks.append(_fact_days(wh, days), wh.path(LEFT_SLICES))
 
 
+def _delivered_with(orders: DataFrame, items: DataFrame, order_days: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Orders and items without the deliveries that hold nothing of the given order days.
+
+    One look at two columns of the orders finds the span of their deliveries; an
+    item never arrives before its order, so the span's start holds for items too.
+    """
+    day = F.col("_source_date")
+    span = orders.where(in_days("created_at", order_days)).agg(F.min(day).alias("first"), F.max(day).alias("last")).first()
+    if span["first"] is None:
+        return orders, items
+    return orders.where(day.between(span["first"], span["last"])), items.where(day >= span["first"])
+
+
 def _affected_days(wh: Warehouse, days: Sequence[str]) -> tuple[list[str], list[str]]:
     """Fact slices to refresh: those of the rows delivered in ``days`` and those that replaced rows have left."""
     rows = _fact_days(wh, days)

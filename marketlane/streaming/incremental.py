@@ -9,12 +9,13 @@ is needed.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from marketlane.functions.dates import yyyymm
 from marketlane.plans import marts
-from marketlane.schemas import FACT_DAY_COLUMN, FACT_SORT_KEY, FACT_TABLES
+from marketlane.schemas import FACT_DAY_COLUMN, FACT_SORT_KEY, FACT_TABLES, MARTS
 from marketlane.sinks.tables import replace_slices
+from marketlane.sources import storage
 
 
 def _drain(writer, checkpoint: str) -> None:
@@ -65,7 +66,8 @@ def run_fact_ingest(rows: DataFrame, table: str, root: str, checkpoint: str) ->
         fact = f"{root}/{table}"
         replace_slices(laid_out, fact, ["batch", "month"])
         layout = f"{FACT_TABLES[table]}, batch bigint, month int"
-        written = spark.read.schema(layout).parquet(fact).where(F.col("batch") == batch_id)
+        # Only the directory of the batch is listed, however many there are.
+        written = spark.read.schema(layout).option("basePath", fact).parquet(f"{fact}/batch={batch_id}")
         for mart, build in MARTS_OF[table].items():
             partial = build(written).withColumn("batch", F.lit(batch_id))
             replace_slices(partial, f"{root}/{mart}", ["batch"])
@@ -73,6 +75,47 @@ def run_fact_ingest(rows: DataFrame, table: str, root: str, checkpoint: str) ->
     _drain(rows.writeStream.foreachBatch(write), checkpoint)
 
 
+# Partial rows of one key to one, still as the mart stores them.
+COLLAPSE = {
+    "daily_gmv": marts.daily_gmv_collapse,
+    "category_revenue_daily": lambda r: marts.category_revenue_merge(r).withColumn("revenue", F.col("revenue").cast("decimal(18,2)")),
+    "user_category_first_buy": lambda r: r.groupBy("user_id", "category_id").agg(F.min("first_buy_state").alias("first_buy_state")),
+    "funnel_daily": marts.funnel_merge,
+}
+
+
+def compact(spark: SparkSession, table: str, root: str) -> None:
+    """Merge the batches of a fact and of its marts into the newest one; readers see the same totals.
+
+    Runs while no ingest does.  The merged rows are written aside first, under
+    the number of the newest batch.  A run that finds such a folder finishes it
+    instead of merging anew, so one that was cut off does no harm.
+    """
+    for name in (table, *MARTS_OF[table]):
+        path, aside = f"{root}/{name}", f"{root}/_compact_{name}"
+        batches = sorted(int(c.removeprefix("batch=")) for c in storage.children(spark, path) if c.startswith("batch="))
+        begun = [c for c in storage.children(spark, aside) if storage.exists(spark, f"{aside}/{c}/_SUCCESS")]
+        if not begun and len(batches) < 2:
+            continue
+        layout = f"{FACT_TABLES[table]}, month int" if name == table else MARTS[name]
+        if not begun:
+            rows = spark.read.schema(f"{layout}, batch bigint").parquet(path).drop("batch")
+            if name == table:
+                merged = rows.hint("rebalance", "month").sortWithinPartitions("month", *FACT_SORT_KEY[table])
+            else:
+                merged = COLLAPSE[name](rows)
+            merged.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{aside}/{batches[-1]}")
+            begun = [str(batches[-1])]
+        newest = int(begun[0])
+        kept = spark.read.schema(layout).parquet(f"{aside}/{newest}").withColumn("batch", F.lit(newest).cast("bigint"))
+        storage.delete(spark, f"{path}/batch={newest}")
+        replace_slices(kept, path, ["batch", *(["month"] if name == table else [])])
+        for batch in batches:
+            if batch < newest:
+                storage.delete(spark, f"{path}/batch={batch}")
+        storage.delete(spark, aside)
+
+
 def dedup_stream(events: DataFrame, delay: str) -> DataFrame:
     """Optional: drop repeated deliveries that arrive within ``delay`` of each other.
 

@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from marketlane.plans import facts, marts
 from marketlane.schemas import FACT_TABLES
-from marketlane.sources import landing
+from marketlane.sources import landing, storage
 from marketlane.streaming import incremental
 from tests.shop_files import event, write_day
 
@@ -52,6 +52,15 @@ def test_ingest_by_batch_equals_one_batch(spark, tmp_path):
     assert totals(marts.funnel_daily(spark.read.parquet(fact))) == TOTALS
     incremental.run_fact_ingest(stream(spark, src), "events_fact", root, state)
     assert spark.read.parquet(fact).count() == 5
+    for _ in range(2):  # the second finds nothing to do
+        incremental.compact(spark, "events_fact", root)
+        assert len([c for c in storage.children(spark, mart) if c.startswith("batch=")]) == 1
+        assert spark.read.parquet(mart).count() == 2 and spark.read.parquet(fact).count() == 5
+        assert totals(marts.funnel_merge(spark.read.parquet(mart))) == TOTALS
+        assert totals(marts.funnel_daily(spark.read.parquet(fact))) == TOTALS
+    make_batch(spark, src, 9, BATCHES[1])
+    incremental.run_fact_ingest(stream(spark, src), "events_fact", root, state)
+    assert spark.read.parquet(fact).count() == 6 and spark.read.parquet(mart).count() == 3
 
 
 def test_repeated_delivery_is_dropped_on_request(spark, tmp_path):
