@@ -31,19 +31,25 @@ MIN_WORDS = 5
 BLOCK_WORDS = 500_000
 
 MATCH, MISMATCH, GAP = 2, -1, -1
+#: Marks at the ends of most words; they are no letters or digits.
+MARKS = ".,;:!?|*#%&$\"'()"
 
 HITS = "doc_id long, item_id long, score double, first_word int, last_word int"
 
 
 def plain_word(chunk: bytes) -> str:
     """Letters and digits of a white-space separated chunk in lower case."""
-    return re.sub(r"[\W_]+", "", chunk.decode("utf-8", "replace").lower())
+    word = chunk.decode("utf-8", "replace").lower().strip(MARKS)
+    return word if word.isalnum() else re.sub(r"[\W_]+", "", word)
 
 
 def plain_words(text: bytes) -> list[str]:
     return [w for w in map(plain_word, text.split()) if w]
 
 
+NOTHING = np.zeros(1, dtype=np.int64)
+
+
 def gram_keys(words: np.ndarray) -> np.ndarray:
     """64-bit keys of the n-grams of word numbers; those that hold an unknown word (0) are 0."""
     if len(words) < N:
@@ -69,6 +75,7 @@ class Items:
     seeds: np.ndarray | None = None
     seed_item: np.ndarray | None = None
     seed_place: np.ndarray | None = None
+    memo: Memo | None = None
 
     @classmethod
     def of(cls, rows: list[tuple[int, list[str]]]) -> Items:
@@ -94,17 +101,20 @@ class Items:
         self.seed_item = np.array([f[1] for f in found], dtype=np.int64)
         self.seed_place = np.array([f[2] for f in found], dtype=np.int64)
 
-    def numbers(self, text: bytes, memo: Memo) -> np.ndarray:
-        """Word numbers of a text, 0 for words that no item has."""
-        found = np.fromiter((memo[c] for c in text.split()), np.int64)
-        return found[found >= 0]  # chunks without letters or digits are no words
-
-    def memo(self) -> Memo:
-        def number(chunk: bytes) -> int:
-            word = plain_word(chunk)
-            return self.vocabulary.get(word, 0) if word else -1
+    def numbers(self, docs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Word numbers of several texts, 0 for words that no item has and after each text; where each text begins."""
+        if self.memo is None:
+            self.memo = Memo(self._number, 300_000)  # kept with the block: the worker's next task goes on with it
+        memo, texts_of = self.memo, []
+        for text in docs:
+            own = np.array([memo[c] for c in text.split()], dtype=np.int64)
+            texts_of += [own[own >= 0], NOTHING]  # chunks without letters or digits are no words
+        sizes = [len(a) + 1 for a in texts_of[::2]]
+        return np.concatenate(texts_of), np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
 
-        return Memo(number, 300_000)
+    def _number(self, chunk: bytes) -> int:
+        word = plain_word(chunk)
+        return self.vocabulary.get(word, 0) if word else -1
 
 
 def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
@@ -202,14 +212,13 @@ def _counts(docs: DataFrame, items: Items) -> np.ndarray:
     shared = docs.sparkSession.sparkContext.broadcast(items)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, memo = shared.value, shared.value.memo()
+        own = shared.value
         sums = np.zeros(len(own.grams) + 1, dtype=np.int64)
         for batch in slices(batches):
-            for text in texts(batch):
-                keys = gram_keys(own.numbers(text, memo))
-                keys = keys[keys > 0]
-                at = np.minimum(np.searchsorted(own.grams, keys), len(own.grams) - 1)
-                sums += np.bincount(at[own.grams[at] == keys], minlength=len(sums))
+            keys = gram_keys(own.numbers(texts(batch))[0])
+            keys = keys[keys > 0]
+            at = np.minimum(np.searchsorted(own.grams, keys), len(own.grams) - 1)
+            sums += np.bincount(at[own.grams[at] == keys], minlength=len(sums))
         seen = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(sums[seen])], names=["gram", "n"])
 
@@ -221,12 +230,15 @@ def _counts(docs: DataFrame, items: Items) -> np.ndarray:
 
 def _search(docs: DataFrame, shared, min_score: float, schema: str) -> DataFrame:
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items, memo = shared.value, shared.value.memo()
+        items = shared.value
         for batch in slices(batches):
             out: list[tuple] = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch)):
-                for item, score, first, last in matches(items, items.numbers(text, memo), min_score):
-                    out.append((doc_id, items.ids[item], score, first, last))
+            numbers, begins = items.numbers(texts(batch))
+            seeded = np.flatnonzero(np.isin(gram_keys(numbers), items.seeds))
+            ids = batch.column("doc_id").to_pylist()
+            for k in np.unique(np.searchsorted(begins, seeded, side="right") - 1).tolist():  # texts that hold a seed
+                for item, score, first, last in matches(items, numbers[begins[k] : begins[k + 1] - 1], min_score):
+                    out.append((ids[k], items.ids[item], score, first, last))
             kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int32()]
             columns = list(zip(*out)) or [()] * 5
             names = ["doc_id", "item_id", "score", "first_word", "last_word"]
