@@ -46,12 +46,12 @@ def term_vectors(docs: list[bytes]) -> np.ndarray:
 
 
 def latent_space(rows: np.ndarray, width: int = LATENT) -> tuple[np.ndarray, np.ndarray]:
-    """Mean and leading right singular vectors, by subspace iteration from a fixed start."""
+    """Mean and leading right singular vectors, by subspace iteration from a fixed start; ``rows`` are centred in place."""
     mean = rows.mean(axis=0)
-    centred = rows - mean
+    rows -= mean
     basis = np.random.default_rng(9).standard_normal((rows.shape[1], width), dtype=np.float32)
     for _ in range(6):
-        basis, _ = np.linalg.qr(centred.T @ (centred @ basis))
+        basis, _ = np.linalg.qr(rows.T @ (rows @ basis))
     return mean, basis
 
 
@@ -80,14 +80,18 @@ def quality_rows(docs: DataFrame, labels: DataFrame, label: str = "quality", sam
 
     def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            packed = [v.astype("<f4").tobytes() for v in term_vectors(texts(batch))]
+            packed = [v.astype("<f2").tobytes() for v in term_vectors(texts(batch))]
             yield pa.RecordBatch.from_arrays([pa.array(packed, pa.binary()), batch.column("label")], names=["v", "label"])
 
     rows = train.select("text", "label").mapInArrow(terms, "v binary, label double").collect()
     if rows:
-        vectors = np.frombuffer(b"".join(r["v"] for r in rows), dtype="<f4").reshape(-1, TERMS)
+        own = np.array([r["label"] for r in rows])
+        vectors = np.empty((len(rows), TERMS), dtype=np.float32)
+        while rows:  # one copy of the sample in memory, not three
+            row = rows.pop()
+            vectors[len(rows)] = np.frombuffer(row["v"], dtype="<f2")
         mean, basis = latent_space(vectors)
-        model = spark.sparkContext.broadcast((mean, basis, unit((vectors - mean) @ basis), np.array([r["label"] for r in rows])))
+        model = spark.sparkContext.broadcast((mean, basis, unit(vectors @ basis), own))
     else:
         model = spark.sparkContext.broadcast(None)
 
