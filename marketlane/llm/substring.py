@@ -52,13 +52,13 @@ def unit_rows(docs: DataFrame) -> DataFrame:
             names = ["key", "doc_id", "unit", "start", "stop", "words", "digest"]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=names)
 
-    rows = docs.select(row_key().alias("key"), F.col("doc_id").cast("long").alias("doc_id"), "text").dropDuplicates(["key"])
+    rows = docs.select(row_key().alias("key"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.mapInArrow(cut, UNITS)
 
 
 def spans_to_remove(repeats: list[tuple[int, int, int, int]], min_words: int = MIN_WORDS) -> list[tuple[int, int]]:
     """Merged spans of one document's repeated units ``unit, start, stop, words``."""
-    repeats = sorted(repeats)
+    repeats = sorted(set(repeats))
     gone: list[tuple[int, int]] = []
     run: list[tuple[int, int, int, int]] = []
     for u in [*repeats, None]:
@@ -79,7 +79,8 @@ def removed_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     later = rows.join(written(repeated.select("digest", "first"), "substring-repeats"), "digest").where(
         (F.col("first.key") != F.col("key")) | (F.col("first.start") != F.col("start"))
     )
-    own = later.groupBy("key").agg(F.collect_list(F.struct("unit", "start", "stop", "words")).alias("repeats"))
+    # a set, since rows that repeat id and text bring the same units
+    own = later.groupBy("key").agg(F.collect_set(F.struct("unit", "start", "stop", "words")).alias("repeats"))
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
