@@ -1334,13 +1334,13 @@ def _(w: Work) -> DataFrame:
 @query("snk8_audit_upsert", AUDIT_SQL)
 def _(w: Work) -> DataFrame:
     """The audit is written twice; the second write replaces its lines."""
-    w.keep_judged()
     path = w.folder_for("load_audit")
-    counted = landing.landed_counts({t: w.staged(t) for t in w.promotions})
-    first = counted.withColumns({c: F.lit(-1).cast("bigint") for c in ("rows_promoted", "rows_rejected", "rows_conflict_skipped")})
+    counted = landing.landed_counts({t: w.staged(t) for t in w.verdicts})
+    wrong = ("rows_promoted", "rows_rejected", "rows_conflict_skipped", "rows_manifest")
+    first = counted.withColumns({c: F.lit(-1).cast("bigint") for c in wrong})
     by_month = lambda rows: rows.withColumn("ds", F.trunc("source_date", "MM")).hint("rebalance", "ds")
     sinks.replace_slices(by_month(first), path, ["ds"])
-    sinks.replace_slices(by_month(w.audit.drop("rows_manifest")), path, ["ds"])
+    sinks.replace_slices(by_month(w.audit), path, ["ds"])
     return w.spark.read.parquet(path).drop("ds")
 
 
