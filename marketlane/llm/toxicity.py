@@ -18,14 +18,14 @@ FOLDS = 5
 CALIBRATION = 1
 BINS = 256
 
-# Common English insults and threats, by strength.
+# Common English insults and threats, by strength ("die" is left out: it is a German article).
 INSULTS = (
     "clown coward crap creep cretin degenerate dimwit disgusting dumb dumbass dummy failure fool freak garbage"
     " idiot ignorant imbecile jerk liar loser lowlife lunatic maggot miserable moron nasty pathetic pig psycho rat"
     " rubbish scum shameful sicko stupid trash twit ugly useless vermin weirdo worthless wretch"
 ).split()
 PROFANITY = "arse ass asshole bastard bitch bollocks bullshit cunt damn dick douche fuck fucking piss prick shit slut twat wanker whore".split()
-THREATS = "beat burn choke crush destroy die hang hate hurt kill murder punch shoot slap smash stab strangle suffer".split()
+THREATS = "beat burn choke crush destroy hang hate hurt kill murder punch shoot slap smash stab strangle suffer".split()
 # The reader addressed, in the languages of the corpus.
 SECOND_PERSON = "you your yours yourself u ur tu te ti toi ton ta vous votre vos usted ustedes vosotros du dich dir dein deine euch ihr".split()
 # Look-alike characters that hide a letter.
