@@ -1,16 +1,20 @@
-"""Benchmark decontamination: rare n-gram seeds find candidates, Smith-Waterman alignment decides.
-
-Every n-gram of the test items is counted over all documents.  In each window of
-``WINDOW`` neighbouring n-grams of an item the rarest becomes a seed, so any
-unbroken run of ``N + WINDOW - 1`` copied words holds one, also in passages that
-very many documents share.  A document that has a seed is aligned with the item
-around the places that the seeds point to, in the task that found it: nothing is
-shuffled but counts.  Items come in blocks of bounded size, one pass over the
-documents each, so that what is broadcast does not grow with the test set.
+"""Benchmark decontamination: word pairs find candidates, Smith-Waterman alignment decides.
+
+A score of ``min_score`` can't be reached without a certain number of an item's
+neighbouring word pairs standing unbroken in the passage: of ``m`` matches with
+``e`` penalties at least ``m - e - 1`` pairs are whole, and ``2 m - e`` is the
+score.  Items too short for one sure pair are looked up by single words.  Up to
+half of that number, the most frequent ones over all documents, need not be
+looked up if as many fewer are asked for, so no copy is lost and common pairs
+cost little.  A document that has enough of them close to one diagonal is
+aligned with the item there, in the task that found it: nothing is shuffled but
+counts.  Items come in blocks of bounded size, one pass over the documents
+each, so that what is broadcast does not grow with the test set.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -21,14 +25,14 @@ from pyspark.sql import DataFrame, functions as F
 
 from marketlane.llm.common import Memo, slices, texts, written
 
-N = 3
-WINDOW = 4
 #: Alignment score, as a share of the item's score against itself, from which a passage counts as a copy.
 MIN_SCORE = 0.6
 #: Items of fewer words match by chance and are left out.
 MIN_WORDS = 5
 #: Words of one block of items.
 BLOCK_WORDS = 500_000
+#: Places of seeds in texts that are held at once.
+HELD = 2_000_000
 
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Marks at the ends of most words; they are no letters or digits.
@@ -50,56 +54,77 @@ def plain_words(text: bytes) -> list[str]:
 NOTHING = np.zeros(1, dtype=np.int64)
 
 
-def gram_keys(words: np.ndarray) -> np.ndarray:
-    """64-bit keys of the n-grams of word numbers; those that hold an unknown word (0) are 0."""
-    if len(words) < N:
+def gram_keys(words: np.ndarray, size: int) -> np.ndarray:
+    """64-bit keys of the runs of ``size`` word numbers; those that hold an unknown word (0) are 0."""
+    if len(words) < size:
         return np.empty(0, dtype=np.uint64)
-    key = np.zeros(len(words) - N + 1, dtype=np.uint64)
+    key = np.zeros(len(words) - size + 1, dtype=np.uint64)
     known = np.ones(len(key), dtype=bool)
-    for k in range(N):
-        part = words[k : len(words) - N + 1 + k]
+    for k in range(size):
+        part = words[k : len(words) - size + 1 + k]
         known &= part > 0
         key = (key ^ part.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
         key ^= key >> np.uint64(29)
     return np.where(known, np.maximum(key, np.uint64(1)), np.uint64(0))
 
 
+def sure_grams(n: int, min_score: float) -> tuple[int, int]:
+    """``size, number``: how many pairs (or, where no pair is sure, words) of an item of ``n`` words every passage that scores enough keeps."""
+    pairs = math.ceil((2 * min_score - 1) * n - 1 - 1e-9)
+    return (2, pairs) if pairs >= 1 else (1, max(1, math.ceil(min_score * n - 1e-9)))
+
+
 @dataclass
 class Items:
     """One block of items: word numbers and, once counted, the seeds with their places."""
 
     ids: list[int]
+    min_score: float = MIN_SCORE
     vocabulary: dict[str, int] = field(default_factory=dict)
     words: list[np.ndarray] = field(default_factory=list)
+    sure: list[tuple[int, int]] = field(default_factory=list)
     grams: np.ndarray | None = None
     seeds: np.ndarray | None = None
     seed_item: np.ndarray | None = None
     seed_place: np.ndarray | None = None
+    need: np.ndarray | None = None
     memo: Memo | None = None
 
     @classmethod
-    def of(cls, rows: list[tuple[int, list[str]]]) -> Items:
-        items = cls([r[0] for r in rows])
+    def of(cls, rows: list[tuple[int, list[str]]], min_score: float = MIN_SCORE) -> Items:
+        items = cls([r[0] for r in rows], min_score)
         for _, words in rows:
             numbers = [items.vocabulary.setdefault(w, len(items.vocabulary) + 1) for w in words]
             items.words.append(np.array(numbers, dtype=np.int64))
-        keys = [gram_keys(w) for w in items.words]
+        items.sure = [sure_grams(len(w), min_score) for w in items.words]
+        keys = [gram_keys(w, size) for w, (size, _) in zip(items.words, items.sure)]
         items.grams = np.unique(np.concatenate(keys)) if keys else np.empty(0, dtype=np.uint64)
         return items
 
+    @property
+    def sizes(self) -> list[int]:
+        return sorted({size for size, _ in self.sure})
+
+    @property
+    def shifts(self) -> np.ndarray:
+        """By how many words gaps can shift a passage that scores enough against each item."""
+        return np.array([int(MATCH * len(w) * (1 - self.min_score) + 1e-9) // -GAP for w in self.words], dtype=np.int64)
+
     def choose_seeds(self, counts: np.ndarray):
-        """The rarest n-gram of every window of each item; ties go to the earliest."""
-        found = []
-        for item, words in enumerate(self.words):
-            keys = gram_keys(words)
+        """All grams of each item that occur, but for the most frequent ones that may be missed; ``need`` of them must meet."""
+        found, need = [], []
+        for item, (words, (size, sure)) in enumerate(zip(self.words, self.sure)):
+            keys = gram_keys(words, size)
             rarity = counts[np.searchsorted(self.grams, keys)]
-            last = max(1, len(keys) - WINDOW + 1)
-            places = {int(p + np.argmin(rarity[p : p + WINDOW])) for p in range(last)}
-            found += [(int(keys[p]), item, p) for p in places]
+            left_out = sure // 2
+            places = np.argsort(rarity, kind="stable")[: len(keys) - left_out]
+            found += [(int(keys[p]), item, int(p)) for p in places if rarity[p] > 0]
+            need.append(sure - left_out)
         found.sort()
         self.seeds = np.array([f[0] for f in found], dtype=np.uint64)
         self.seed_item = np.array([f[1] for f in found], dtype=np.int64)
         self.seed_place = np.array([f[2] for f in found], dtype=np.int64)
+        self.need = np.array(need, dtype=np.int64)
 
     def numbers(self, docs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Word numbers of several texts, 0 for words that no item has and after each text; where each text begins."""
@@ -143,36 +168,59 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
     return best
 
 
-def matches(items: Items, numbers: np.ndarray, min_score: float) -> Iterator[tuple[int, float, int, int]]:
-    """``item number, score, first word, last word`` of the best passage of each item that scores enough."""
-    keys = gram_keys(numbers)
-    at = np.flatnonzero(keys)
-    lo, hi = (np.searchsorted(items.seeds, keys[at], side=s) for s in ("left", "right"))
-    hit = hi > lo
-    where: dict[int, list[int]] = {}
-    for place, a, b in zip(at[hit].tolist(), lo[hit].tolist(), hi[hit].tolist()):
-        for s in range(a, b):
-            where.setdefault(int(items.seed_item[s]), []).append(place - int(items.seed_place[s]))
-    for item, begins in where.items():
-        words = items.words[item]
-        margin = len(words) // 2 + 2
-        spans: list[list[int]] = []
-        for begin in sorted(set(begins)):  # where the item would begin; near ones are one passage
-            a, b = max(0, begin - margin), min(len(numbers), begin + len(words) + margin)
-            if spans and a <= spans[-1][1]:
-                spans[-1][1] = max(b, spans[-1][1])
+def candidates(items: Items, numbers: np.ndarray, begins: np.ndarray) -> Iterator[tuple[int, int, list[list[int]]]]:
+    """``text, item, spans``: where enough seeds of an item stand close to one diagonal; ``begins`` are the places of the texts."""
+    places = []
+    for size in items.sizes:
+        keys = gram_keys(numbers, size)
+        at = np.flatnonzero(keys)
+        at = at[np.isin(keys[at], items.seeds)]
+        lo, hi = (np.searchsorted(items.seeds, keys[at], side=s) for s in ("left", "right"))
+        places.append((at, lo, hi - lo))
+    if not places:
+        return
+    at, lo, fan = (np.concatenate(x) for x in zip(*places))
+    text = np.searchsorted(begins, at, side="right") - 1
+    per_text = np.bincount(text, weights=fan, minlength=len(begins))
+    part = (np.cumsum(per_text) // HELD).astype(np.int64)[text]
+    shifts = items.shifts
+    for p in np.unique(part):
+        own = np.flatnonzero(part == p)
+        row = np.repeat(own, fan[own])
+        seed = lo[row] + np.arange(len(row)) - np.repeat(np.cumsum(fan[own]) - fan[own], fan[own])
+        item = items.seed_item[seed]
+        # text and item above 32 bits, where the item would begin below them
+        key = np.sort(((text[row] * len(items.ids) + item) << 32) + (at[row] - items.seed_place[seed] + (1 << 30)))
+        item = (key >> 32) % len(items.ids)
+        enough = np.searchsorted(key, key + shifts[item], side="right") - np.arange(len(key)) >= items.need[item]
+        spans: dict[tuple[int, int], list[list[int]]] = {}
+        for both, begin in zip((key[enough] >> 32).tolist(), ((key[enough] & 0xFFFFFFFF) - (1 << 30)).tolist()):
+            k, i = divmod(both, len(items.ids))
+            shift = int(shifts[i])
+            a, b = max(int(begins[k]), begin - shift), min(int(begins[k + 1]) - 1, begin + len(items.words[i]) + shift)
+            found = spans.setdefault((k, i), [])
+            if found and a <= found[-1][1]:  # near ones are one passage
+                found[-1][1] = max(b, found[-1][1])
             else:
-                spans.append([a, b])
+                found.append([a, b])
+        for (k, i), found in spans.items():
+            yield k, i, found
+
+
+def matches(items: Items, numbers: np.ndarray, begins: np.ndarray) -> Iterator[tuple[int, int, float, int, int]]:
+    """``text, item number, score, first word, last word`` of the best passage of each item that scores enough."""
+    for k, item, spans in candidates(items, numbers, begins):
+        words = items.words[item]
         best = None
         for a, b in spans:
             passage = numbers[a:b]
             # every match takes a word of its own, so shared words bound the score
-            if MATCH * int(np.isin(words, passage).sum()) < min_score * MATCH * len(words):
+            if MATCH * int(np.isin(words, passage).sum()) < items.min_score * MATCH * len(words):
                 continue
             score, first, last = align(words, passage)
             share = score / (MATCH * len(words))
-            if share >= min_score and (best is None or share > best[1]):
-                best = (item, share, a + first, a + last)
+            if share >= items.min_score and (best is None or share > best[2]):
+                best = (k, item, share, a + first - int(begins[k]), a + last - int(begins[k]))
         if best:
             yield best
 
@@ -200,9 +248,9 @@ def _hits(keyed: DataFrame, benchmark: DataFrame, min_score: float, block_words:
     found = None
     for block in range(blocks):
         rows = [(r["item_id"], plain_words(r["text"].encode())) for r in items.where(number == block).orderBy("item_id", "text").collect()]
-        held = Items.of([r for r in rows if len(r[1]) >= MIN_WORDS])
+        held = Items.of([r for r in rows if len(r[1]) >= MIN_WORDS], min_score)
         held.choose_seeds(_counts(keyed, held) if held.ids else np.empty(0, dtype=np.int64))
-        part = _search(keyed, spark.sparkContext.broadcast(held), min_score, schema)
+        part = _search(keyed, spark.sparkContext.broadcast(held), schema)
         found = part if found is None else found.unionByName(part)
     return found
 
@@ -215,10 +263,12 @@ def _counts(docs: DataFrame, items: Items) -> np.ndarray:
         own = shared.value
         sums = np.zeros(len(own.grams) + 1, dtype=np.int64)
         for batch in slices(batches):
-            keys = gram_keys(own.numbers(texts(batch))[0])
-            keys = keys[keys > 0]
-            at = np.minimum(np.searchsorted(own.grams, keys), len(own.grams) - 1)
-            sums += np.bincount(at[own.grams[at] == keys], minlength=len(sums))
+            numbers = own.numbers(texts(batch))[0]
+            for size in own.sizes:
+                keys = gram_keys(numbers, size)
+                keys = keys[keys > 0]
+                at = np.minimum(np.searchsorted(own.grams, keys), len(own.grams) - 1)
+                sums += np.bincount(at[own.grams[at] == keys], minlength=len(sums))
         seen = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(sums[seen])], names=["gram", "n"])
 
@@ -228,17 +278,15 @@ def _counts(docs: DataFrame, items: Items) -> np.ndarray:
     return out
 
 
-def _search(docs: DataFrame, shared, min_score: float, schema: str) -> DataFrame:
+def _search(docs: DataFrame, shared, schema: str) -> DataFrame:
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = shared.value
         for batch in slices(batches):
             out: list[tuple] = []
             numbers, begins = items.numbers(texts(batch))
-            seeded = np.flatnonzero(np.isin(gram_keys(numbers), items.seeds))
             ids = batch.column("doc_id").to_pylist()
-            for k in np.unique(np.searchsorted(begins, seeded, side="right") - 1).tolist():  # texts that hold a seed
-                for item, score, first, last in matches(items, numbers[begins[k] : begins[k + 1] - 1], min_score):
-                    out.append((ids[k], items.ids[item], score, first, last))
+            for k, item, score, first, last in matches(items, numbers, begins):
+                out.append((ids[k], items.ids[item], score, first, last))
             kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int32()]
             columns = list(zip(*out)) or [()] * 5
             names = ["doc_id", "item_id", "score", "first_word", "last_word"]

@@ -85,3 +85,28 @@ def test_odd_rows(spark):
     assert got(docs.limit(0), items) == [] and got(docs, items.limit(0)) == []
     kept = d.without_contaminated(docs, items)
     assert kept.columns == docs.columns and kept.count() == len(ODD) - 2
+
+
+def test_copies_without_a_long_unbroken_run_are_found(spark):
+    """No exact copy is present, so the broken pairs occur nowhere; the last kind keeps no run of three words."""
+    rng = random.Random(11)
+    items = [(k, " ".join(f"i{k}w{rng.randrange(4000)}" for _ in range(rng.randint(5, 60)))) for k in range(24)]
+
+    def edited(words, step, insert):
+        return " ".join(f"{w} new{at}" if insert and at % step == step - 1 else f"new{at}" if at % step == step - 1 else w for at, w in enumerate(words))
+
+    docs = []
+    for k, text in items:
+        words = text.split()
+        for kind, copy in enumerate((edited(words, 5, False), edited(words, 6, False), edited(words, 2, True), edited(words, 1, True))):
+            docs.append((4 * k + kind, f"{' '.join(rng.choices('the of and to'.split(), k=40))} {copy} the end of it"))
+    frame = spark.createDataFrame(items, "item_id long, text string")
+    want = plain_hits(docs, items)
+    assert {(4 * k + kind, k) for k in range(24) for kind in (0, 1, 2)} <= {r[:2] for r in want}
+    assert got(documents(spark, docs), frame) == want
+
+
+def test_a_five_word_item_without_a_pair_is_found(spark):
+    frame = spark.createDataFrame([(1, "one two three four five")], "item_id long, text string")
+    docs = [(1, "one a two b three c four d five"), (2, "one two three"), (3, "five four three two one")]
+    assert got(documents(spark, docs), frame) == plain_hits(docs, [(1, "one two three four five")]) == [(1, 1, 0.6), (2, 1, 0.6)]
