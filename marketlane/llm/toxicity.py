@@ -1,7 +1,15 @@
-"""Toxicity scores: boosted trees over a few dense features, calibrated by isotonic regression."""
+"""Toxicity scores: boosted trees over a few dense features, calibrated by isotonic regression.
+
+Beside a fixed English list stands a lexicon learnt from the rows that grow the
+trees: words, and stems of a few letters, that far more toxic than clean
+documents hold, in whatever language.  The features of a row that grows trees
+come from the counts of the other growing folds, so that no row's own label is
+among them; all other features come from all of these counts.
+"""
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -17,6 +25,15 @@ FOLDS = 5
 #: Remainder of the training rows that calibrate; the others grow trees.
 CALIBRATION = 1
 BINS = 256
+#: Remainders of the rows that grow trees and teach the lexicon.
+GROWING = [f for f in range(1, FOLDS) if f != CALIBRATION]
+#: Toxic documents that a learnt token needs, and how many times their share must be that of clean ones.
+MIN_TOXIC = 5
+MIN_RATIO = 5.0
+#: Learnt tokens that are kept at most, those of most toxic documents first; this bounds what is broadcast.
+MAX_TOKENS = 50_000
+#: Letters of a stem, which stands for a word's other endings.
+STEM = 5
 
 # Common English insults and threats, by strength ("die" is left out: it is a German article).
 INSULTS = (
@@ -34,10 +51,12 @@ LOOK_ALIKES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@":
 FEATURES = (
     "insult_density profanity_density threat_density lexicon_density lexicon_count any_lexicon near_you_density you_density"
     " capital_rate capital_word_rate punctuation_rate exclamation_rate obfuscated_density symbol_rate digit_rate log_words"
+    " learnt_density learnt_count learnt_distinct learnt_top"
 ).split()
 
 NEAR = 5
 TRANSLATE = str.maketrans(LOOK_ALIKES)
+EDGES = re.compile(r"^\W+|\W+$")
 
 
 CLASS = {w: 1 for w in INSULTS} | {w: 2 for w in PROFANITY} | {w: 4 for w in THREATS} | {w: 8 for w in SECOND_PERSON}
@@ -50,7 +69,7 @@ def _listed(text: str) -> int:
 def word_class(word: bytes) -> int:
     """Bits: 1 insult, 2 profanity, 4 threat, 8 second person, 16 found only without its disguise."""
     plain = word.decode("utf-8", "replace").lower()
-    found = _listed(re.sub(r"^\W+|\W+$", "", plain))
+    found = _listed(EDGES.sub("", plain))
     if found:
         return found
     found = _listed(plain.translate(TRANSLATE).strip(",;:?\"'()"))
@@ -103,16 +122,97 @@ def dense_features(text: bytes, classes: Memo) -> list[float]:
     ]
 
 
-def features(docs: DataFrame) -> DataFrame:
-    """``doc_id, x``: the dense features of every row's whole text."""
+def plain_word(word: bytes) -> str:
+    return EDGES.sub("", word.decode("utf-8", "replace").lower())
+
+
+def tokens(word: str) -> list[str]:
+    """The word itself and, marked, its stem."""
+    return [word, "^" + word[:STEM]] if word else []
+
+
+def token_counts(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``token`` and, per growing fold, its documents and its toxic ones, ``n<fold>, p<fold>``; the empty token counts all documents."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        plain = Memo(plain_word, 200_000)
+        for batch in slices(batches):
+            # one string a document, the empty token first: shorter than a list; words hold no newline
+            own = ["\n".join(["", *sorted({plain[w] for w in set(t.split())} - {""})]) for t in texts(batch)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(own, pa.string())], names=["doc_id", "words"])
+
+    growing = lambda df: df.where(fold(FOLDS).isin(GROWING))
+    rows = growing(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).mapInArrow(cut, "doc_id long, words string")
+    # texts of any number are joined by a sort, whatever the size of the labels, so that disk grows in proportion
+    known = labelled(rows.hint("merge"), growing(labels.withColumn("doc_id", F.col("doc_id").cast("long"))), labels.columns[1]).withColumn("words", F.split("words", "\n"))
+    stems = F.transform(F.filter("words", lambda w: w != ""), lambda w: F.concat(F.lit("^"), F.substring(w, 1, STEM)))
+    each = known.select(fold(FOLDS).alias("fold"), "label", F.explode(F.array_distinct(F.concat("words", stems))).alias("token"))
+    sums = [[F.count_if(F.col("fold") == f).alias(f"n{f}"), F.sum(F.when(F.col("fold") == f, F.col("label")).otherwise(0.0)).alias(f"p{f}")] for f in GROWING]
+    return each.groupBy("token").agg(*[x for pair in sums for x in pair])
+
+
+def weight(toxic: float, n: float, all_toxic: float, all_n: float) -> float:
+    """How much likelier toxic documents are to hold a token, as a logarithm; 0 for tokens that tell too little."""
+    if toxic < MIN_TOXIC or not 0 < all_toxic < all_n:
+        return 0.0
+    ratio = (toxic / all_toxic) / ((n - toxic + 0.5) / (all_n - all_toxic))
+    return math.log(ratio) if ratio >= MIN_RATIO else 0.0
+
+
+def lexicon(docs: DataFrame, labels: DataFrame) -> dict[str, tuple[float, ...]]:
+    """Learnt tokens with their weights: from all growing folds, then from all but each of them."""
+    counts = written(token_counts(docs, labels), "toxicity-tokens")
+    total = counts.where("token = ''").first()
+    if total is None:
+        return {}
+    toxic, n = (sum((F.col(f"{c}{f}") for f in GROWING), F.lit(0)) for c in "pn")
+    all_toxic, all_n = (sum(total[f"{c}{f}"] for f in GROWING) for c in "pn")
+    some = counts.where((F.col("token") != "") & (toxic >= MIN_TOXIC))
+    # a necessary condition for any of the weights; the exact one follows below
+    telling = some.where(toxic * (all_n - all_toxic) * F.lit(len(GROWING)) >= (n - toxic) * all_toxic)
+    found = {}
+    for r in telling.orderBy(toxic.desc(), n, "token").limit(MAX_TOKENS).collect():
+        weights = []
+        for left_out in [None, *GROWING]:
+            kept = [f for f in GROWING if f != left_out]
+            weights.append(weight(*(sum(x[f"{c}{f}"] for f in kept) for x in (r, total) for c in "pn")))
+        if any(weights):
+            found[r["token"]] = tuple(weights)
+    return found
+
+
+def learnt_features(words: list[bytes], weights: Memo, column: int) -> list[float]:
+    """Density, number, distinct words and top weight of the words that the lexicon holds; ``column`` tells whose counts."""
+    found = [(w, x[column]) for w in words if (x := weights[w]) and x[column] > 0]
+    if not found:
+        return [0.0] * 4
+    distinct = dict(found)
+    return [len(found) / len(words), float(min(len(found), 50)), float(min(len(distinct), 50)), max(distinct.values())]
+
+
+def features(docs: DataFrame, learnt: dict[str, tuple[float, ...]] | None = None) -> DataFrame:
+    """``doc_id, x, own``: the dense features of every row's whole text; ``own`` leaves the counts of the row's fold out."""
+    shared = docs.sparkSession.sparkContext.broadcast(learnt or {})
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes = Memo(word_class, 200_000)
+        classes, held = Memo(word_class, 200_000), shared.value
+
+        def weigh(word: bytes) -> tuple[float, ...]:
+            own = [held[t] for t in tokens(plain_word(word)) if t in held]
+            return tuple(map(max, zip(*own)))
+
+        weights = Memo(weigh, 200_000)
         for batch in slices(batches):
-            rows = [dense_features(t, classes) for t in texts(batch)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(rows, pa.list_(pa.float64()))], names=["doc_id", "x"])
+            rows, own = [], []
+            for text, part in zip(texts(batch), batch.column("fold").to_pylist()):
+                dense, words = dense_features(text, classes), text.split()
+                rows.append(dense + learnt_features(words, weights, 0))
+                own.append(dense + learnt_features(words, weights, 1 + GROWING.index(part)) if part in GROWING else rows[-1])
+            kind = pa.list_(pa.float64())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(rows, kind), pa.array(own, kind)], names=["doc_id", "x", "own"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(compute, "doc_id long, x array<double>")
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", fold(FOLDS).alias("fold"))
+    return keyed.mapInArrow(compute, "doc_id long, x array<double>, own array<double>")
 
 
 def labelled(docs: DataFrame, labels: DataFrame, column: str) -> DataFrame:
@@ -147,13 +247,14 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, label: str = "toxic", tr
     """``doc_id, held_out, score, predicted`` of every row of ``docs`` (``doc_id, text``).
 
     Learns from labelled rows whose ``crc32(doc_id) mod 5`` is not 0: remainder 1
-    calibrates, the others grow the trees; rows with remainder 0 are ``held_out``.
+    calibrates, the others teach the lexicon and grow the trees; rows with remainder 0 are ``held_out``.
     Missing and empty texts are scored by their zero features.  Labels other than
     0 and 1 and labels without a document are left out; without labels of both
     kinds every score is the share of positive labels, 0 if there are none.
     Repeated rows give equal results; further columns are ignored.
     """
-    rows = written(features(docs), "toxicity-features")
+    learnt = lexicon(docs, labels.select("doc_id", label))
+    rows = written(features(docs, learnt), "toxicity-features")
     known = written(labelled(rows, labels.select("doc_id", label), label).withColumn("fold", fold(FOLDS)).where("fold <> 0"), "toxicity-train")
     counts = {r["own"]: (r["n"], r["p"]) for r in known.groupBy((F.col("fold") == CALIBRATION).alias("own")).agg(F.count("*").alias("n"), F.sum("label").alias("p")).collect()}
     held = (fold(FOLDS) == 0).alias("held_out")
@@ -163,7 +264,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, label: str = "toxic", tr
         share = sum(c[1] for c in counts.values()) / total if total else 0.0
         return _result(rows.select("doc_id", held, F.lit(float(share)).alias("score")))
     model = GBTClassifier(featuresCol="v", labelCol="label", maxIter=trees, maxDepth=depth, stepSize=0.3, minInstancesPerNode=10, seed=7, cacheNodeIds=False)
-    fitted = model.fit(known.where(F.col("fold") != CALIBRATION).select("label", array_to_vector("x").alias("v")))
+    fitted = model.fit(known.where(F.col("fold") != CALIBRATION).select("label", array_to_vector("own").alias("v")))
     raw = vector_to_array(F.col("rawPrediction"))[1]
     apply = lambda df: fitted.transform(df.withColumn("v", array_to_vector("x"))).withColumn("raw", raw)
     n, p = counts.get(True, (0, 0.0))

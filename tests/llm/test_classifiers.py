@@ -8,6 +8,7 @@ from marketlane.llm.common import table
 from tests.llm.frames import ODD, documents
 
 MIDDLE = "/root/testdata/sf0.01"
+LARGE = "/root/testdata/sf0.1"
 
 
 def agreement(rows, labels):
@@ -39,6 +40,36 @@ def test_toxicity_holds_on_held_out_rows(middle):
     assert mean(1) > mean(0) + 0.3
 
 
+def test_toxicity_recall_in_every_language(spark):
+    """The fixed list is English; held-out toxic rows of the other languages hold none of its words."""
+    docs, labels = table(spark, LARGE, "documents"), table(spark, LARGE, "labels")
+    toxic = {r["doc_id"]: r["toxic"] for r in labels.collect()}
+    lang = {r["doc_id"]: r["lang"] for r in docs.select("doc_id", "lang").collect()}
+    got = {}
+    for r in toxicity.toxicity_scores(docs, labels).where("held_out").collect():
+        if toxic.get(r["doc_id"]) in (0, 1):
+            got.setdefault((lang[r["doc_id"]], toxic[r["doc_id"]]), []).append(r["predicted"])
+    print({k: (sum(v), len(v)) for k, v in sorted(got.items())})
+    for code in ("en", "fr", "de", "es"):
+        assert np.mean(got[code, 1]) >= 0.6, code
+        assert np.mean(got[code, 0]) <= 0.05, code
+
+
+def test_lexicon_learns_from_growing_rows_only(spark):
+    part = {k: zlib.crc32(str(k).encode()) % 5 for k in range(1, 600)}
+    words = {k: f"grown wort{k % 7}" if part[k] > 1 else "calibrated" if part[k] else "heldout" for k in part}
+    docs = documents(spark, [(k, f"{words[k]}, plain text." if k % 3 == 0 else "Only plain text.") for k in part])
+    labels = spark.createDataFrame([(k, int(k % 3 == 0)) for k in part], "doc_id long, toxic int")
+    learnt = toxicity.lexicon(docs, labels)
+    assert {"grown", "^grown"} <= set(learnt) and not {"calibrated", "heldout", "plain", "text"} & set(learnt)
+    assert len(learnt["grown"]) == 4 and all(w > 0 for w in learnt["grown"])
+    counts = {r["token"]: r for r in toxicity.token_counts(docs, labels).collect()}
+    grow = [k for k in part if part[k] > 1]
+    assert sum(counts[""][f"n{f}"] for f in toxicity.GROWING) == len(grow)
+    assert sum(counts["grown"][f"p{f}"] for f in toxicity.GROWING) == sum(k % 3 == 0 for k in grow)
+    assert toxicity.lexicon(docs, labels.limit(0)) == {}
+
+
 def test_quality_holds_on_held_out_rows(middle):
     docs, labels, known = middle
     rows = quality.quality_scores(docs, labels).collect()
