@@ -7,14 +7,17 @@ from pyspark.sql import DataFrame, SparkSession
 from marketlane.llm import (
     ann,
     decontamination,
+    hard_negatives,
     language_model,
     packing,
+    personal_data,
     quality,
     sharding,
     simhash,
     substring,
     toxicity,
     url_trust,
+    whitening,
 )
 from marketlane.llm.common import table
 from marketlane.llm.sql import CHECKS  # noqa: F401
@@ -22,6 +25,9 @@ from marketlane.llm.sql import CHECKS  # noqa: F401
 #: Every row whose id it divides is a nearest-neighbour query.
 QUERY_STEP = 20
 
+#: Every row whose id it divides is an anchor of hard-negative mining.
+ANCHOR_STEP = 50
+
 
 def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring.dedup_report(table(spark, folder, "documents"))
@@ -63,6 +69,18 @@ def op10_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return ann.search_every(table(spark, folder, "embeddings"), QUERY_STEP)
 
 
+def op11_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return personal_data.personal_data(table(spark, folder, "documents"))
+
+
+def op12_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return hard_negatives.mine(table(spark, folder, "embeddings"), ANCHOR_STEP, hard_negatives.relabelled())
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -76,5 +94,8 @@ QUERIES = {
         op8_lm_scoring,
         op9_quality_classifier,
         op10_nearest_neighbours,
+        op11_personal_data,
+        op12_embedding_whitening,
+        op13_hard_negatives,
     )
 }

@@ -20,6 +20,29 @@ WITH v AS (
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """
 
+#: Hard negatives by brute force over whole components.
+HARD_NEGATIVES = """
+WITH v AS (
+  SELECT DISTINCT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+    list_transform(CAST(embedding AS DOUBLE[]), lambda x: floor(256 * x)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pairs AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, CAST(list_inner_product(a.e, b.e) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
+), positives AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM pairs WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5
+)
+SELECT p.anchor_id, p.positive_id,
+  CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.other) AS INTEGER) AS rank,
+  n.other AS negative_id, p.positive_score, n.score AS negative_score
+FROM positives p JOIN pairs n ON p.anchor_id = n.anchor_id AND NOT n.same
+  AND 50 * p.positive_score <= 100 * n.score AND 100 * n.score <= 95 * p.positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.other) <= 3
+"""
+
 #: One table step of crc32 for each byte value.
 _CRC_TABLE = """
 crc0 AS (SELECT CAST(range AS UBIGINT) AS b, CAST(range AS UBIGINT) AS c FROM range(256)),
@@ -114,4 +137,9 @@ SELECT page_id, host, path, rule, coalesce(rverdict, CASE WHEN host IN (SELECT h
 """
 
 
-CHECKS = {"op5_url_filters": _url_verdicts(), "op6_sharding": SHARDS, "op10_nearest_neighbours": NEAREST}
+CHECKS = {
+    "op5_url_filters": _url_verdicts(),
+    "op6_sharding": SHARDS,
+    "op10_nearest_neighbours": NEAREST,
+    "op13_hard_negatives": HARD_NEGATIVES,
+}
