@@ -1241,6 +1241,37 @@ def _(w: Work) -> DataFrame:
     return landing.read_monolith(w.spark, root, "orders")
 
 
+@query(
+    "src1_split_scan",
+    """SELECT order_item_id, order_id || chr(10) || '"' || order_id || '",' AS order_id,
+              product_id || chr(13) || chr(10) || chr(10) || 'x' AS product_id, quantity, '""' || unit_price AS unit_price FROM s_order_items""",
+)
+def _(w: Work) -> DataFrame:
+    """All landing items with line breaks, quotes and commas inside their fields, cut into records split by split."""
+    root = w.folder_for("awkward")
+    rows = w.staged("order_items")
+    breaks = {
+        "order_id": F.concat("order_id", F.lit('\n"'), "order_id", F.lit('",')),
+        "product_id": F.concat("product_id", F.lit("\r\n\nx")),
+        "unit_price": F.concat(F.lit('""'), "unit_price"),
+    }
+    sinks.write_monolith(rows.withColumns(breaks), root, "order_items", first=True)
+    return landing.read_csv(w.spark, "order_items", f"{root}/order_items.csv", split=True)
+
+
+@query(
+    "src6_split_event_scan",
+    """SELECT user_id, session_id || chr(10) || '"s",' AS session_id, product_id, event_type, created_at::VARCHAR AS created_at
+       FROM f_events""",
+)
+def _(w: Work) -> DataFrame:
+    """Typed events, cut into records split by split."""
+    root = w.folder_for("events")
+    rows = w.raw_events.withColumn("session_id", F.concat("session_id", F.lit('\n"s",')))
+    sinks.write_landing(rows, root, "events", F.col("created_at"))
+    return facts.events_fact(landing.read_typed_events(w.spark, f"{root}/events", split=True))
+
+
 @query(
     "src5_manifest_round_trip",
     """SELECT created_at::DATE::VARCHAR AS source_date, 'events' AS source_table, count(*) AS rows_manifest

@@ -5,9 +5,9 @@ Two layouts are read, and told apart by the folder ``root/orders``.  ``day``: ``
 which is what Spark writes.
 
 Quoted fields may hold newlines, and a row with too many or too few fields fails
-the read.  Reading newlines costs one task per file, whatever its size; a feed
-that is known to have none can be read with ``multi_line=False`` and is then
-split.
+the read.  Files larger than one split are cut into records by ``split_csv``, in as
+many tasks as they have splits; smaller ones are parsed whole, one task each.  A feed
+that is known to have no newlines in fields can be read with ``multi_line=False``.
 """
 
 from __future__ import annotations
@@ -19,10 +19,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from marketlane.operators.quality import union_all
 from marketlane.schemas import DIMENSIONS, FACTS, LANDING_COLUMNS, landing_schema
-from marketlane.sources import storage
+from marketlane.sources import split_csv, storage
 
 COUNTED = (*DIMENSIONS, *FACTS, "events")
 DAY_PATTERN = r"(\d{4}-\d{2}-\d{2})/[^/]+$"
+PARTITION_PATTERN = r"/_source_date=(\d{4}-\d{2}-\d{2})/"
 # Quotes inside quoted fields are doubled.
 CSV_OPTIONS = {
     "header": "true", "escape": '"', "encoding": "UTF-8",
@@ -77,9 +78,34 @@ def days_with(spark: SparkSession, root: str, name: str, days: Sequence[str]) ->
     return [ds for ds in days if ds in found]
 
 
-def read_csv(spark: SparkSession, entity: str, path: str | Sequence[str], multi_line: bool = True) -> DataFrame:
+def read_csv(
+    spark: SparkSession, entity: str, path: str | Sequence[str], multi_line: bool = True, split: bool | None = None
+) -> DataFrame:
+    """All-text rows of CSV files.  ``split`` says whether records are cut in parallel; by default, if any file needs it."""
+    return _scan(spark, landing_schema(entity), path, multi_line, split).drop("_file")
+
+
+def _scan(spark: SparkSession, schema: T.StructType, path: str | Sequence[str], multi_line: bool = True, split: bool | None = None) -> DataFrame:
+    """Rows with the ``_file`` they come from."""
     paths = [path] if isinstance(path, str) else list(path)
-    return spark.read.schema(landing_schema(entity)).options(**csv_options(multi_line)).csv(paths)
+    if multi_line and (split_csv.worth_it(spark, paths) if split is None else split):
+        return split_csv.read(spark, schema, paths, CSV_OPTIONS)
+    rows = spark.read.schema(schema).options(**csv_options(multi_line)).csv(paths)
+    return rows.withColumn("_file", F.col("_metadata.file_path"))
+
+
+def _of_day_folder(rows: DataFrame) -> DataFrame:
+    """``_source_date`` instead of the file."""
+    return rows.withColumn("_source_date", F.to_date(F.regexp_extract("_file", DAY_PATTERN, 1))).drop("_file")
+
+
+def _of_partition(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("_source_date", F.to_date(F.regexp_extract("_file", PARTITION_PATTERN, 1))).drop("_file")
+
+
+def _day_folders(spark: SparkSession, root: str, folder: str, days: Sequence[str]) -> list[str]:
+    present = _entity_days(spark, root, folder)
+    return [f"{root}/{folder}/_source_date={d}" for d in days if d in present]
 
 
 def read_entity(
@@ -96,19 +122,19 @@ def read_entity(
     day: the root file is re-read each run and stamped with the run's first day.
     """
     if _by_entity(spark, root):
-        rows = read_entity_layout(spark, root, entity, loaded_at, batch_id)
         if entity == "categories":
+            rows = read_entity_layout(spark, root, entity, loaded_at, batch_id)
             return rows.withColumn("_source_date", F.lit(min(days)).cast("date"))
-        return rows.where(_one_of("_source_date", days))
+        return read_entity_layout(spark, root, entity, loaded_at, batch_id, days)
     if entity == "categories":
         paths = storage.matching(spark, f"{root}/categories.csv")
-        day = F.lit(min(days)).cast("date")
     else:
         paths = [f"{root}/{ds}/{entity}.csv" for ds in days_with(spark, root, f"{entity}.csv", days)]
-        day = F.to_date(F.regexp_extract(F.col("_metadata.file_path"), DAY_PATTERN, 1))
     if not paths:
         return stamp(empty_landing(spark, entity), F.lit(None).cast("date"), loaded_at, batch_id)
-    return stamp(read_csv(spark, entity, paths), day, loaded_at, batch_id)
+    rows = _of_day_folder(_scan(spark, landing_schema(entity), paths))
+    day = F.lit(min(days)).cast("date") if entity == "categories" else F.col("_source_date")
+    return stamp(rows, day, loaded_at, batch_id)
 
 
 def _one_of(column: str, days: Sequence[str]):
@@ -116,14 +142,20 @@ def _one_of(column: str, days: Sequence[str]):
 
 
 def read_entity_layout(
-    spark: SparkSession, root: str, entity: str, loaded_at: datetime, batch_id: str
+    spark: SparkSession, root: str, entity: str, loaded_at: datetime, batch_id: str, days: Sequence[str] | None = None
 ) -> DataFrame:
-    """Rows written by ``write_landing``; a filter on ``_source_date`` prunes directories."""
+    """Rows written by ``write_landing``, of all days or of those given; only their directories are read."""
     path = f"{root}/{entity}"
     if not storage.exists(spark, path):
         return stamp(empty_landing(spark, entity), F.lit(None).cast("date"), loaded_at, batch_id)
+    paths = [path] if days is None else _day_folders(spark, root, entity, days)
+    if paths and split_csv.worth_it(spark, paths):
+        found = _of_partition(split_csv.read(spark, landing_schema(entity), paths, CSV_OPTIONS))
+        return stamp(found, F.col("_source_date"), loaded_at, batch_id)
     schema = landing_schema(entity).add("_source_date", T.DateType())
     rows = spark.read.schema(schema).options(**csv_options()).csv(path)
+    if days is not None:
+        rows = rows.where(_one_of("_source_date", days))
     return stamp(rows, F.col("_source_date"), loaded_at, batch_id)
 
 
@@ -141,20 +173,21 @@ def _typed_events_schema() -> T.StructType:
     )
 
 
-def read_typed_events(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+def read_typed_events(spark: SparkSession, path: str | Sequence[str], split: bool | None = None) -> DataFrame:
     """Events go straight to the fact table, so their time is typed by the scan; a bad time fails."""
-    paths = [path] if isinstance(path, str) else list(path)
-    return spark.read.schema(_typed_events_schema()).options(**csv_options()).csv(paths)
+    return _scan(spark, _typed_events_schema(), path, split=split).drop("_file")
 
 
 def read_events_of_days(spark: SparkSession, root: str, days: Sequence[str]) -> DataFrame:
     """Typed events of the given days, which all have a file, with their ``_source_date``."""
     if _by_entity(spark, root):
+        paths = _day_folders(spark, root, "events", days)
+        if paths and split_csv.worth_it(spark, paths):
+            return _of_partition(split_csv.read(spark, _typed_events_schema(), paths, CSV_OPTIONS))
         schema = _typed_events_schema().add("_source_date", T.DateType())
         rows = spark.read.schema(schema).options(**csv_options()).csv(f"{root}/events")
         return rows.where(_one_of("_source_date", days))
-    day = F.to_date(F.regexp_extract(F.col("_metadata.file_path"), DAY_PATTERN, 1))
-    return read_typed_events(spark, [f"{root}/{ds}/events.csv" for ds in days]).withColumn("_source_date", day)
+    return _of_day_folder(_scan(spark, _typed_events_schema(), [f"{root}/{ds}/events.csv" for ds in days]))
 
 
 def stream_typed_events(spark: SparkSession, root: str, files_per_batch: int = 1000) -> DataFrame:

@@ -31,3 +31,17 @@ def children(spark: SparkSession, path: str) -> list[str]:
 def delete(spark: SparkSession, path: str) -> bool:
     fs, hadoop = _fs(spark, path)
     return fs.delete(hadoop, True)
+
+
+def files(spark: SparkSession, paths) -> list[tuple[str, int]]:
+    """Name and size of every file under the given files, folders or glob patterns."""
+    out = []
+    for path in paths:
+        fs, hadoop = _fs(spark, path)
+        for status in fs.globStatus(hadoop) or []:
+            found = fs.listFiles(status.getPath(), True)
+            while found.hasNext():
+                file = found.next()
+                if not file.getPath().getName().startswith(("_", ".")):
+                    out.append((file.getPath().toString(), file.getLen()))
+    return out
