@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from marketlane.functions import columns as C, dates as D, sketches as S
 from marketlane.operators import basket, cohorts, copies, funnel, quality, upsert
 from marketlane.operators.classify import first_seen, lookup_key, skew_ready
-from marketlane.plans import facts, marts, promote, reports
+from marketlane.plans import facts, history, marts, promote, reports
 from marketlane.plans.catalog_sql import statement
 from marketlane.session import new_folder
 from marketlane.sinks import tables as sinks
@@ -1227,6 +1227,56 @@ def _(w: Work) -> DataFrame:
 # ---- sources and sinks ------------------------------------------------------------------
 
 
+# ---- attributes valid at a time ---------------------------------------------------
+
+
+@query(
+    "jn13_orders_then",
+    """SELECT order_id, o.user_id, o.created_at::VARCHAR AS created_at, u.city AS city_now, v.city AS then_city,
+              v.acquisition_channel AS then_acquisition_channel, v.age_group AS then_age_group
+       FROM c_orders o JOIN d_users u ON o.user_id = u.user_id
+       ASOF LEFT JOIN (SELECT user_id, city, acquisition_channel, age_group, _source_date::TIMESTAMP AS valid_from FROM s_users) v
+         ON o.user_id = v.user_id AND o.created_at >= v.valid_from""",
+)
+def _(w: Work) -> DataFrame:
+    """Every order with the city its buyer had at the time, before the first delivery none, next to today's."""
+    orders = w.orders.select("order_id", "user_id", "created_at")
+    now = w.core_users.select("user_id", F.col("city").alias("city_now"))
+    versions = history.user_versions(promote.type_users(w.staged("users"), uuid_ids=False))
+    return history.orders_then(orders.join(now, "user_id"), versions)
+
+
+@query(
+    "jn13_items_then",
+    """SELECT order_item_id, f.product_id, quantity::BIGINT AS quantity, v.name AS then_name, v.category_id::BIGINT AS then_category_id,
+              v.price::DOUBLE AS then_price, (quantity * (v.price - v.cost_price))::DECIMAL(18,2)::DOUBLE AS then_margin
+       FROM f_items f
+       ASOF LEFT JOIN (SELECT product_id, name, try_cast(category_id AS DOUBLE)::INT AS category_id, price::DECIMAL(12,2) AS price,
+                              cost_price::DECIMAL(12,2) AS cost_price, _source_date::TIMESTAMP AS valid_from FROM s_products) v
+         ON f.product_id = v.product_id AND f.order_created_at >= v.valid_from""",
+)
+def _(w: Work) -> DataFrame:
+    """Every item with the price list of its order's time."""
+    versions = history.product_versions(promote.type_products(w.staged("products"), uuid_ids=False))
+    return history.items_then(w.items_fact, versions).select(
+        "order_item_id", "product_id", "quantity", "then_name", "then_category_id", "then_price", "then_margin"
+    )
+
+
+@query(
+    "snk6_version_history",
+    """SELECT user_id, city, valid_from::VARCHAR AS valid_from,
+              lead(valid_from) OVER (PARTITION BY user_id ORDER BY valid_from)::VARCHAR AS valid_to
+       FROM (SELECT user_id, city, _source_date::TIMESTAMP AS valid_from,
+                    lag(struct_pack(city := city, c := acquisition_channel, a := age_group)) OVER (PARTITION BY user_id ORDER BY _source_date) AS b,
+                    struct_pack(city := city, c := acquisition_channel, a := age_group) AS n FROM s_users)
+       WHERE b IS NULL OR b IS DISTINCT FROM n""",
+)
+def _(w: Work) -> DataFrame:
+    """Deliveries that changed a user, each with the time it held."""
+    return history.user_versions(promote.type_users(w.staged("users"), uuid_ids=False)).select("user_id", "city", "valid_from", "valid_to")
+
+
 @query(
     "src1_landing_round_trip",
     """SELECT order_id, user_id, created_at, status, payment_method, total_amount,

@@ -20,7 +20,7 @@ from marketlane.operators import quality
 from marketlane.operators.classify import first_seen, skew_ready
 from marketlane.operators.copies import latest_version
 from marketlane.operators.upsert import only_keys_of
-from marketlane.plans import facts, marts, promote
+from marketlane.plans import facts, history, marts, promote
 from marketlane.schemas import DIMENSIONS, EVENT_RETENTION_MONTHS, FACTS, LOAD_AUDIT, columns_of, stored_layouts
 from marketlane.sinks import tables as sinks
 from marketlane.sources import landing, storage
@@ -65,6 +65,14 @@ class Warehouse:
             **{t: self.read(f"core/{t}") for t in FACTS},
         }
 
+    def orders_then(self) -> DataFrame:
+        """``orders_fact`` with the buyer's attributes as of the order."""
+        return history.orders_then(self.read("facts/orders_fact"), history.user_versions(self.deliveries("users")))
+
+    def items_then(self) -> DataFrame:
+        """``order_items_fact`` with the product's attributes as of the order."""
+        return history.items_then(self.read("facts/order_items_fact"), history.product_versions(self.deliveries("products")))
+
     def dim(self, table: str) -> DataFrame:
         """Current version of each row of ``users_dim`` or ``products_dim``."""
         return latest_version(self.read(f"facts/{table}"), [f"{table[:-5]}_id"], "updated_at")
