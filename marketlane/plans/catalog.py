@@ -13,7 +13,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from marketlane.functions import columns as C, dates as D, sketches as S
-from marketlane.operators import basket, cohorts, copies, funnel, quality, upsert
+from marketlane.operators import basket, cohorts, copies, funnel, funnel_state, quality, upsert
 from marketlane.operators.classify import first_seen, lookup_key, skew_ready
 from marketlane.plans import facts, history, marts, promote, reports
 from marketlane.plans.catalog_sql import statement
@@ -635,6 +635,31 @@ def _(w: Work) -> DataFrame:
     return funnel.window_funnel(w.events_fact, ["user_id"], "created_at", steps, 7200)
 
 
+# ---- states that merge ------------------------------------------------------------
+
+
+def in_parts(rows: DataFrame, n: int = 3) -> list[DataFrame]:
+    """The rows dealt out into parts that overlap in time."""
+    part = F.pmod(F.xxhash64(*rows.columns), F.lit(n))
+    return [rows.where(part == k) for k in range(n)]
+
+
+@query("agg14_session_levels_from_parts", "SELECT session_id, level::BIGINT AS level FROM w_session_levels")
+def _(w: Work) -> DataFrame:
+    """Levels merged from the cells of three cuts of the events, one of them given twice."""
+    parts = in_parts(w.events_fact)
+    return marts.session_levels_merge(quality.union_all([marts.session_funnel_cells(p) for p in (*parts, parts[0])]))
+
+
+@query("agg14_user_levels_from_summaries", "SELECT user_id, level::BIGINT AS level FROM w_user_levels")
+def _(w: Work) -> DataFrame:
+    """Chains over midnight, from one fixed-size summary per user and day."""
+    steps = [F.col("event_type") == s for s in reports.FUNNEL_STEPS]
+    parts = quality.union_all([funnel_state.cells(p, ["user_id"], "created_at", steps) for p in in_parts(w.events_fact)])
+    days = w.keep("summaries", funnel_state.summaries(parts, ["user_id"], 3, 7200))
+    return funnel_state.combine(days, ["user_id"], 3, 7200).select("user_id", funnel_state.level(3).alias("level"))
+
+
 # ---- denormalised facts -----------------------------------------------------------
 
 
@@ -1458,6 +1483,16 @@ def _(w: Work) -> DataFrame:
     return marts.funnel_merge(w.spark.read.parquet(f"{root}/funnel_daily"))
 
 
+@query(
+    "str1_ingest_session_levels",
+    "SELECT level::BIGINT AS level, count(*) AS sessions FROM w_session_levels GROUP BY 1",
+)
+def _(w: Work) -> DataFrame:
+    """The funnel from the mart that the event stream keeps."""
+    root = _ingest(w, "events_fact", facts.events_fact(w.streamed("events").raw_events))
+    return funnel.level_histogram(marts.session_levels_merge(w.spark.read.parquet(f"{root}/session_funnel_cells")))
+
+
 @query("str1_ingest_orders", "SELECT day::VARCHAR AS day, gmv::DOUBLE AS gmv, orders FROM m_gmv")
 def _(w: Work) -> DataFrame:
     rows = facts.orders_fact(w.streamed("orders").orders, w.users, w.order_items)

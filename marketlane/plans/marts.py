@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from marketlane.functions.dates import day
 from marketlane.functions.sketches import uniq_merge, uniq_merge_state, uniq_state
+from marketlane.operators import funnel_state
+from marketlane.schemas import FUNNEL_STEPS, FUNNEL_WINDOW_SECONDS
 
 COMPLETED = "completed"
 
@@ -105,3 +107,18 @@ def user_category_first_buy(order_items_fact: DataFrame, *by: str) -> DataFrame:
 
 def first_buy_merge(states: DataFrame) -> DataFrame:
     return states.groupBy("user_id", "category_id").agg(F.min("first_buy_state").alias("first_buy"))
+
+
+def session_funnel_cells(events_fact: DataFrame, *by: str) -> DataFrame:
+    """Seconds at which each funnel step happened, per session and minute."""
+    steps = [F.col("event_type") == s for s in FUNNEL_STEPS]
+    return funnel_state.cells(events_fact, ["session_id"], "created_at", steps, *by)
+
+
+def session_funnel_collapse(cells: DataFrame) -> DataFrame:
+    return funnel_state.merge_cells(cells, ["session_id"], len(FUNNEL_STEPS))
+
+
+def session_levels_merge(cells: DataFrame, window_seconds: int = FUNNEL_WINDOW_SECONDS) -> DataFrame:
+    """``session_id, level`` from any partial cells."""
+    return funnel_state.levels(cells, ["session_id"], len(FUNNEL_STEPS), window_seconds)

@@ -413,6 +413,7 @@ def refresh_marts(wh: Warehouse, days: Sequence[str]) -> None:
     refresh("category_revenue_daily", "order_items_fact", lambda r: marts.category_revenue_daily(r, "ds"))
     refresh("user_category_first_buy", "order_items_fact", lambda r: marts.user_category_first_buy(r, "ds"))
     refresh("funnel_daily", "events_fact", lambda r: marts.funnel_daily(r, "ds"))
+    refresh("session_funnel_cells", "events_fact", lambda r: marts.session_funnel_cells(r, "ds"))
 
 
 def live_events(wh: Warehouse, as_of: str) -> DataFrame:

@@ -120,6 +120,7 @@ MARTS = {
     ),
     "funnel_daily": "day date, views bigint, carts bigint, purchases bigint",
     "user_category_first_buy": "user_id string, category_id int, first_buy_state timestamp_ntz",
+    "session_funnel_cells": "session_id string, cell bigint, s0 bigint, s1 bigint, s2 bigint",
 }
 
 

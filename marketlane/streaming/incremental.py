@@ -44,7 +44,7 @@ MARTS_OF = {
         "category_revenue_daily": marts.category_revenue_daily,
         "user_category_first_buy": marts.user_category_first_buy,
     },
-    "events_fact": {"funnel_daily": marts.funnel_daily},
+    "events_fact": {"funnel_daily": marts.funnel_daily, "session_funnel_cells": marts.session_funnel_cells},
 }
 
 
@@ -81,6 +81,7 @@ COLLAPSE = {
     "category_revenue_daily": lambda r: marts.category_revenue_merge(r).withColumn("revenue", F.col("revenue").cast("decimal(18,2)")),
     "user_category_first_buy": lambda r: r.groupBy("user_id", "category_id").agg(F.min("first_buy_state").alias("first_buy_state")),
     "funnel_daily": marts.funnel_merge,
+    "session_funnel_cells": marts.session_funnel_collapse,
 }
 
 
