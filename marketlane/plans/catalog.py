@@ -12,8 +12,8 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from marketlane.functions import columns as C, dates as D, sketches as S
-from marketlane.operators import basket, cohorts, copies, funnel, funnel_state, quality, upsert
+from marketlane.functions import columns as C, dates as D, sketches as S, states
+from marketlane.operators import basket, cohorts, copies, funnel, funnel_state, heavy_hitters, numbering, quality, upsert
 from marketlane.operators.classify import first_seen, lookup_key, skew_ready
 from marketlane.plans import facts, history, marts, promote, reports
 from marketlane.plans.catalog_sql import statement
@@ -660,6 +660,87 @@ def _(w: Work) -> DataFrame:
     return funnel_state.combine(days, ["user_id"], 3, 7200).select("user_id", funnel_state.level(3).alias("level"))
 
 
+def _bitmaps(w: Work) -> DataFrame:
+    """The mart of three cuts of the orders, whose buyers were numbered in three steps."""
+    parts, known = in_parts(w.orders_fact), None
+    for part in parts:
+        fresh = numbering.numbered(part, "user_id", known)
+        known = w.keep("numbers", fresh if known is None else known.unionByName(fresh))
+    return w.keep("buyers", quality.union_all([marts.daily_buyers(p, known) for p in parts]))
+
+
+@query(
+    "agg11_buyers_by_day_and_month",
+    """SELECT 'day' AS span, day::VARCHAR AS first_day, buyers FROM m_gmv
+       UNION ALL SELECT 'month', date_trunc('month', created_at)::DATE::VARCHAR, count(DISTINCT user_id)
+       FROM f_orders WHERE status = 'completed' GROUP BY 2""",
+)
+def _(w: Work) -> DataFrame:
+    """Exact buyers of every day and month from the same bitmaps."""
+    mart = _bitmaps(w)
+    days = states.bitmap_distinct(mart, "day", out="buyers")
+    months = states.bitmap_distinct(mart.withColumn("day", D.month_start("day")), "day", out="buyers")
+    labelled = [r.select(F.lit(s).alias("span"), F.col("day").alias("first_day"), "buyers") for s, r in (("day", days), ("month", months))]
+    return quality.union_all(labelled)
+
+
+@query(
+    "m1_buyers_of_spans",
+    """SELECT '1996-02-29' AS first_day, count(DISTINCT user_id) AS buyers FROM f_orders
+       WHERE status = 'completed' AND created_at::DATE BETWEEN DATE '1996-02-29' AND DATE '1996-03-11'
+       UNION ALL SELECT '1992-01-01', count(DISTINCT user_id) FROM f_orders WHERE status = 'completed'""",
+)
+def _(w: Work) -> DataFrame:
+    mart = _bitmaps(w)
+    spans = [("1996-02-29", "1996-03-11"), ("1992-01-01", "2099-12-31")]
+    return quality.union_all([marts.buyers_of_span(mart, a, b).select(F.lit(a).alias("first_day"), "buyers") for a, b in spans])
+
+
+@query(
+    "q3_retention_from_sketches",
+    """SELECT cohort::VARCHAR AS cohort, month_offset::BIGINT AS month_offset, users, true AS within_bound FROM x_retention""",
+)
+def _(w: Work) -> DataFrame:
+    """Retention from monthly theta sketches of three cuts of the orders, next to the exact one."""
+    groups = w.users_dim.select("user_id", D.month_start("registration_date").alias("cohort"))
+    sketches = quality.union_all([marts.monthly_buyers(p) for p in in_parts(w.orders_fact)])
+    near = reports.retention_from_sketches(marts.cohort_members(groups), sketches).withColumnRenamed("users", "estimate")
+    exact = reports.cohort_retention(groups, w.orders_fact)
+    gap = F.abs(F.col("estimate") - F.col("users"))
+    bound = states.theta_bound(F.col("users"), F.col("larger"))
+    return exact.join(near, ["cohort", "month_offset"]).select("cohort", "month_offset", "users", (gap <= bound).alias("within_bound"))
+
+
+@query(
+    "p5_order_value_quantiles",
+    """SELECT count(total_amount) AS orders, true AS median_near, true AS p99_near FROM f_orders WHERE status = 'completed'""",
+)
+def _(w: Work) -> DataFrame:
+    """Median and 99th percentile from daily KLL sketches of three cuts: their true ranks lie within the sketch's error."""
+    sketches = quality.union_all([marts.daily_order_values(p) for p in in_parts(w.orders_fact)])
+    found = marts.order_value_quantiles(sketches, {"median": 0.5, "p99": 0.99}).first()
+    error = 2 * states.kll_rank_error()  # twice, for the merges and the many points of all data
+    paid = w.orders_fact.where("status = 'completed'").agg(
+        F.count("total_amount").alias("orders"),
+        *[
+            (F.count_if(F.col("total_amount").cast("double") <= found[name]) / F.count("total_amount")).alias(name)
+            for name in ("median", "p99")
+        ],
+    )
+    near = [(F.abs(F.col(name) - point) <= error).alias(f"{name}_near") for name, point in (("median", 0.5), ("p99", 0.99))]
+    return paid.select("orders", *near)
+
+
+@query(
+    "srt2_top_products",
+    """SELECT product_id, sum(line_revenue)::DOUBLE AS revenue FROM f_items GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10""",
+)
+def _(w: Work) -> DataFrame:
+    """Exact top products after bounded daily summaries have ruled out the others."""
+    summaries = w.keep("heavy", marts.product_revenue_summaries(w.items_fact))
+    return reports.top_products(w.items_fact, 10, summaries)
+
+
 # ---- denormalised facts -----------------------------------------------------------
 
 

@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from marketlane.functions.dates import day
 from marketlane.functions.sketches import uniq_merge, uniq_merge_state, uniq_state
-from marketlane.operators import funnel_state
+from marketlane.functions import states
+from marketlane.operators import funnel_state, heavy_hitters
 from marketlane.schemas import FUNNEL_STEPS, FUNNEL_WINDOW_SECONDS
 
 COMPLETED = "completed"
@@ -122,3 +123,46 @@ def session_funnel_collapse(cells: DataFrame) -> DataFrame:
 def session_levels_merge(cells: DataFrame, window_seconds: int = FUNNEL_WINDOW_SECONDS) -> DataFrame:
     """``session_id, level`` from any partial cells."""
     return funnel_state.levels(cells, ["session_id"], len(FUNNEL_STEPS), window_seconds)
+
+
+def daily_buyers(orders_fact: DataFrame, user_numbers: DataFrame, *by: str) -> DataFrame:
+    """Buyers of completed orders per day, exact, as bitmaps of their numbers."""
+    bought = completed(orders_fact).select(day("created_at").alias("day"), "user_id", *by).distinct()
+    return states.bitmap_states(bought.join(user_numbers, "user_id"), "number", "day", *by)
+
+
+def buyers_of_span(bitmaps: DataFrame, first: str, last: str) -> DataFrame:
+    """Distinct buyers of a span of days, both ends included, from the mart alone."""
+    return states.bitmap_distinct(bitmaps.where(F.col("day").between(F.lit(first).cast("date"), F.lit(last).cast("date"))), out="buyers")
+
+
+def monthly_buyers(orders_fact: DataFrame, *by: str, log_entries: int = states.THETA_LOG_ENTRIES) -> DataFrame:
+    """Buyers of completed orders per month as theta sketches, for overlaps of any two sets."""
+    month = F.trunc(F.to_date("created_at"), "MM")
+    return completed(orders_fact).groupBy(month.alias("month"), *by).agg(states.theta_state("user_id", log_entries).alias("buyers_state"))
+
+
+def cohort_members(cohorts: DataFrame, log_entries: int = states.THETA_LOG_ENTRIES) -> DataFrame:
+    """Users of each cohort as theta sketches."""
+    return cohorts.groupBy("cohort").agg(states.theta_state("user_id", log_entries).alias("members_state"))
+
+
+def daily_order_values(orders_fact: DataFrame, *by: str, k: int = states.KLL_K) -> DataFrame:
+    """Distribution of the amounts of completed orders per day, as KLL sketches."""
+    return completed(orders_fact).groupBy(day("created_at").alias("day"), *by).agg(
+        states.kll_state("total_amount", k).alias("amount_state"), F.count("total_amount").alias("orders")
+    )
+
+
+def order_value_quantiles(sketches: DataFrame, points: dict[str, float], *by: str, k: int = states.KLL_K) -> DataFrame:
+    """Quantiles over any days and partial rows."""
+    merged = sketches.groupBy(*by).agg(states.kll_merge("amount_state", k).alias("_s"), F.sum("orders").alias("orders"))
+    return merged.select(*by, "orders", *[states.kll_quantile("_s", p).alias(name) for name, p in points.items()])
+
+
+def product_revenue_summaries(order_items_fact: DataFrame, counters: int = heavy_hitters.COUNTERS) -> DataFrame:
+    """Per day and task the products of most revenue, in hundredths, with bounds for all others."""
+    cents = order_items_fact.select(
+        day("order_created_at").alias("day"), "product_id", (F.col("line_revenue") * 100).cast("bigint").alias("cents")
+    )
+    return heavy_hitters.summaries(cents, "product_id", "cents", ["day"], counters)

@@ -6,12 +6,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from marketlane.functions.dates import month_start
+from marketlane.functions import states
+from marketlane.functions.dates import month_start, months_between_starts
 from marketlane.functions.sketches import uniq_adaptive, uniq_hll12
 from marketlane.operators.basket import category_pairs
 from marketlane.operators.cohorts import active_months, retention
 from marketlane.operators.copies import latest_version
 from marketlane.operators.funnel import level_histogram, window_funnel
+from marketlane.operators.heavy_hitters import top_sums
 from marketlane.operators.percentiles import percentiles
 from marketlane.plans.marts import completed
 from marketlane.schemas import (
@@ -59,6 +61,35 @@ def cohort_retention(cohorts: DataFrame, orders_fact: DataFrame) -> DataFrame:
     return retention(cohorts, activity, "user_id").orderBy("cohort", "month_offset")
 
 
+def retention_from_sketches(members: DataFrame, buyers: DataFrame) -> DataFrame:
+    """``cohort, month_offset, users, larger``: estimated overlap of cohorts and monthly buyers, from sketches alone.
+
+    ``larger`` is the size of the larger of the two sets, for the bound.  Months
+    are few, so each cohort is repeated for the months from its own to the last.
+    """
+    months = buyers.groupBy("month").agg(states.theta_merge("buyers_state").alias("_b"))
+    last = months.agg(F.max("month")).first()[0]
+    if last is None:
+        return members.select("cohort", F.lit(0).alias("month_offset"), F.lit(0).cast("bigint").alias("users"), F.lit(0).cast("bigint").alias("larger")).limit(0)
+    ahead = F.sequence("cohort", F.lit(last), F.expr("interval 1 month"))
+    open_months = members.where(F.col("cohort") <= F.lit(last)).select("cohort", "members_state", F.explode(ahead).alias("month"))
+    pairs = open_months.join(months, "month")
+    size = lambda c: F.theta_sketch_estimate(c)
+    return pairs.select(
+        "cohort",
+        months_between_starts("cohort", "month").alias("month_offset"),
+        states.theta_overlap("members_state", "_b").alias("users"),
+        F.greatest(size("members_state"), size("_b")).alias("larger"),
+    )
+
+
+def top_products(order_items_fact: DataFrame, n: int = 10, summaries: DataFrame | None = None) -> DataFrame:
+    """Products of highest revenue, exact; equal revenue is ordered by id."""
+    cents = order_items_fact.select("product_id", (F.col("line_revenue") * 100).cast("bigint").alias("cents"))
+    best = top_sums(cents, "product_id", "cents", n, summaries)
+    return best.select("product_id", (F.col("weight") / 100).cast("decimal(18,2)").alias("revenue"))
+
+
 def session_funnel(
     events_fact: DataFrame,
     key: Sequence[str] = ("session_id",),
