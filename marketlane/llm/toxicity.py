@@ -76,50 +76,47 @@ def word_class(word: bytes) -> int:
     return found | 16 if found else 0
 
 
-BYTE = np.zeros(256, dtype=np.int64)
-BYTE[[*range(65, 91)]] = 1
-BYTE[[*range(97, 123)]] = 2
-BYTE[[*range(48, 58)]] = 3
-BYTE[[*b".,;:'\"()-?"]] = 4
-BYTE[ord("!")] = 5
-BYTE[[*b"#$%&*+/<=>@[\\]^_`{|}~"]] = 6
-
-
-def dense_features(text: bytes, classes: Memo) -> list[float]:
-    """Rates per word or per byte of one whole text; an empty text has zeros."""
-    words = text.split()
-    n = max(1, len(words))
-    kinds = np.fromiter((classes[w] for w in words), np.int64, len(words))
-    lexicon = np.flatnonzero(kinds & 7)
-    you = np.flatnonzero(kinds & 8)
-    near = 0
-    if len(lexicon) and len(you):
+# Bytes by kind: each count of a kind is what a text loses when these are deleted.
+CAPITALS = bytes(range(65, 91))
+SMALL = bytes(range(97, 123))
+DIGITS = bytes(range(48, 58))
+POINTS = b".,;:'\"()-?"
+SYMBOLS = b"#$%&*+/<=>@[\\]^_`{|}~"
+
+# What is known of a word beside the bits of ``word_class``.
+UPPER, LEARNT = 32, 64
+
+
+def _per_text(bits: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Sums of each text's part of the words of a slice; texts without words have 0."""
+    upto = np.concatenate([[0], np.cumsum(bits)])
+    return np.diff(upto[np.concatenate([[0], ends])])
+
+
+def dense_features(batch: list[bytes], kinds: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Rates per word or per byte of whole texts, one row each; an empty text has zeros.
+
+    ``kinds`` has the bits of every word of all texts, one text after the other, and ``ends`` where each text's end.
+    """
+    count = np.diff(np.concatenate([[0], ends]))
+    n = np.maximum(1, count)
+    has = lambda bit: _per_text((kinds & bit) > 0, ends)
+    lexical, addressed = has(7), has(8)
+    near = np.zeros(len(batch), dtype=np.int64)
+    for t in np.flatnonzero((lexical > 0) & (addressed > 0)):
+        own = kinds[ends[t] - count[t] : ends[t]]
+        lexicon, you = np.flatnonzero(own & 7), np.flatnonzero(own & 8)
         at = np.searchsorted(you, lexicon)
-        after = you[np.minimum(at, len(you) - 1)]
-        before = you[np.maximum(at - 1, 0)]
-        near = int((np.minimum(np.abs(after - lexicon), np.abs(before - lexicon)) <= NEAR).sum())
-    counts = np.bincount(BYTE[np.frombuffer(text, dtype=np.uint8)], minlength=7)
-    size = max(1, len(text))
-    letters = max(1, int(counts[1] + counts[2]))
-    capital_words = sum(1 for w in words if len(w) > 2 and w.isupper())
-    return [
-        float((kinds & 1 > 0).sum()) / n,
-        float((kinds & 2 > 0).sum()) / n,
-        float((kinds & 4 > 0).sum()) / n,
-        len(lexicon) / n,
-        float(min(len(lexicon), 50)),
-        float(len(lexicon) > 0),
-        near / n,
-        len(you) / n,
-        float(counts[1]) / letters,
-        capital_words / n,
-        float(counts[4]) / size,
-        float(counts[5]) / size,
-        float((kinds & 16 > 0).sum()) / n,
-        float(counts[6]) / size,
-        float(counts[3]) / size,
-        float(np.log1p(len(words))),
-    ]
+        after, before = you[np.minimum(at, len(you) - 1)], you[np.maximum(at - 1, 0)]
+        near[t] = (np.minimum(np.abs(after - lexicon), np.abs(before - lexicon)) <= NEAR).sum()
+    length = np.array([len(t) for t in batch], dtype=np.int64)
+    of = lambda chosen: length - np.array([len(t.translate(None, chosen)) for t in batch], dtype=np.int64)
+    size, capitals = np.maximum(1, length), of(CAPITALS)
+    letters = np.maximum(1, capitals + of(SMALL))
+    marks = np.array([t.count(b"!") for t in batch], dtype=np.int64)
+    columns = [has(1) / n, has(2) / n, has(4) / n, lexical / n, np.minimum(lexical, 50), lexical > 0, near / n, addressed / n]
+    columns += [capitals / letters, has(UPPER) / n, of(POINTS) / size, marks / size, has(16) / n, of(SYMBOLS) / size, of(DIGITS) / size, np.log1p(count)]
+    return np.stack([c.astype(np.float64) for c in columns], axis=1)
 
 
 def plain_word(word: bytes) -> str:
@@ -181,13 +178,13 @@ def lexicon(docs: DataFrame, labels: DataFrame) -> dict[str, tuple[float, ...]]:
     return found
 
 
-def learnt_features(words: list[bytes], weights: Memo, column: int) -> list[float]:
+def learnt_features(found: list[tuple[bytes, tuple[float, ...]]], count: int, column: int) -> list[float]:
     """Density, number, distinct words and top weight of the words that the lexicon holds; ``column`` tells whose counts."""
-    found = [(w, x[column]) for w in words if (x := weights[w]) and x[column] > 0]
-    if not found:
+    own = [(w, x[column]) for w, x in found if x[column] > 0]
+    if not own:
         return [0.0] * 4
-    distinct = dict(found)
-    return [len(found) / len(words), float(min(len(found), 50)), float(min(len(distinct), 50)), max(distinct.values())]
+    distinct = dict(own)
+    return [len(own) / count, float(min(len(own), 50)), float(min(len(distinct), 50)), max(distinct.values())]
 
 
 def features(docs: DataFrame, learnt: dict[str, tuple[float, ...]] | None = None) -> DataFrame:
@@ -195,21 +192,43 @@ def features(docs: DataFrame, learnt: dict[str, tuple[float, ...]] | None = None
     shared = docs.sparkSession.sparkContext.broadcast(learnt or {})
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes, held = Memo(word_class, 200_000), shared.value
+        held = shared.value
 
         def weigh(word: bytes) -> tuple[float, ...]:
             own = [held[t] for t in tokens(plain_word(word)) if t in held]
             return tuple(map(max, zip(*own)))
 
         weights = Memo(weigh, 200_000)
+
+        def known(word: bytes) -> int:
+            upper = UPPER if len(word) > 2 and word.isupper() else 0
+            return word_class(word) | upper | (LEARNT if weights[word] else 0)
+
+        kind_of = Memo(known, 200_000)
         for batch in slices(batches):
-            rows, own = [], []
-            for text, part in zip(texts(batch), batch.column("fold").to_pylist()):
-                dense, words = dense_features(text, classes), text.split()
-                rows.append(dense + learnt_features(words, weights, 0))
-                own.append(dense + learnt_features(words, weights, 1 + GROWING.index(part)) if part in GROWING else rows[-1])
-            kind = pa.list_(pa.float64())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(rows, kind), pa.array(own, kind)], names=["doc_id", "x", "own"])
+            whole = texts(batch)
+            words: list[bytes] = []
+            ends = np.empty(len(whole), dtype=np.int64)
+            for k, text in enumerate(whole):
+                words += text.split()
+                ends[k] = len(words)
+            kinds = np.fromiter(map(kind_of.__getitem__, words), np.int64, len(words))
+            dense = dense_features(whole, kinds, ends)
+            # words of the lexicon are few: only these are looked at one by one
+            found: dict[int, list] = {}
+            at = np.flatnonzero(kinds & LEARNT)
+            for k, t in zip(at.tolist(), np.searchsorted(ends, at, side="right").tolist()):
+                found.setdefault(t, []).append((words[k], weights[words[k]]))
+            every, left_out = np.zeros((len(whole), 4)), np.zeros((len(whole), 4))
+            folds = batch.column("fold").to_pylist()
+            for t, own in found.items():
+                count = int(ends[t] - (ends[t - 1] if t else 0))
+                every[t] = left_out[t] = learnt_features(own, count, 0)
+                if folds[t] in GROWING:
+                    left_out[t] = learnt_features(own, count, 1 + GROWING.index(folds[t]))
+            offsets = pa.array(np.arange(len(whole) + 1, dtype=np.int32) * len(FEATURES))
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(np.hstack([dense, part]).ravel())) for part in (every, left_out)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *lists], names=["doc_id", "x", "own"])
 
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", fold(FOLDS).alias("fold"))
     return keyed.mapInArrow(compute, "doc_id long, x array<double>, own array<double>")

@@ -3,6 +3,8 @@ import zlib
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from marketlane.llm import quality, toxicity
 from marketlane.llm.common import table
 from tests.llm.frames import ODD, documents
@@ -125,3 +127,43 @@ def test_isotonic_points_rise_and_keep_the_total():
 def test_disguised_words_are_found():
     assert toxicity.word_class(b"Idiot!") == 1 and toxicity.word_class(b"1d10t") == 17 and toxicity.word_class(b"i.d.i.o.t") == 17
     assert toxicity.word_class(b"you,") == 8 and toxicity.word_class(b"table") == 0 and toxicity.word_class(b"losers") == 1
+
+
+def plain_features(text, learnt, column):
+    """Word by word and byte by byte, as the docstrings say."""
+    words = text.split()
+    n, size = max(1, len(words)), max(1, len(text))
+    kinds = [toxicity.word_class(w) for w in words]
+    lexicon = [k for k, c in enumerate(kinds) if c & 7]
+    you = [k for k, c in enumerate(kinds) if c & 8]
+    near = sum(any(abs(k - y) <= toxicity.NEAR for y in you) for k in lexicon)
+    among = lambda chars: sum(b in chars for b in text)
+    capitals, small = among(range(65, 91)), among(range(97, 123))
+    share = lambda bit: sum(1 for c in kinds if c & bit) / n
+    upper = sum(len(w) > 2 and w.isupper() for w in words)
+    out = [share(1), share(2), share(4), len(lexicon) / n, min(len(lexicon), 50), float(bool(lexicon)), near / n, len(you) / n]
+    out += [capitals / max(1, capitals + small), upper / n, among(b".,;:'\"()-?") / size, among(b"!") / size, share(16)]
+    out += [among(b"#$%&*+/<=>@[\\]^_`{|}~") / size, among(range(48, 58)) / size, float(np.log1p(len(words)))]
+    weight = lambda w: max((learnt[t][column] for t in toxicity.tokens(toxicity.plain_word(w)) if t in learnt), default=0.0)
+    held = {w: weight(w) for w in words if weight(w) > 0}
+    count = sum(w in held for w in words)
+    return out + ([count / n, min(count, 50), min(len(held), 50), max(held.values())] if held else [0.0] * 4)
+
+
+def test_features_equal_a_plain_count(spark, small):
+    docs = [tuple(r) for r in table(spark, small, "documents").select("doc_id", "text").collect()]
+    docs += [(10_001, "you IDIOT, you i.d.i.o.t and LOSERS!!! kill kill #$%@ [x] ~"), *[(20_000 + k, t) for k, (_, t) in enumerate(ODD)]]
+    learnt = {"the": (1.0, 0.5, 0.0, 2.0), "^idiot": (0.7, 0.0, 0.1, 0.2), "und": (0.0, 0.4, 0.0, 0.0), "kill": (3.0, 1.0, 2.0, 0.0)}
+    got = {r["doc_id"]: r for r in toxicity.features(documents(spark, docs), learnt).collect()}
+    for i, text in docs:
+        whole, part = (text or "").encode(), zlib.crc32(str(i).encode()) % 5
+        assert got[i]["x"] == pytest.approx(plain_features(whole, learnt, 0), abs=1e-12)
+        column = 1 + toxicity.GROWING.index(part) if part in toxicity.GROWING else 0
+        assert got[i]["own"] == pytest.approx(plain_features(whole, learnt, column), abs=1e-12)
+
+
+def test_calibrated_scores_follow_the_points(spark):
+    points = [(0.0, 0.1), (1.0, 0.1), (2.0, 0.6), (4.0, 1.0)]
+    raw = [-3.0, 0.0, 0.5, 1.5, 2.0, 3.3, 9.0]
+    got = [r[0] for r in spark.createDataFrame([(x,) for x in raw], "raw double").select(toxicity.calibrated(F.col("raw"), points)).collect()]
+    assert got == pytest.approx(np.interp(raw, *zip(*points)))
