@@ -355,19 +355,19 @@ def _(w: Work) -> DataFrame:
 
 @query(
     "k5_retention_matrix",
-    """SELECT * FROM (PIVOT (
-         SELECT g.cohort::VARCHAR AS cohort, 'm' || k AS m, coalesce(users, 0)::BIGINT AS users
-         FROM (SELECT cohort, unnest(range(0, 1 + date_diff('month', (SELECT min(cohort) FROM x_cohorts),
-                                                            (SELECT max(active_month) FROM x_activity)))) AS k
-               FROM (SELECT DISTINCT cohort FROM x_retention)) g
-         LEFT JOIN x_retention r ON r.cohort = g.cohort AND r.month_offset = k
-       ) ON m USING max(users) GROUP BY cohort)""",
+    """SELECT g.cohort::VARCHAR AS cohort, 'm' || k AS month_column, coalesce(users, 0)::BIGINT AS users
+       FROM (SELECT cohort, unnest(range(0, 1 + date_diff('month', (SELECT min(cohort) FROM x_cohorts),
+                                                          (SELECT max(active_month) FROM x_activity)))) AS k
+             FROM (SELECT DISTINCT cohort FROM x_retention)) g
+       LEFT JOIN x_retention r ON r.cohort = g.cohort AND r.month_offset = k""",
 )
 def _(w: Work) -> DataFrame:
+    """Every cell of the matrix as a row: cohort, name of the column, users."""
     groups = w.users_dim.select("user_id", D.month_start("registration_date").alias("cohort"))
     bought = cohorts.active_months(w.orders_fact.where("status = 'completed'"), "user_id", "created_at")
     offsets = cohorts.offset_span(groups, bought)
-    return cohorts.retention_matrix(reports.cohort_retention(groups, w.orders_fact), offsets)
+    matrix = cohorts.retention_matrix(reports.cohort_retention(groups, w.orders_fact), offsets)
+    return matrix.unpivot(["cohort"], [f"m{k}" for k in offsets], "month_column", "users")
 
 
 @query(
