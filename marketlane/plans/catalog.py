@@ -21,7 +21,7 @@ from marketlane.session import new_folder
 from marketlane.sinks import tables as sinks
 from marketlane.sources import landing, relational
 from marketlane.sources.shop_tables import Shop
-from marketlane.streaming import incremental
+from marketlane.streaming import audited, incremental, two_streams
 
 RUN_TIME = datetime(2024, 2, 1)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -1600,6 +1600,59 @@ def _(w: Work) -> DataFrame:
     )
 
 
+@query(
+    "str1_two_stream_items",
+    """SELECT order_item_id, order_id, order_created_at::VARCHAR AS order_created_at, user_id, product_id,
+              category_id::BIGINT AS category_id, quantity::BIGINT AS quantity, line_revenue::DOUBLE AS line_revenue FROM f_items""",
+)
+def _(w: Work) -> DataFrame:
+    """Item facts joined from a stream of items and a stream of orders; source lines ship years from their order."""
+    root, lines = w.folder_for("two"), w.streamed("lineitem")
+    delivered = lines.table("lineitem").select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("order_item_id"),
+        F.col("l_orderkey").cast("string").alias("order_id"),
+        F.col("l_partkey").cast("string").alias("product_id"),
+        F.col("l_quantity").cast("int").alias("quantity"),
+        F.col("l_extendedprice").cast("decimal(12,2)").alias("unit_price"),
+        F.col("l_shipdate").alias("landed_at"),
+    )
+    rows = two_streams.items_fact(
+        delivered, w.streamed("orders").orders, w.products, w.categories, "landed_at", "3000 days", "1 day"
+    )
+    two_streams.run_item_ingest(rows, root, f"{root}/checkpoint")
+    return w.spark.read.parquet(f"{root}/order_items_fact").select(
+        "order_item_id", "order_id", "order_created_at", "user_id", "product_id", "category_id", "quantity", "line_revenue"
+    )
+
+
+@query(
+    "str1_two_stream_orders",
+    """SELECT order_id, user_id, created_at::VARCHAR AS created_at, status, items_count, user_city FROM f_orders""",
+)
+def _(w: Work) -> DataFrame:
+    """Order facts whose item counts were summed batch by batch."""
+    parts = [two_streams.items_per_order(p) for p in in_parts(w.items_fact)]
+    merged = two_streams.orders_fact_merge(w.orders, w.users, w.keep("counts", quality.union_all(parts)))
+    return merged.select("order_id", "user_id", "created_at", "status", "items_count", "user_city")
+
+
+@query(
+    "pl8_stream_audit",
+    """SELECT created_at::DATE::VARCHAR AS source_date, 'events' AS source_table, count(*) AS rows_staging, count(*) AS rows_manifest,
+              'success' AS status FROM f_events GROUP BY 1""",
+)
+def _(w: Work) -> DataFrame:
+    """Every day of events landed with its manifest, streamed in and audited."""
+    raw, root = w.folder_for("landing"), w.folder_for("audited")
+    sinks.write_landing(w.raw_events, raw, "events", F.col("created_at"))
+    sinks.write_manifests(sinks.manifest_counts({"events": (w.raw_events, F.col("created_at"))}), raw)
+    audited.run_audited_events(w.spark, raw, root, f"{root}/checkpoint")
+    lines = w.spark.read.schema(audited.AUDIT).parquet(f"{root}/stream_audit")
+    return lines.groupBy("source_date", "source_table", "status").agg(
+        F.sum("rows_staging").alias("rows_staging"), F.max("rows_manifest").alias("rows_manifest")
+    )
+
+
 @query(
     "str4_events_without_repeats",
     "SELECT DISTINCT user_id, session_id, product_id, event_type, created_at::VARCHAR AS created_at FROM f_events",

@@ -115,8 +115,12 @@ def order_items_fact(
     day_orders = _slice(orders, "created_at", days).select(
         "order_id", "user_id", F.col("created_at").alias("order_created_at")
     )
-    kinds = products.select("product_id", "category_id")
-    rows = order_items.join(day_orders, "order_id").join(kinds, "product_id")
+    return named_items(order_items.join(day_orders, "order_id"), products, categories)
+
+
+def named_items(placed: DataFrame, products: DataFrame, categories: DataFrame) -> DataFrame:
+    """Item facts of items that know their order's user and time."""
+    rows = placed.join(products.select("product_id", "category_id"), "product_id")
     return _named_category(rows, categories).select(
         "order_item_id", "order_id", "order_created_at", "user_id", "product_id",
         "category_id", "category_name", F.col("quantity").cast("smallint").alias("quantity"),

@@ -196,6 +196,12 @@ def stream_typed_events(spark: SparkSession, root: str, files_per_batch: int = 1
     return reader.option("maxFilesPerTrigger", files_per_batch).csv(f"{root}/*/events.csv")
 
 
+def stream_entity_events(spark: SparkSession, root: str, files_per_batch: int = 1000) -> DataFrame:
+    """The entity layout as a file stream, with its ``_source_date``."""
+    schema = _typed_events_schema().add("_source_date", T.DateType())
+    return spark.readStream.schema(schema).options(**csv_options()).option("maxFilesPerTrigger", files_per_batch).csv(f"{root}/events")
+
+
 def read_manifest(spark: SparkSession, root: str, days: Sequence[str]) -> DataFrame:
     """Announced row counts as ``source_date, source_table, rows_manifest``."""
     if _by_entity(spark, root) and days_with(spark, root, "manifest.json", days):

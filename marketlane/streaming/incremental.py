@@ -10,6 +10,7 @@ is needed.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from marketlane.functions.dates import yyyymm
 from marketlane.plans import marts
@@ -18,9 +19,11 @@ from marketlane.sinks.tables import replace_slices
 from marketlane.sources import storage
 
 
-def _drain(writer, checkpoint: str) -> None:
+def _drain(writer, checkpoint: str) -> StreamingQuery:
     """Process what has arrived, then stop; a restart continues from the checkpoint."""
-    writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return query
 
 
 def funnel_totals(events: DataFrame) -> DataFrame:
@@ -48,7 +51,7 @@ MARTS_OF = {
 }
 
 
-def run_fact_ingest(rows: DataFrame, table: str, root: str, checkpoint: str) -> None:
+def run_fact_ingest(rows: DataFrame, table: str, root: str, checkpoint: str) -> StreamingQuery:
     """Append a stream of fact rows and the partial rows of its marts below ``root``.
 
     Partitions are named by the batch, so a retried batch overwrites its own.
@@ -64,7 +67,8 @@ def run_fact_ingest(rows: DataFrame, table: str, root: str, checkpoint: str) ->
             .sortWithinPartitions("month", *FACT_SORT_KEY[table])
         )
         fact = f"{root}/{table}"
-        replace_slices(laid_out, fact, ["batch", "month"])
+        if not replace_slices(laid_out, fact, ["batch", "month"]):
+            return  # a batch that only moves a watermark has no rows and no folder
         layout = f"{FACT_TABLES[table]}, batch bigint, month int"
         # Only the directory of the batch is listed, however many there are.
         written = spark.read.schema(layout).option("basePath", fact).parquet(f"{fact}/batch={batch_id}")
@@ -72,7 +76,7 @@ def run_fact_ingest(rows: DataFrame, table: str, root: str, checkpoint: str) ->
             partial = build(written).withColumn("batch", F.lit(batch_id))
             replace_slices(partial, f"{root}/{mart}", ["batch"])
 
-    _drain(rows.writeStream.foreachBatch(write), checkpoint)
+    return _drain(rows.writeStream.foreachBatch(write), checkpoint)
 
 
 # Partial rows of one key to one, still as the mart stores them.
