@@ -38,13 +38,16 @@ def fold(modulus: int, column: str = "doc_id") -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))), F.lit(modulus)).cast("int")
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
+def slices(
+    batches: Iterator[pa.RecordBatch], column: str = "text", rows: int | None = None, size: int | None = None
+) -> Iterator[pa.RecordBatch]:
     """Arrow batches cut to a bounded number of rows and text bytes (one long text may stand alone)."""
+    rows, size = rows or SLICE_ROWS, size or SLICE_BYTES
     for batch in batches:
         sizes = pa.compute.binary_length(batch.column(column)).fill_null(0).to_pylist()
         start, held = 0, 0
         for k, n in enumerate(sizes):
-            if k > start and (k - start >= SLICE_ROWS or held + n > SLICE_BYTES):
+            if k > start and (k - start >= rows or held + n > size):
                 yield batch.slice(start, k - start)
                 start, held = k, 0
             held += n

@@ -13,34 +13,42 @@ Documents find their place by their rank among the pieces of their length.
 
 from __future__ import annotations
 
-import re
 import zlib
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 from pyspark.sql import DataFrame, Window, functions as F
 from tokenizers import Tokenizer
 
-from marketlane.llm.common import Memo, slices, texts, written
+from marketlane.llm.common import Memo, slices, written
 
 CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 0
 #: Chunks whose ids a task keeps at hand; beyond it the memory starts anew.
-CHUNKS = 400_000
+CHUNKS = 800_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids array<int>"
 
 
+#: Rows and bytes of text whose chunks are looked up together: the more, the fewer different ones to each.
+ROWS, BYTES = 4096, 8 << 20
+
 #: A word of Latin letters that are one character in any normal form, and marks that are one pre-token.
-PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?|*#%&$]*)")
+PLAIN = r"^(?P<word>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<marks>[.,;:!?|*#%&$]*)$"
+
 
+def _listed(column: pa.Array) -> list:
+    return column.to_numpy(zero_copy_only=False).tolist()
 
-class ChunkIds(dict):
+
+class ChunkIds:
     """Places of token ids by white-space separated chunk; each chunk is encoded once.
 
     The tokenizer folds white space and its pre-tokens never hold any, so the
@@ -49,51 +57,62 @@ class ChunkIds(dict):
     inside a chunk and are handled by the tokenizer.  A plain word goes to the
     tokenizer's merges directly, as its normaliser and pre-tokenizer would only
     lower its letters and part it from its marks; all else takes the whole way.
+
+    Splitting, finding the different chunks of a batch and taking words apart are
+    Arrow kernels; Python sees each different chunk of a batch once.
     """
 
     def __init__(self, path: str, end_id: int):
-        super().__init__()
         self.tokenizer, self.end_id = Tokenizer.from_file(path), end_id
         spelt = self.tokenizer.pre_tokenizer.pre_tokenize_str
         self.letters = {c: spelt(chr(c))[0][0] for c in range(0xDF, 0x100) if chr(c).isalpha()}
         merges = self.tokenizer.model.tokenize
-        self.words = Memo(lambda w: [t.id for t in merges(w)], CHUNKS // 2)
+        self.words = Memo(lambda w: tuple([t.id for t in merges(w)]), CHUNKS // 2)
         self.reset()
 
     def reset(self):
-        self.clear()
-        self.flat, self.first, self.size = array("I", [self.end_id]), array("q", [0]), array("q", [1])
-        self[None] = 0
-
-    def ids_of(self, chunk: bytes) -> list[int]:
-        text = chunk.decode("utf-8", "replace")
-        plain = PLAIN.fullmatch(text)
-        if not plain:
-            return self.tokenizer.encode(text, add_special_tokens=False).ids
-        word, marks = plain.groups()
-        word = word.lower()
-        ids = self.words[word if word.isascii() else word.translate(self.letters)]
-        return ids + self.words[marks] if marks else ids
-
-    def __missing__(self, chunk: bytes) -> int:
-        ids = self.ids_of(chunk)
-        self.first.append(len(self.flat))
-        self.size.append(len(ids))
-        self.flat.extend(ids)
-        place = self[chunk] = len(self.first) - 1
-        return place
-
-    def encode(self, docs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        # place 0 is the end of a document, place 1 the nothing before leading white space
+        self.place: dict[str, int] = {"": 1}
+        self.flat, self.first, self.size = array("I", [self.end_id]), array("q", [0, 1]), array("q", [1, 0])
+
+    def learn(self, chunks: list[str]) -> list[int]:
+        """Encode chunks that have no place yet; their places."""
+        parts = pc.extract_regex(pa.array(chunks, pa.string()), PLAIN)
+        columns = parts.is_valid(), pc.utf8_lower(parts.field("word")), parts.field("marks")
+        begin, at = len(self.first), len(self.flat)
+        for chunk, known, word, marks in zip(chunks, *map(_listed, columns)):
+            if known:
+                ids = self.words[word if word.isascii() else word.translate(self.letters)]
+                if marks:
+                    ids += self.words[marks]
+            else:
+                ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
+            self.flat.extend(ids)
+            self.first.append(at)
+            self.size.append(len(ids))
+            at += len(ids)
+        places = list(range(begin, len(self.first)))
+        self.place.update(zip(chunks, places))
+        return places
+
+    def encode(self, docs: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all documents with the end id after each, and the number of ids of each document."""
-        if len(self) > CHUNKS:
+        if len(self.place) > CHUNKS:
             self.reset()
-        split = [d.split() for d in docs]
-        index = np.array([self[c] for words in split for c in (*words, None)], dtype=np.int64)
+        split = pc.ascii_split_whitespace(docs.cast(pa.string()).fill_null(""))
+        ends = np.cumsum(split.value_lengths().to_numpy(zero_copy_only=False))
+        coded = split.flatten().dictionary_encode()
+        different = _listed(coded.dictionary)
+        places = np.fromiter(map(self.place.get, different, repeat(-1)), np.int64, len(different))
+        new = np.flatnonzero(places < 0)
+        if len(new):
+            places[new] = self.learn([different[k] for k in new.tolist()])
+        index = np.insert(places[coded.indices.to_numpy()], ends, 0)
         size, first = np.array(self.size)[index], np.array(self.first)[index]
-        ends = np.cumsum(size)
-        ids = np.array(self.flat, dtype=np.uint32)[np.arange(ends[-1]) + np.repeat(first - ends + size, size)]
-        counts = np.add.reduceat(size, np.concatenate([[0], np.cumsum([len(w) + 1 for w in split])[:-1]]))
-        return ids, counts
+        upto = np.cumsum(size)
+        ids = np.array(self.flat, dtype=np.uint32)[np.arange(upto[-1]) + np.repeat(first - upto + size, size)]
+        last = upto[ends + np.arange(len(ends))]  # with the end id
+        return ids, np.diff(np.concatenate([[0], last]))
 
 
 @lru_cache(maxsize=1)
@@ -108,8 +127,8 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = N
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = chunk_ids(path)
-        for batch in slices(batches):
-            ids, counts = coder.encode(texts(batch))
+        for batch in slices(batches, rows=ROWS, size=BYTES):
+            ids, counts = coder.encode(batch.column("text"))
             held = batch.column("doc_id").to_pylist()
             rows: dict[str, list] = {n: [] for n in ("doc_id", "piece", "start", "length", "ids_crc32", "ids")}
             begin = 0
