@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -31,6 +32,18 @@ def build_session(app: str = "marketlane", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+def ship(spark: SparkSession) -> str:
+    """Send this package to the Python workers of the session, for clusters where it is not installed; returns the archive.
+
+    Not needed where the workers' ``PYTHONPATH`` holds it or it came by ``--py-files``.
+    """
+    package = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="marketlane-"), "marketlane")
+    archive = shutil.make_archive(target, "zip", os.path.dirname(package), os.path.basename(package))
+    spark.sparkContext.addPyFile(archive)
+    return archive
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
