@@ -111,17 +111,20 @@ def summaries(parts: DataFrame, key: Sequence[str], n: int, window_seconds: int,
     rows = merged.groupBy(*key, "period").agg(F.array_sort(F.collect_list(F.struct("cell", *names))).alias("_cells"))
 
     def happened(c: Column) -> Column:
-        places = F.sequence(F.lit(0), F.lit(CELL_SECONDS * n - 1))
-        mask = F.array(*[c[m] for m in names])
-        each = F.transform(
-            places,
-            lambda p: F.struct(
-                (c["cell"] * CELL_SECONDS + F.floor(p / n)).alias("sec"),
-                (p % n).alias("step"),
-                F.bit_get(F.get(mask, p % n), F.floor(p / n).cast("int")).alias("on"),
-            ),
-        )
-        return F.filter(each, lambda x: x["on"] == 1)
+        """Seconds and steps of a cell in order; most cells have a single second, which needs no search."""
+        some = c[names[0]]
+        for m in names[1:]:
+            some = some.bitwiseOR(c[m])
+        bits = F.bit_count(some)
+        searched = F.filter(F.sequence(F.lit(0), F.lit(CELL_SECONDS - 1)), lambda b: F.bit_get(some, b) == 1)
+        single = F.array(F.round(F.log2(some.cast("double"))).cast("int"))
+        seconds = F.when(bits == 1, single).when(bits == 0, F.array().cast("array<int>")).otherwise(searched)
+
+        def steps_at(b: Column) -> Column:
+            each = F.array(*[F.struct((c["cell"] * CELL_SECONDS + b).alias("sec"), F.lit(i).alias("step"), F.bit_get(c[m], b).alias("on")) for i, m in enumerate(names)])
+            return F.filter(each, lambda x: x["on"] == 1)
+
+        return F.flatten(F.transform(seconds, steps_at))
 
     found = F.aggregate(F.flatten(F.transform("_cells", happened)), _empty(n), _add(n, window_seconds))
     return rows.select(*key, "period", found.alias("_s")).select(*key, "period", "_s.*")
