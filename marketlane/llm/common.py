@@ -28,6 +28,11 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def every_column(df: DataFrame) -> list[Column]:
+    """The columns of ``df`` under their own names, whatever marks these hold."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
 def row_key() -> Column:
     """Identity of a document row: equal ids with equal texts are one document, whatever else differs."""
     return F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce("text", F.lit("")))

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from marketlane.llm.common import fold, slices, texts
+from marketlane.llm.common import every_column, fold, slices, texts
 from marketlane.llm.toxicity import labelled
 
 FOLDS = 3
@@ -125,4 +125,4 @@ def quality_scores(docs: DataFrame, labels: DataFrame, label: str = "quality", s
 
 def keep_good(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE) -> DataFrame:
     """``docs`` without the rows whose score is below a half; without labels nothing is rejected."""
-    return quality_rows(docs, labels, label, sample).where("coalesce(__score, 1.0) >= 0.5").select(*docs.columns)
+    return quality_rows(docs, labels, label, sample).where("coalesce(__score, 1.0) >= 0.5").select(*every_column(docs))
