@@ -5,8 +5,9 @@ into the middle of a line still shares its units with other copies.  A unit's
 digest is taken over its normalised words.  Digests are counted globally, the
 earliest occurrence in the order of document id and offset keeps its place, and
 every later one of at least ``min_words`` words is removed.  Shorter units
-repeat by chance; they are removed only where they are repeats themselves and
-adjoin a removed one, as inside a copied passage.
+repeat by chance; they are removed only where they adjoin a removed one, as
+inside a copied passage, or where adjoining repeats come to ``MIN_RUN`` words, as
+in a list or a poem.  Units without words, such as blank lines, part no run.
 
 Only units that occur twice or more are joined back to their documents.
 """
@@ -20,9 +21,11 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from marketlane.llm.common import row_key, slices, written
+from marketlane.llm.common import every_column, row_key, slices, written
 
 MIN_WORDS = 8
+#: A run of adjoining repeats of so many words in all goes too, however short its units are.
+MIN_RUN = 16
 #: A line, or a sentence of it: up to and with its end mark or newline and the white space after it.
 UNIT = re.compile(r"[^\n.!?]*(?:[.!?]+(?![\s])[^\n.!?]*)*(?:[.!?]+[^\S\n]*\n?|\n|$)")
 
@@ -44,10 +47,10 @@ def unit_rows(docs: DataFrame) -> DataFrame:
         for batch in slices(batches):
             out: list[list] = [[] for _ in range(7)]
             for key, doc_id, text in zip(*(batch.column(n).to_pylist() for n in ("key", "doc_id", "text"))):
-                for number, (start, stop, words, digest) in enumerate(units(text or "")):
-                    if words:
-                        for column, value in zip(out, (key, doc_id, number, start, stop, words, digest)):
-                            column.append(value)
+                worded = (u for u in units(text or "") if u[2])  # blank lines don't part what they stand between
+                for number, (start, stop, words, digest) in enumerate(worded):
+                    for column, value in zip(out, (key, doc_id, number, start, stop, words, digest)):
+                        column.append(value)
             kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
             names = ["key", "doc_id", "unit", "start", "stop", "words", "digest"]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=names)
@@ -57,13 +60,13 @@ def unit_rows(docs: DataFrame) -> DataFrame:
 
 
 def spans_to_remove(repeats: list[tuple[int, int, int, int]], min_words: int = MIN_WORDS) -> list[tuple[int, int]]:
-    """Merged spans of one document's repeated units ``unit, start, stop, words``."""
+    """Merged spans of one document's repeated units ``unit, start, stop, words``; units are numbered without the wordless."""
     repeats = sorted(set(repeats))
     gone: list[tuple[int, int]] = []
     run: list[tuple[int, int, int, int]] = []
     for u in [*repeats, None]:
-        if run and (u is None or u[1] != run[-1][2]):
-            if any(x[3] >= min_words for x in run):
+        if run and (u is None or u[0] != run[-1][0] + 1):
+            if any(x[3] >= min_words for x in run) or sum(x[3] for x in run) >= MIN_RUN:
                 gone.append((run[0][1], run[-1][2]))
             run = []
         if u:
@@ -111,7 +114,7 @@ def without_spans(docs: DataFrame, spans: DataFrame, keep_spans: bool = False) -
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
     done = joined.mapInArrow(cut, joined.schema)
-    return done if keep_spans else done.drop("__spans")
+    return done if keep_spans else done.select(*every_column(docs))
 
 
 def dedup_documents(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:

@@ -13,16 +13,20 @@ def plain(rows, min_words=substring.MIN_WORDS):
                 first.setdefault(digest, (i, t, start))
     left = {}
     for i, t in docs:
-        out, run = "", []
-        units = [(t[a:b], w, w > 0 and first[d] != (i, t, a)) for a, b, w, d in substring.units(t or "")]
-        for text, words, again in [*units, ("", 0, False)]:
-            if again:
-                run.append((text, words))
-                continue
-            if run and not any(w >= min_words for _, w in run):
-                out += "".join(x for x, _ in run)
-            run, out = [], out + text
-        left[i, t] = None if t is None else out
+        parts = [(a, b, w, first[d] != (i, t, a)) for a, b, w, d in substring.units(t or "") if w]
+        gone, k = [], 0
+        while k < len(parts):
+            end = k
+            while end < len(parts) and parts[end][3]:
+                end += 1
+            words = [w for _, _, w, _ in parts[k:end]]
+            if words and (max(words) >= min_words or sum(words) >= substring.MIN_RUN):
+                gone.append((parts[k][0], parts[end - 1][1]))
+            k = end + 1
+        out = t
+        for a, b in reversed(gone):
+            out = out[:a] + out[b:]
+        left[i, t] = out
     return left
 
 
@@ -55,6 +59,15 @@ def test_a_passage_inside_a_line_goes_from_the_later_document(spark):
     assert "number 2 of" not in got[2] and got[2].startswith("Some words before") and got[2].endswith("Own end.")
 
 
+def test_runs_of_short_lines_and_blank_lines_between(spark):
+    verse = "\n".join(f"Short line {k} is sung here" for k in range(12))
+    broken = "A paragraph of ten words that two of the texts have.\n\nShort one.\n\nShort two.\n"
+    rows = [(1, f"Own first.\n{verse}\n"), (2, f"Own second.\n{verse}\n"), (3, f"Own third.\n{broken}"), (4, f"Own fourth.\n{broken}"), (5, "Own.\nShort one.\n")]
+    got = {r["doc_id"]: r["text"] for r in substring.dedup_documents(documents(spark, rows)).collect()}
+    assert got[1] == rows[0][1] and got[2] == "Own second.\n"
+    assert got[3] == rows[2][1] and got[4] == "Own fourth.\n" and got[5] == rows[4][1]
+
+
 def test_odd_rows(spark):
     docs = documents(spark, ODD)
     got = substring.dedup_documents(docs)
