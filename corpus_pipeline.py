@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlane.llm import decontamination, packing, quality, simhash, substring
+from marketlane.llm import decontamination, packing, quality, simhash_wide, substring
 from marketlane.llm.common import table, written
 
 
@@ -14,8 +14,8 @@ def good_quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """One document of each near-duplicate group stays; fingerprints over five-word shingles."""
-    return simhash.keep_first(docs, size=5)
+    """One document of each group of near copies stays: five-word shingles, similarity 0.8 and more."""
+    return simhash_wide.keep_first(docs)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
