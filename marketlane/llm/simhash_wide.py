@@ -196,25 +196,25 @@ def candidates(distinct: DataFrame, radius: int = RADIUS, bits: int = SEGMENT, s
     return ends.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
 
 
-def checked(pairs: DataFrame, sets: DataFrame, similarity: float, size: int = SIZE) -> DataFrame:
-    """``a, b, same``: whether the different shingles of two nodes' texts (``node, text``) are that similar."""
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, held = None, None
-        for batch in slices(batches, "text2"):
-            same = []
-            for a, one, two in zip(batch.column("a").to_pylist(), texts(batch, "text"), texts(batch, "text2")):
-                if a != last:  # rows of one node mostly come together
-                    last, held = a, np.unique(shingle_hashes(one.lower().split(), size))
-                other = np.unique(shingle_hashes(two.lower().split(), size))
-                common = len(np.intersect1d(held, other, assume_unique=True))
-                same.append(common >= similarity * (len(held) + len(other) - common))
-            columns = [batch.column("a"), batch.column("b"), pa.array(same, pa.bool_())]
-            yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "same"])
-
-    second = sets.select(F.col("node").alias("b"), F.col("text").alias("text2"))
-    first = sets.select(F.col("node").alias("a"), "text")
-    return pairs.join(second, "b").join(first, "a").select("a", "b", "text", "text2").mapInArrow(compare, "a long, b long, same boolean")
+def shingle_sets(rows: DataFrame, size: int = SIZE) -> DataFrame:
+    """``node, grams``: the different shingles of each text (``node, text``) as sorted hashes."""
+
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            grams = [np.unique(shingle_hashes(t.lower().split(), size)).view(np.int64) for t in texts(batch)]
+            columns = [batch.column("node"), pa.array(grams, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["node", "grams"])
+
+    return rows.mapInArrow(compute, "node long, grams array<long>")
+
+
+def checked(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """``a, b, same``: whether the shingle sets (``node, grams``) of two nodes are that similar."""
+    second = sets.select(F.col("node").alias("b"), F.col("grams").alias("grams2"))
+    first = sets.select(F.col("node").alias("a"), "grams")
+    common = F.size(F.array_intersect("grams", "grams2"))
+    met = pairs.join(second, "b").join(first, "a").select("a", "b", common.alias("common"), (F.size("grams") + F.size("grams2")).alias("sizes"))
+    return met.select("a", "b", (F.col("common") >= F.lit(similarity) * (F.col("sizes") - F.col("common"))).alias("same"))
 
 
 def wide_links(
@@ -226,10 +226,11 @@ def wide_links(
         nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
         named = distinct.join(nodes, "node", "left_semi").select("node", F.col("least.key").alias("key"))
         rows = docs.select(row_key().alias("key"), "text").join(named, "key")
-        return written(rows.groupBy("node").agg(F.any_value("text").alias("text")), "wide-texts")
+        one = rows.groupBy("node").agg(F.any_value("text").alias("text"))
+        return written(shingle_sets(one, size), "wide-sets")
 
     tree = written(candidates(distinct, radius, bits, step), "wide-candidates")
-    judged = written(checked(tree, sets_of(tree), similarity, size), "wide-judged")
+    judged = written(checked(tree, sets_of(tree), similarity), "wide-judged")
     links = judged.where("same").select("a", "b")
     group = components(links).withColumnRenamed("root", "label")
     trees = components(tree)
@@ -238,7 +239,7 @@ def wide_links(
     again = distinct.join(members.join(refused, "root", "left_semi"), "node")
     rest = candidates(again, radius, bits, step, across=True).join(tree, ["a", "b"], "left_anti")
     rest = written(rest, "wide-candidates-again")
-    more = checked(rest, sets_of(rest), similarity, size).where("same").select("a", "b")
+    more = checked(rest, sets_of(rest), similarity).where("same").select("a", "b")
     return written(links.union(more), "wide-links")
 
 
