@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from marketlane.llm.url_trust import DAMPING, RATIO, ROUNDS, RULES
+from marketlane.llm.url_trust import ADDRESS, DAMPING, RATIO, RULES
 
 #: Neighbours by brute force, in the same double precision.
 NEAREST = """
@@ -82,6 +82,10 @@ FROM sharded
 """
 
 
+#: Rounds after which no score of the walk moves by a ten-thousandth of itself (0.85 ** 60), and farthest host in steps.
+ROUNDS = 60
+
+
 def _url_verdicts() -> str:
     rules = ", ".join(f"('{r.text}', '{r.host}', '{r.path}', '{r.verdict}')" for r in RULES)
     steps = []
@@ -117,7 +121,7 @@ u AS (
   SELECT src, translate(d, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS dst, 1.0::DOUBLE AS links FROM raw
 ), kept AS (SELECT * FROM links WHERE src <> '' AND dst <> '' AND src <> dst),
 hosts AS (SELECT DISTINCT host FROM (SELECT host FROM h UNION ALL SELECT src FROM kept UNION ALL SELECT dst FROM kept) WHERE host <> ''),
-labels_of AS (SELECT string_split(host, '.') AS l FROM hosts),
+labels_of AS (SELECT string_split(host, '.') AS l FROM hosts WHERE NOT regexp_matches(host, '{ADDRESS}')),
 ups AS (
   SELECT DISTINCT array_to_string(l[k:], '.') AS a, array_to_string(l[k + 1:], '.') AS b
   FROM (SELECT l, unnest(range(1, len(l) - 1)) AS k FROM labels_of WHERE len(l) > 2)
@@ -127,7 +131,7 @@ ups AS (
 ), pairs AS (SELECT src, dst, sum(links) AS links FROM steps GROUP BY ALL),
 both_ways AS (SELECT 'trust' AS kind, src, dst, links FROM pairs UNION ALL SELECT 'distrust', dst, src, links FROM pairs),
 e AS MATERIALIZED (SELECT kind, src, dst, links / sum(links) OVER (PARTITION BY kind, src) AS share FROM both_ways),
-s0 AS (SELECT kind, node, mass AS score FROM seeds),
+s0 AS (SELECT kind, node, mass * (1 - {DAMPING}) AS score FROM seeds),
 {", ".join(steps)},
 bad AS (
   SELECT node AS host FROM s{ROUNDS} GROUP BY node

@@ -3,9 +3,10 @@
 Trust starts at hosts whose pages a rule allows and flows along links; distrust
 starts at hosts whose pages a rule blocks and flows against them (who links to a
 bad host is suspect).  Both are personalised PageRanks over host edges, computed
-by joins and sums in Spark, and a host is blocked when its distrust outweighs its
-trust.  Host edges are the hyperlinks between hosts and, both ways, the step from
-a host to its parent domain; only edge counts per pair of hosts are kept.
+by joins and sums in Spark until no host's score moves any more, and a host is
+blocked when its distrust outweighs its trust.  Host edges are the hyperlinks
+between hosts and, both ways, the step from a host to its parent domain; only
+edge counts per pair of hosts are kept.
 """
 
 from __future__ import annotations
@@ -17,7 +18,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from marketlane.llm.common import written
 
 DAMPING = 0.85
-ROUNDS = 10
+#: The walk ends when no score has grown by more than this share of itself over ``LOOK`` rounds.
+TOLERANCE = 1e-3
+LOOK = 5
 #: A host is blocked if distrust exceeds so many times its trust.
 RATIO = 1.0
 
@@ -44,6 +47,8 @@ RULES = (
     Rule("net/fr/", "block"),
 )
 
+#: Numbers between dots, with or without a port, and whatever stands in brackets.
+ADDRESS = r"^([0-9.]+(:[0-9]*)?$|\[)"
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -88,8 +93,9 @@ def link_edges(pages: DataFrame) -> DataFrame:
 
 
 def domain_edges(hosts: DataFrame, column: str = "host") -> DataFrame:
-    """Each host and its parent domains of at least two labels, one step apart, in both directions."""
+    """Each host and its parent domains of at least two labels, one step apart, in both directions; addresses have no parents."""
     labels = F.split(column, r"\.")
+    named = ~F.col(column).rlike(ADDRESS)
     steps = F.transform(
         F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(labels) - 2)),
         lambda k: F.struct(
@@ -97,32 +103,44 @@ def domain_edges(hosts: DataFrame, column: str = "host") -> DataFrame:
             F.array_join(F.slice(labels, k + 1, F.size(labels)), ".").alias("b"),
         ),
     )
-    up = hosts.where(F.size(labels) > 2).select(F.explode(steps).alias("s")).select("s.a", "s.b").where("a <> '' AND b <> '' AND a <> b").distinct()
+    up = hosts.where(named & (F.size(labels) > 2)).select(F.explode(steps).alias("s")).select("s.a", "s.b").where("a <> '' AND b <> '' AND a <> b").distinct()
     one = F.lit(1.0).alias("links")
     return up.select(F.col("a").alias("src"), F.col("b").alias("dst"), one).union(up.select("b", "a", one))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
-    """``node, kind, score`` after ``rounds`` steps of personalised PageRank.
+def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int | None = None, tolerance: float = TOLERANCE) -> DataFrame:
+    """``node, kind, score`` of personalised PageRank: after ``rounds`` steps, or without a number when scores stand still.
 
     ``edges`` (``kind, src, dst, share``) carry each node's score to its
     neighbours in shares that sum to one; ``seeds`` (``kind, node, mass``) are
     where the walk restarts, with mass one per kind.  Both kinds run together.
-    Every few rounds the scores become a table, so that the plan stays short.
+    Scores begin with the restarts alone, so they only grow, a node at any
+    distance is reached in so many rounds, and one that has just been reached
+    keeps the walk going.  Each round's scores are a table: the plan stays short,
+    and as both sides of the join have an exchange of their own, adaptive
+    execution can split the edges of a hub.
     """
-    score = seeds.select("kind", "node", F.col("mass").alias("score"))
-    for number in range(1, rounds + 1):
+    restart = seeds.select("kind", "node", (F.col("mass") * (1 - damping)).alias("part"))
+    score = written(restart.withColumnRenamed("part", "score"), "url-trust-scores")
+    earlier, number = score, 0
+    while rounds is None or number < rounds:
+        number += 1
         moved = score.withColumnRenamed("node", "src").join(edges, ["kind", "src"]).select(
             "kind", F.col("dst").alias("node"), (F.col("score") * F.col("share") * damping).alias("part")
         )
-        restart = seeds.select("kind", "node", (F.col("mass") * (1 - damping)).alias("part"))
-        score = moved.unionByName(restart).groupBy("kind", "node").agg(F.sum("part").alias("score"))
-        if number % 5 == 0 or number == rounds:
-            score = written(score, "url-trust-scores")
+        score = written(moved.unionByName(restart).groupBy("kind", "node").agg(F.sum("part").alias("score")), "url-trust-scores")
+        if rounds is None and number % LOOK == 0:
+            before = earlier.withColumnRenamed("score", "before")
+            grown = score.join(before, ["kind", "node"], "left").where(
+                F.col("score") - F.coalesce("before", F.lit(0.0)) > F.col("score") * tolerance
+            )
+            if grown.isEmpty():
+                break
+            earlier = score
     return score
 
 
-def host_trust(pages: DataFrame, rules=RULES, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
+def host_trust(pages: DataFrame, rules=RULES, damping: float = DAMPING) -> DataFrame:
     """``host, trust, distrust`` of every host that either walk reaches."""
     judgements = judged(pages, rules)
     verdicts = {r.text: r.verdict for r in rules}
@@ -141,12 +159,12 @@ def host_trust(pages: DataFrame, rules=RULES, damping: float = DAMPING, rounds:
     both = pairs.select(F.lit("trust").alias("kind"), "src", "dst", "links").union(pairs.select(F.lit("distrust"), "dst", "src", "links"))
     leaving = both.groupBy("kind", "src").agg(F.sum("links").alias("out"))
     edges = written(both.join(leaving, ["kind", "src"]).select("kind", "src", "dst", (F.col("links") / F.col("out")).alias("share")), "url-edges")
-    scores = propagate(edges, seeds, damping, rounds)
+    scores = propagate(edges, seeds, damping)
     of = lambda k: F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("score"))), F.lit(0.0))
     return scores.groupBy(F.col("node").alias("host")).agg(of("trust").alias("trust"), of("distrust").alias("distrust"))
 
 
-def url_verdicts(pages: DataFrame, rules=RULES, damping: float = DAMPING, rounds: int = ROUNDS, ratio: float = RATIO) -> DataFrame:
+def url_verdicts(pages: DataFrame, rules=RULES, damping: float = DAMPING, ratio: float = RATIO) -> DataFrame:
     """``page_id, host, path, rule, verdict`` of every row of ``pages`` (``page_id, url, html``).
 
     The longest rule that fits decides; without one, a host is blocked if its
@@ -155,7 +173,7 @@ def url_verdicts(pages: DataFrame, rules=RULES, damping: float = DAMPING, rounds
     host and path and are allowed.  Missing html has no links.  Repeated rows
     give repeated results; further columns are ignored; an empty table gives no rows.
     """
-    bad = host_trust(pages, rules, damping, rounds).where(F.col("distrust") > F.col("trust") * ratio).select("host", F.lit(True).alias("bad"))
+    bad = host_trust(pages, rules, damping).where(F.col("distrust") > F.col("trust") * ratio).select("host", F.lit(True).alias("bad"))
     verdicts = [F.when(F.col("rule") == r.text, F.lit(r.verdict)) for r in rules]
     by_method = F.when(F.col("bad"), F.lit("block")).otherwise(F.lit("allow"))
     return judged(pages, rules).join(bad, "host", "left").select(

@@ -1,6 +1,8 @@
+import duckdb
 import pytest
 
 from marketlane.llm import url_trust
+from marketlane.llm.sql import CHECKS
 
 
 def frame(spark, rows):
@@ -54,7 +56,7 @@ def test_trust_and_distrust_flow_along_links(spark):
 def test_propagation_equals_plain_iteration(spark, rounds):
     edges = [("trust", "a", "b", 0.25), ("trust", "a", "c", 0.75), ("trust", "b", "c", 1.0), ("trust", "c", "a", 1.0)]
     seeds = {"a": 0.5, "c": 0.5}
-    score = dict(seeds)
+    score = {k: 0.15 * m for k, m in seeds.items()}
     for _ in range(rounds):
         new = {k: 0.15 * m for k, m in seeds.items()}
         for _, s, d, w in edges:
@@ -66,3 +68,24 @@ def test_propagation_equals_plain_iteration(spark, rounds):
         rounds=rounds,
     )
     assert {r["node"]: pytest.approx(r["score"]) for r in got.collect()} == score
+
+
+def test_walk_goes_on_to_the_last_host_and_leaves_addresses_whole(spark):
+    chain = [(k, f"http://h{k}.org/", f'<a href="http://h{k - 1}.org/">' if k > 1 else '<a href="http://bad.net/">') for k in range(1, 31)]
+    numbers = [(101, "http://10.0.0.1/x", '<a href="http://bad.net/">'), (102, "http://9.0.0.1:80/", None), (103, "http://[::0.0.0.1]/", None)]
+    pages = frame(spark, [(0, "http://bad.net/es/", None), *chain, *numbers])
+    got = {r["page_id"]: r["verdict"] for r in url_trust.url_verdicts(pages).collect()}
+    assert all(got[k] == "block" for k in (0, *range(1, 31), 101)) and got[102] == got[103] == "allow"
+    con = duckdb.connect()
+    con.register("pages", pages.toPandas())
+    want = con.sql(CHECKS["op5_url_filters"]).df()
+    assert dict(zip(want["page_id"], want["verdict"])) == got
+
+
+def test_scores_stand_still_where_a_cycle_holds_them(spark):
+    edges = [("trust", "a", "b", 1.0), ("trust", "b", "a", 1.0), ("trust", "x", "y", 1.0)]
+    got = url_trust.propagate(
+        spark.createDataFrame(edges, "kind string, src string, dst string, share double"),
+        spark.createDataFrame([("trust", "a", 1.0)], "kind string, node string, mass double"),
+    )
+    assert {r["node"]: r["score"] for r in got.collect()} == pytest.approx({"a": 1 / 1.85, "b": 0.85 / 1.85}, rel=2e-3)
