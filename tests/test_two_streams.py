@@ -99,3 +99,11 @@ def test_unlimited_state_is_refused_by_the_plan(spark, tmp_path, lookups):
     rows = two_streams.items_fact(stream(spark, f"{tmp_path}/items", ITEMS), stream(spark, f"{tmp_path}/orders", ORDERS), *lookups[:2], "landed_at", "3 days", "1 day")
     plan = rows._jdf.queryExecution().analyzed().toString()
     assert plan.count("EventTimeWatermark") == 2
+
+
+def test_state_lies_on_disk(spark, tmp_path, lookups):
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    query = ingest(spark, tmp_path, [make_orders(spark, [("o1", "u1", 1)])], [make_items(spark, [("i1", "o1", "p1", 1, 2)])], lookups)
+    assert "rocksdbPutCount" in query.recentProgress[0].stateOperators[0].customMetrics
+    assert spark.conf.get(name) == before
