@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from marketlane.llm.common import every_column, fold, slices, texts
+from marketlane.llm.common import every_column, fold, plainly_named, slices, texts
 from marketlane.llm.toxicity import labelled
 
 FOLDS = 3
@@ -104,7 +104,9 @@ def quality_rows(docs: DataFrame, labels: DataFrame, label: str = "quality", sam
                 scores = vote(unit((term_vectors(texts(batch)) - mean) @ basis) @ neighbours.T, own)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, "__score"])
 
-    return docs.mapInArrow(score, docs.withColumn("__score", F.lit(None).cast("double")).schema)
+    plain = plainly_named(docs, "text")
+    scored = plain.mapInArrow(score, plain.withColumn("__score", F.lit(None).cast("double")).schema)
+    return scored.toDF(*docs.columns, "__score")
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE) -> DataFrame:

@@ -21,7 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from marketlane.llm.common import every_column, row_key, slices, written
+from marketlane.llm.common import every_column, plainly_named, row_key, slices, written
 
 MIN_WORDS = 8
 #: A run of adjoining repeats of so many words in all goes too, however short its units are.
@@ -113,7 +113,8 @@ def without_spans(docs: DataFrame, spans: DataFrame, keep_spans: bool = False) -
             columns = [pa.array(out, batch.schema.field("text").type) if n == "text" else batch.column(n) for n in batch.schema.names]
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
-    done = joined.mapInArrow(cut, joined.schema)
+    plain = plainly_named(joined, "text", "__spans")
+    done = plain.mapInArrow(cut, plain.schema).toDF(*joined.columns)
     return done if keep_spans else done.select(*every_column(docs))
 
 
