@@ -16,8 +16,10 @@ Candidates are links if the sets themselves have the similarity.  A run first
 gives only a spanning forest of its candidates, never all pairs.  Where the sets
 bear out every branch of a tree, its members are one group and no pair between
 them matters any more.  Where they refuse one, the members of the tree meet once
-more, and then all candidates between different groups are held against their
-sets.  So the groups are those of all candidates.
+more with their sets, dealt into blocks of bounded size, two blocks to a task's
+group.  Candidates between different groups are held against their sets there, and
+only those that join two groups leave the task: fewer than the rows that came in.
+So the groups are those of all candidates.
 """
 
 from __future__ import annotations
@@ -119,16 +121,6 @@ def _small_runs(low: np.ndarray, high: np.ndarray, begins: np.ndarray, length: i
     return np.concatenate(a), np.concatenate(b)
 
 
-def _across(low: np.ndarray, high: np.ndarray, label: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """All links of one run between rows of different labels, a row at a time."""
-    for head in range(len(low) - 1):
-        later = slice(head + 1, None)
-        apart = np.bitwise_count(low[later] ^ low[head]) + np.bitwise_count(high[later] ^ high[head])
-        near = np.flatnonzero((apart <= radius) & (label[later] != label[head])) + head + 1
-        if len(near):
-            yield np.full(len(near), head), near
-
-
 #: Runs up to this length are compared together, by place in the run.
 SMALL = 4
 
@@ -137,10 +129,10 @@ def node() -> Column:
     return F.xxhash64("low", "high")
 
 
-def candidates(distinct: DataFrame, radius: int = RADIUS, bits: int = SEGMENT, step: int = STEP, across: bool = False) -> DataFrame:
-    """``a, b``: nodes of fingerprints (``node, low, high, label``) that meet in a segment and are ``radius`` apart or less.
+def candidates(distinct: DataFrame, radius: int = RADIUS, bits: int = SEGMENT, step: int = STEP) -> DataFrame:
+    """``a, b``: nodes of fingerprints (``node, low, high``) that meet in a segment and are ``radius`` apart or less.
 
-    Of each run a spanning forest, or with ``across`` all pairs whose labels differ.
+    Of each run a spanning forest.
     """
 
     def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,30 +159,22 @@ def candidates(distinct: DataFrame, radius: int = RADIUS, bits: int = SEGMENT, s
         if held:
             yield from linked(*(np.concatenate(x) for x in zip(*held)))
 
-    def linked(run: np.ndarray, low: np.ndarray, high: np.ndarray, *label: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def linked(run: np.ndarray, low: np.ndarray, high: np.ndarray) -> Iterator[pa.RecordBatch]:
         low, high = low.view(np.uint64), high.view(np.uint64)
         begins = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
         lengths = np.diff(np.concatenate([begins, [len(run)]]))
         for length in range(2, SMALL + 1):
-            a, b = _small_runs(low, high, begins[lengths == length], length, radius)
-            if across:
-                apart = label[0][a] != label[0][b]
-                a, b = a[apart], b[apart]
-            yield pairs(low, high, a, b)
+            yield pairs(low, high, *_small_runs(low, high, begins[lengths == length], length, radius))
         for k in np.flatnonzero(lengths > SMALL):
             own = slice(begins[k], begins[k] + lengths[k])
-            found = _across(low[own], high[own], label[0][own], radius) if across else [forest(low[own], high[own], radius)]
-            for a, b in found:
-                yield pairs(low[own], high[own], a, b)
+            yield pairs(low[own], high[own], *forest(low[own], high[own], radius))
 
     def pairs(low: np.ndarray, high: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
         columns = [pa.array(x.view(np.int64)) for x in (low[a], high[a], low[b], high[b])]
         return pa.RecordBatch.from_arrays(columns, names=["low", "high", "low2", "high2"])
 
     count = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    fields = "low long, high long" + (", label long" if across else "")
-    own = distinct.select("low", "high", *(["label"] if across else []))
-    table = own.mapInArrow(enter, f"run long, {fields}")
+    table = distinct.select("low", "high").mapInArrow(enter, "run long, low long, high long")
     found = table.repartition(count, "run").sortWithinPartitions("run").mapInArrow(find, "low long, high long, low2 long, high2 long")
     ends = found.select(node().alias("a"), F.xxhash64("low2", "high2").alias("b"))
     return ends.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
@@ -217,30 +201,91 @@ def checked(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return met.select("a", "b", (F.col("common") >= F.lit(similarity) * (F.col("sizes") - F.col("common"))).alias("same"))
 
 
+def meets(low: np.ndarray, high: np.ndarray, low2: np.uint64, high2: np.uint64, bits: int, step: int) -> np.ndarray:
+    """Which fingerprints share an entry of some segment with the one given."""
+    met = np.zeros(len(low), dtype=bool)
+    for offset in range(0, 128, step):
+        own, other = segment_of(low, high, offset, bits), segment_of(low2, high2, offset, bits)
+        met |= (np.bitwise_count(own & ~other) <= 1) & (np.bitwise_count(other & ~own) <= 1)
+    return met
+
+
+#: Bytes of shingle sets in a block, about; a group of two blocks meets in one task.
+BLOCK = 8 << 20
+
+
+def joining(
+    members: DataFrame, similarity: float, radius: int = RADIUS, bits: int = SEGMENT, step: int = STEP, block: int = BLOCK
+) -> DataFrame:
+    """``a, b``: links that join the labels of a tree as all of its similar candidates do.
+
+    ``members`` are ``node, low, high, root, label, grams``, one row per node, ``root`` naming the tree.
+    A tree is dealt into blocks by hash and each two blocks meet, so rows grow
+    with the size of a tree only beyond a block.
+    """
+    weight = F.sum(8 * F.size("grams") + 64)
+    sizes = members.groupBy("root").agg(F.ceil(weight / block).cast("int").alias("blocks"))
+    dealt = members.join(sizes, "root").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    spread = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    met = spread.withColumns({"first": F.least("own", "other"), "second": F.greatest("own", "other")})
+
+    def link(group: pa.Table) -> pa.Table:
+        column = lambda name: group.column(name).combine_chunks().to_numpy(zero_copy_only=False)
+        node, own, (low, high) = column("node"), column("own"), (column(n).view(np.uint64) for n in ("low", "high"))
+        label = np.unique(column("label"), return_inverse=True)[1]
+        grams = group.column("grams").combine_chunks()
+        grams = grams.combine_chunks() if isinstance(grams, pa.ChunkedArray) else grams
+        sizes = np.diff(grams.offsets.to_numpy())
+        words, codes = np.unique(grams.flatten().to_numpy(zero_copy_only=False), return_inverse=True)
+        starts = np.concatenate([[0], np.cumsum(sizes)])
+        between = group.column("first")[0] != group.column("second")[0]
+        held = np.zeros(len(words), dtype=bool)
+        a, b = [], []
+        for head in range(len(node) - 1):
+            apart = np.bitwise_count(low[head + 1 :] ^ low[head]) + np.bitwise_count(high[head + 1 :] ^ high[head])
+            near = np.flatnonzero((apart <= radius) & (label[head + 1 :] != label[head])) + head + 1
+            if between:
+                near = near[own[near] != own[head]]
+            near = near[meets(low[near], high[near], low[head], high[head], bits, step)]
+            if not len(near):
+                continue
+            held[codes[starts[head] : starts[head + 1]]] = True
+            for k in near:
+                if label[k] == label[head]:
+                    continue  # joined by a link just found
+                common = np.count_nonzero(held[codes[starts[k] : starts[k + 1]]])
+                if common >= similarity * (sizes[head] + sizes[k] - common):
+                    a.append(node[head])
+                    b.append(node[k])
+                    label[label == label[k]] = label[head]
+            held[codes[starts[head] : starts[head + 1]]] = False
+        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return met.groupBy("root", "first", "second").applyInArrow(link, "a long, b long")
+
+
 def wide_links(
     distinct: DataFrame, docs: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS, size: int = SIZE, bits: int = SEGMENT, step: int = STEP
 ) -> DataFrame:
     """``a, b``: links between nodes (``node, low, high, least``) that keep each group of similar candidates connected."""
 
-    def sets_of(pairs: DataFrame) -> DataFrame:
-        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    def sets_of(nodes: DataFrame) -> DataFrame:
         named = distinct.join(nodes, "node", "left_semi").select("node", F.col("least.key").alias("key"))
         rows = docs.select(row_key().alias("key"), "text").join(named, "key")
         one = rows.groupBy("node").agg(F.any_value("text").alias("text"))
         return written(shingle_sets(one, size), "wide-sets")
 
     tree = written(candidates(distinct, radius, bits, step), "wide-candidates")
-    judged = written(checked(tree, sets_of(tree), similarity), "wide-judged")
+    nodes = tree.select(F.col("a").alias("node")).union(tree.select(F.col("b").alias("node"))).distinct()
+    sets = sets_of(nodes)
+    judged = written(checked(tree, sets, similarity), "wide-judged")
     links = judged.where("same").select("a", "b")
     group = components(links).withColumnRenamed("root", "label")
     trees = components(tree)
     members = trees.join(group, "node", "left").select("node", "root", F.coalesce("label", "node").alias("label"))
     refused = judged.where("NOT same").select(F.col("a").alias("node")).join(trees, "node").select("root").distinct()
-    again = distinct.join(members.join(refused, "root", "left_semi"), "node")
-    rest = candidates(again, radius, bits, step, across=True).join(tree, ["a", "b"], "left_anti")
-    rest = written(rest, "wide-candidates-again")
-    more = checked(rest, sets_of(rest), similarity).where("same").select("a", "b")
-    return written(links.union(more), "wide-links")
+    again = members.join(refused, "root", "left_semi").join(distinct.select("node", "low", "high"), "node").join(sets, "node")
+    return written(links.union(joining(again, similarity, radius, bits, step)), "wide-links")
 
 
 def grouped(

@@ -98,6 +98,24 @@ def test_groups_equal_all_candidates(spark):
     assert kept_ids(wide.keep_first(documents(spark, rows))) == sorted(i for i, _ in plain_first(rows))
 
 
+def test_blocks_join_what_all_pairs_join(spark):
+    """One tree of many refused pairs, in one block and in many: never more links than members of a block pair."""
+    rows = copies(2, groups=1, each=60)
+    prints = [plain_print(t) for _, t in rows]
+    signed = lambda v: v - (1 << 64) if v >> 63 else v
+    made = [(k, signed(p & ONES), signed(p >> 64), 0, k, sorted(signed(xxhash.xxh64_intdigest(g.encode(), 42)) for g in shingles(t))) for k, (p, (_, t)) in enumerate(zip(prints, rows))]
+    members = spark.createDataFrame(made, "node long, low long, high long, root long, label long, grams array<long>")
+    want = linked_pairs(rows)
+    for block in (wide.BLOCK, 40_000):
+        links = [(r["a"], r["b"]) for r in wide.joining(members, wide.SIMILARITY, block=block).collect()]
+        root = list(range(len(rows)))
+        for a, b in links:
+            root = [root[a] if r == root[b] else r for r in root]
+        assert len({*zip(root, want)}) == len(set(root)) == len(set(want)) < len(rows)
+        if block == wide.BLOCK:
+            assert len(links) == len(rows) - len(set(want))
+
+
 def test_whole_table_equals_brute_force(spark, small):
     docs = table(spark, small, "documents")
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
