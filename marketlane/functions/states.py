@@ -15,14 +15,23 @@ from marketlane.functions.columns import as_column
 # ---- exact sets of numbered keys: 32,768 numbers a bucket, one bitmap of 4 KB ----
 
 
+def _apart(rows: DataFrame, *by: str) -> DataFrame:
+    """Rows of one bitmap together, in as many partitions as the session shuffles into.
+
+    A sparse bitmap is sent at a fraction of its 4 KB, so partitions merged by the bytes sent, and bitmaps
+    summed before they are sent, would fill a task's memory.
+    """
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by, "bucket")
+
+
 def bitmap_states(rows: DataFrame, number: str, *by: str) -> DataFrame:
     """``by, bucket, members``: the numbers of each group as bitmaps."""
     placed = rows.select(*by, F.bitmap_bucket_number(number).alias("bucket"), F.bitmap_bit_position(number).alias("_bit"))
-    return placed.groupBy(*by, "bucket").agg(F.bitmap_construct_agg("_bit").alias("members"))
+    return _apart(placed, *by).groupBy(*by, "bucket").agg(F.bitmap_construct_agg("_bit").alias("members"))
 
 
 def bitmap_merge(states: DataFrame, *by: str) -> DataFrame:
-    return states.groupBy(*by, "bucket").agg(F.bitmap_or_agg("members").alias("members"))
+    return _apart(states, *by).groupBy(*by, "bucket").agg(F.bitmap_or_agg("members").alias("members"))
 
 
 def bitmap_distinct(states: DataFrame, *by: str, out: str = "n") -> DataFrame:

@@ -190,3 +190,12 @@ def test_top_products_from_stored_daily_summaries(spark):
         sums[k] += c
     expected = sorted(sums.items(), key=lambda x: (-x[1], x[0]))[:10]
     assert [(r["product_id"], int(r["revenue"] * 100)) for r in reports.top_products(df, 10, stored).collect()] == expected
+
+
+def test_bitmaps_are_spread_whatever_they_weigh(spark):
+    """Sparse bitmaps shrink to little when sent; tasks must not be merged by that, nor bitmaps summed before."""
+    rows = spark.range(300).select((F.col("id") % 30).alias("day"), (F.col("id") * 100_000).alias("number"))
+    mart = states.bitmap_states(rows, "number", "day")
+    merged = states.bitmap_merge(mart, "day")
+    assert mart.rdd.getNumPartitions() == merged.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert merged.count() == 300
