@@ -6,9 +6,14 @@ from pyspark.sql import DataFrame, functions as F
 
 
 def lines_per_category(items: DataFrame, order: str, category: str) -> DataFrame:
-    """Line count per order and category, combined before the shuffle."""
+    """Line count per order and category.
+
+    Orders are dealt into as many partitions as the session shuffles into: lines sent shrink to a few bytes,
+    and tasks merged by those would hold many times that as groups and baskets.
+    """
+    lines = items.where(F.col(category).isNotNull() & F.col(order).isNotNull()).select(order, category)
     return (
-        items.where(F.col(category).isNotNull() & F.col(order).isNotNull())
+        lines.repartition(int(items.sparkSession.conf.get("spark.sql.shuffle.partitions")), order)
         .groupBy(order, category)
         .agg(F.count("*").alias("n"))
     )

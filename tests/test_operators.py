@@ -121,6 +121,13 @@ def test_first_reason_keeps_priority(spark):
     assert [r[0] for r in df.select(reason).collect()] == ["a", "b", None]
 
 
+def test_baskets_are_spread_whatever_they_weigh(spark):
+    rows = spark.range(400).select((F.col("id") % 90).alias("o"), (F.col("id") % 7).cast("string").alias("c"))
+    lines = basket.lines_per_category(rows, "o", "c")
+    assert lines.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert lines.agg(F.sum("n")).first()[0] == 400
+
+
 def test_basket_forms_agree_with_brute_force(spark):
     rng = random.Random(11)
     rows = [(f"o{rng.randrange(60)}", rng.choice("ABCDEF")) for _ in range(600)] + [("hot", rng.choice("ABC")) for _ in range(400)]
