@@ -13,10 +13,11 @@ two of which each has one.  Rows of one segment value meet in one sorted run,
 and whole distances over all 128 bits decide which of them are candidates.
 
 Candidates are links if the sets themselves have the similarity.  A run first
-gives only a spanning forest of its candidates, never all pairs.  Where the sets
-bear out every branch of a tree, its members are one group and no pair between
-them matters any more.  Where they refuse one, the members of the tree meet once
-more with their sets, dealt into blocks of bounded size, two blocks to a task's
+gives only a spanning forest of its candidates, never all pairs.  The forests of
+all runs make trees, and of each row's links in them two at most are held against
+the sets, however many runs have given it one.  Where these make one group of a
+tree, no other pair in it matters any more.  Where they don't, the members of the
+tree meet once more with their sets, dealt into blocks of bounded size, two blocks to a task's
 group.  Candidates between different groups are held against their sets there, and
 only those that join two groups leave the task: fewer than the rows that came in.
 So the groups are those of all candidates.
@@ -130,9 +131,10 @@ def node() -> Column:
 
 
 def candidates(distinct: DataFrame, radius: int = RADIUS, bits: int = SEGMENT, step: int = STEP) -> DataFrame:
-    """``a, b``: nodes of fingerprints (``node, low, high``) that meet in a segment and are ``radius`` apart or less.
+    """``a, b``: fingerprints (``node, low, high``) that meet in a segment and are ``radius`` apart or less, as structs of ``low, node``.
 
-    Of each run a spanning forest.
+    Of each run a spanning forest, in which ``a`` claims ``b``.  A row enters a bounded number of runs, so it is
+    claimed a bounded number of times, whatever the size of its group; runs in order of their fingerprints share claimers.
     """
 
     def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,9 +177,33 @@ def candidates(distinct: DataFrame, radius: int = RADIUS, bits: int = SEGMENT, s
 
     count = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     table = distinct.select("low", "high").mapInArrow(enter, "run long, low long, high long")
-    found = table.repartition(count, "run").sortWithinPartitions("run").mapInArrow(find, "low long, high long, low2 long, high2 long")
-    ends = found.select(node().alias("a"), F.xxhash64("low2", "high2").alias("b"))
-    return ends.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
+    found = table.repartition(count, "run").sortWithinPartitions("run", "low", "high").mapInArrow(find, "low long, high long, low2 long, high2 long")
+    ends = [F.struct(F.col(low).alias("low"), F.xxhash64(low, high).alias("node")) for low, high in (("low", "high"), ("low2", "high2"))]
+    return found.select(ends[0].alias("a"), ends[1].alias("b")).where("a <> b").distinct()
+
+
+def claimed(pairs: DataFrame) -> DataFrame:
+    """``b, claimers``: the different ``a`` of each ``b``."""
+    return pairs.groupBy("b").agg(F.collect_set("a").alias("claimers"))
+
+
+def contracted(claims: DataFrame) -> DataFrame:
+    """``a, b``: links of nodes, not candidates all of them, that connect what ``claims`` (``b, claimers``) connect.
+
+    A row and its claimers all go to the least of them, twice over.  Many rows share that one, so far fewer
+    links than claims remain, and no join is needed for it.
+    """
+    for again in (True, False):
+        star = F.array_append("claimers", F.col("b"))
+        links = claims.select(F.array_min(star).alias("a"), F.explode(star).alias("b")).where("a <> b").distinct()
+        claims = claimed(links) if again else claims
+    return links.select("a.node", F.col("b.node").alias("b")).toDF("a", "b")
+
+
+def branches(claims: DataFrame) -> DataFrame:
+    """``a, b``: nodes of the candidates in ``claims`` that join each row to its first and to its last claimer."""
+    ends = F.array_distinct(F.array(F.array_min("claimers"), F.array_max("claimers")))
+    return claims.select(F.explode(ends).alias("a"), "b").select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
 
 
 def shingle_sets(rows: DataFrame, size: int = SIZE) -> DataFrame:
@@ -275,16 +301,14 @@ def wide_links(
         one = rows.groupBy("node").agg(F.any_value("text").alias("text"))
         return written(shingle_sets(one, size), "wide-sets")
 
-    tree = written(candidates(distinct, radius, bits, step), "wide-candidates")
-    nodes = tree.select(F.col("a").alias("node")).union(tree.select(F.col("b").alias("node"))).distinct()
-    sets = sets_of(nodes)
-    judged = written(checked(tree, sets, similarity), "wide-judged")
-    links = judged.where("same").select("a", "b")
+    claims = written(claimed(candidates(distinct, radius, bits, step)), "wide-claims")
+    trees = components(contracted(claims))
+    sets = sets_of(trees.select("node"))
+    links = written(checked(branches(claims), sets, similarity).where("same").select("a", "b"), "wide-judged")
     group = components(links).withColumnRenamed("root", "label")
-    trees = components(tree)
     members = trees.join(group, "node", "left").select("node", "root", F.coalesce("label", "node").alias("label"))
-    refused = judged.where("NOT same").select(F.col("a").alias("node")).join(trees, "node").select("root").distinct()
-    again = members.join(refused, "root", "left_semi").join(distinct.select("node", "low", "high"), "node").join(sets, "node")
+    parted = members.groupBy("root").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least <> most")
+    again = members.join(parted, "root", "left_semi").join(distinct.select("node", "low", "high"), "node").join(sets, "node")
     return written(links.union(joining(again, similarity, radius, bits, step)), "wide-links")
 
 

@@ -116,6 +116,19 @@ def test_blocks_join_what_all_pairs_join(spark):
             assert len(links) == len(rows) - len(set(want))
 
 
+def test_links_of_a_large_group_are_few(spark, monkeypatch):
+    """Of one group that meets in many runs, no more rows are compared or followed than a few per member."""
+    rng = np.random.default_rng(9)
+    words = [f"w{rng.integers(1 << 30)}" for _ in range(300)]
+    rows = [(k, edited(rng, words, int(rng.integers(0, 9)))) for k in range(300)]
+    sizes = {"components": [], "checked": []}
+    for name, seen in sizes.items():
+        true = getattr(wide, name)
+        monkeypatch.setattr(wide, name, lambda links, *more, true=true, seen=seen: (seen.append(links.count()), true(links, *more))[1])
+    assert kept_ids(wide.keep_first(documents(spark, rows))) == sorted(i for i, _ in plain_first(rows))
+    assert all(n <= 3 * len(rows) for seen in sizes.values() for n in seen) and len(sizes["checked"]) == 1
+
+
 def test_whole_table_equals_brute_force(spark, small):
     docs = table(spark, small, "documents")
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
