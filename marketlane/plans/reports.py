@@ -73,7 +73,8 @@ def retention_from_sketches(members: DataFrame, buyers: DataFrame) -> DataFrame:
         return members.select("cohort", F.lit(0).alias("month_offset"), F.lit(0).cast("bigint").alias("users"), F.lit(0).cast("bigint").alias("larger")).limit(0)
     ahead = F.sequence("cohort", F.lit(last), F.expr("interval 1 month"))
     open_months = members.where(F.col("cohort") <= F.lit(last)).select("cohort", "members_state", F.explode(ahead).alias("month"))
-    pairs = open_months.join(months, "month")
+    # One sketch a month is sent to all tasks; a cohort's sketch is repeated for its months in the task that holds it.
+    pairs = open_months.join(F.broadcast(months), "month")
     size = lambda c: F.theta_sketch_estimate(c)
     return pairs.select(
         "cohort",

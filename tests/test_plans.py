@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from marketlane.functions.dates import in_days
 from marketlane.operators.classify import first_seen, lookup_key, skew_ready
-from marketlane.plans import facts, pipeline, reports
+from marketlane.plans import facts, marts, pipeline, reports
 from marketlane.plans.catalog import QUERIES, Work
 
 
@@ -37,6 +37,19 @@ def test_scan_reads_only_needed_columns(spark, small):
     assert "o_custkey" not in schema and "o_orderdate" not in schema
 
 
+def test_cohort_sketches_are_not_sent_once_a_month(spark, small):
+    """The months' sketches go to all tasks; the cohorts' ones, repeated for their months, stay where they are."""
+    w = Work(spark, small)
+    groups = w.users_dim.select("user_id", F.trunc("registration_date", "month").alias("cohort"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(reports.retention_from_sketches(marts.cohort_members(groups), marts.monthly_buyers(w.orders_fact)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert re.search(r"BroadcastHashJoin \[month#\d+\], \[month#\d+\], Inner, BuildRight", text)
+
+
 def test_status_filter_and_day_range_reach_the_scan(spark, tmp_path, small):
     path = str(tmp_path / "orders")
     Work(spark, small).orders.write.parquet(path)
