@@ -1638,7 +1638,7 @@ def _(w: Work) -> DataFrame:
 )
 def _(w: Work) -> DataFrame:
     """Order facts whose item counts were summed batch by batch."""
-    parts = [two_streams.items_per_order(p) for p in in_parts(w.items_fact)]
+    parts = [two_streams.items_per_order(p) for p in in_parts(w.items_by_order)]
     merged = two_streams.orders_fact_merge(w.orders, w.users, w.keep("counts", quality.union_all(parts)))
     return merged.select("order_id", "user_id", "created_at", "status", "items_count", "user_city")
 

@@ -9,6 +9,7 @@ from marketlane.functions.dates import in_days
 from marketlane.operators.classify import first_seen, lookup_key, skew_ready
 from marketlane.plans import facts, marts, pipeline, reports
 from marketlane.plans.catalog import QUERIES, Work
+from marketlane.streaming import two_streams
 
 
 def plan(df) -> str:
@@ -50,6 +51,14 @@ def test_cohort_sketches_are_not_sent_once_a_month(spark, small):
     assert re.search(r"BroadcastHashJoin \[month#\d+\], \[month#\d+\], Inner, BuildRight", text)
 
 
+def test_batch_counts_of_orders_are_spread_whatever_they_weigh(spark, small, monkeypatch):
+    true, made = two_streams.items_per_order, []
+    monkeypatch.setattr(two_streams, "items_per_order", lambda rows: made.append(true(rows)) or made[-1])
+    QUERIES["str1_two_stream_orders"](spark, small)
+    count = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert [rows.rdd.getNumPartitions() for rows in made] == [count] * 3
+
+
 def test_status_filter_and_day_range_reach_the_scan(spark, tmp_path, small):
     path = str(tmp_path / "orders")
     Work(spark, small).orders.write.parquet(path)
