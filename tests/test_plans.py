@@ -51,6 +51,10 @@ def test_cohort_sketches_are_not_sent_once_a_month(spark, small):
     assert re.search(r"BroadcastHashJoin \[month#\d+\], \[month#\d+\], Inner, BuildRight", text)
 
 
+def test_top_products_join_the_items_once(spark, small):
+    assert "o_orderdate" not in formatted(QUERIES["srt2_top_products"](spark, small))
+
+
 def test_batch_counts_of_orders_are_spread_whatever_they_weigh(spark, small, monkeypatch):
     true, made = two_streams.items_per_order, []
     monkeypatch.setattr(two_streams, "items_per_order", lambda rows: made.append(true(rows)) or made[-1])
