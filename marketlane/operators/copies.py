@@ -33,6 +33,22 @@ def latest_version(rows: DataFrame, key: Sequence[str], version: str) -> DataFra
     return first_per_key(rows, key, [F.col(version).desc()])
 
 
+def copied_keys(rows: DataFrame, key: str) -> DataFrame:
+    """Keys that occur more than once, counted before the shuffle, so this moves keys and no rows."""
+    counted = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
+    return counted.where("_n > 1").select(key)
+
+
+def part_by_copies(rows: DataFrame, key: str, copied: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows that are alone with their key, and the others, rows without a key among them.
+
+    ``copied`` are the stored ``copied_keys``: while these are few, Spark broadcasts them and no row moves.
+    """
+    flagged = rows.join(copied.select(F.col(key).alias("_copied")), F.col(key) == F.col("_copied"), "left")
+    several = F.col(key).isNull() | F.col("_copied").isNotNull()
+    return flagged.where(~several).drop("_copied"), flagged.where(several).drop("_copied")
+
+
 def mark_copies(
     rows: DataFrame,
     key: Sequence[str],

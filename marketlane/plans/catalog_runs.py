@@ -15,11 +15,14 @@ from marketlane.plans import marts, pipeline
 from marketlane.plans.catalog import CHECKS, QUERIES, RUN_TIME, Work, portable
 from marketlane.plans.catalog_sql import CTES, statement
 from marketlane.schemas import FACT_SORT_KEY
+from marketlane.session import small_splits
 from marketlane.sinks import tables as sinks
 from marketlane.sources import landing
 
 FIRST_DAY, LAID_TO, DAYS_TO_ONE = "1992-01-01", "1999-10-15", 40
 MONTH = "date_trunc('month', {0})::DATE"
+# 2,600 days at 40 to 1 are in four months, a payment past midnight may be in a fifth; events are not folded, a year of them is few as well.
+FEW_MONTHS = {"orders": 5, "order_items": 5, "payments": 5, "events": 12}
 _RUNS: dict[tuple[str, str], pipeline.Warehouse] = {}
 
 def _drawn_together(sql: str) -> str:
@@ -68,7 +71,7 @@ def land_everything(w: Work, root: str) -> None:
     frames = {e: (w.staged(e), month("_source_date")) for e in ("categories", "users", "products", "orders", "order_items", "payments")}
     frames["events"] = (w.raw_events, month("created_at"))
     for entity, (rows, day) in frames.items():
-        sinks.write_landing(rows, root, entity, day)
+        sinks.write_landing(rows, root, entity, day, FEW_MONTHS.get(entity), "gzip")
     sinks.write_manifests(sinks.manifest_counts(frames), root)
 
 
@@ -76,7 +79,8 @@ def loaded(w: Work) -> pipeline.Warehouse:
     key = (w.spark.sparkContext.applicationId, w.folder)
     if key not in _RUNS:
         root, wh = w.folder_for("landing"), pipeline.Warehouse(w.spark, w.folder_for("warehouse"))
-        land_everything(w, root)
+        with small_splits(w.spark):
+            land_everything(w, root)
         pipeline.backfill(w.spark, root, wh, RUN_TIME, uuid_ids=False)
         pipeline.run_days(w.spark, root, wh, landing.day_partitions(w.spark, root)[-1:], RUN_TIME, uuid_ids=False)
         _RUNS[key] = wh

@@ -75,8 +75,8 @@ def orders_fact(
     counts = items.groupBy("order_id").agg(F.count("*").alias("cnt"))
     buyers = users.select("user_id", "acquisition_channel", "city", "age_group")
     return (
-        day_orders.join(buyers, "user_id")
-        .join(counts, "order_id", "left")
+        day_orders.join(counts, "order_id", "left")
+        .join(buyers, "user_id")
         .select(
             "order_id", "user_id", "created_at", "status", "payment_method",
             "total_amount", "discount_amount",
@@ -115,12 +115,20 @@ def order_items_fact(
     day_orders = _slice(orders, "created_at", days).select(
         "order_id", "user_id", F.col("created_at").alias("order_created_at")
     )
-    return named_items(order_items.join(day_orders, "order_id"), products, categories)
+    # Items take on one number first and their order's user and time later, so that the narrower rows move twice.
+    return _item_facts(_with_category(order_items, products).join(day_orders, "order_id"), categories)
 
 
 def named_items(placed: DataFrame, products: DataFrame, categories: DataFrame) -> DataFrame:
     """Item facts of items that know their order's user and time."""
-    rows = placed.join(products.select("product_id", "category_id"), "product_id")
+    return _item_facts(_with_category(placed, products), categories)
+
+
+def _with_category(items: DataFrame, products: DataFrame) -> DataFrame:
+    return items.join(products.select("product_id", "category_id"), "product_id")
+
+
+def _item_facts(rows: DataFrame, categories: DataFrame) -> DataFrame:
     return _named_category(rows, categories).select(
         "order_item_id", "order_id", "order_created_at", "user_id", "product_id",
         "category_id", "category_name", F.col("quantity").cast("smallint").alias("quantity"),

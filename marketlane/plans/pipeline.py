@@ -17,11 +17,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from marketlane.functions.dates import in_days, not_expired
 from marketlane.operators import quality
-from marketlane.operators.classify import first_seen, skew_ready
+from marketlane.operators.classify import first_seen, skew_ready, unknown_keys
 from marketlane.operators.copies import latest_version
 from marketlane.operators.upsert import only_keys_of
 from marketlane.plans import facts, history, marts, promote
 from marketlane.schemas import DIMENSIONS, EVENT_RETENTION_MONTHS, FACTS, LOAD_AUDIT, columns_of, stored_layouts
+from marketlane.session import in_small_splits
 from marketlane.sinks import tables as sinks
 from marketlane.sources import landing, storage
 
@@ -45,6 +46,14 @@ class Warehouse:
         """A table by its fixed layout, so an empty one can be read too."""
         return self.spark.read.schema(LAYOUTS[name]).parquet(self.path(name))
 
+    def slices(self, name: str, days: Sequence[str], column: str = "_source_date") -> DataFrame:
+        """The table's partitions of the given days, read by their folders: the plan knows how much that is."""
+        there = set(storage.children(self.spark, self.path(name)))
+        found = [f"{self.path(name)}/{column}={d}" for d in days if f"{column}={d}" in there]
+        if not found:
+            return self.read(name).where(F.lit(False))
+        return self.spark.read.schema(LAYOUTS[name]).option("basePath", self.path(name)).parquet(*found)
+
     # Dimensions are stored as deliveries; the current state is folded on read.
     def deliveries(self, entity: str, until: str | None = None) -> DataFrame:
         rows = self.read(f"core/{entity}_deliveries")
@@ -113,7 +122,7 @@ def _load_dimensions(wh: Warehouse, raw: str, days: Sequence[str], run_time: dat
         checked = quality.enforce_rows(entity, typed[entity](staged))
         slices = [min(days)] if entity == "categories" else list(days)
         sinks.replace_slices(
-            checked.hint("rebalance", "_source_date"), wh.path(f"core/{entity}_deliveries"),
+            sinks.gathered(checked, len(slices), "_source_date"), wh.path(f"core/{entity}_deliveries"),
             ["_source_date"], slices, day="_source_date",
         )
 
@@ -126,13 +135,14 @@ def _require_parents(wh: Warehouse, days: Sequence[str]) -> None:
             [
                 quality.foreign_report("categories", categories, "parent_id", categories, "category_id"),
                 quality.foreign_report(
-                    "products", _in_days(wh.deliveries("products"), days), "category_id", categories, "category_id"
+                    "products", wh.slices("core/products_deliveries", days), "category_id", categories, "category_id"
                 ),
             ]
         )
     )
 
 
+@in_small_splits
 def load_core(
     spark: SparkSession,
     raw: str,
@@ -156,21 +166,25 @@ def load_core(
         _load_dimensions(wh, raw, days, run_time, run_id, uuid_ids)
         _require_parents(wh, days)
 
+        def kept(name: str, rows: DataFrame) -> DataFrame:
+            sinks.overwrite(rows, f"{work}/{name}")
+            return spark.read.schema(rows.schema).parquet(f"{work}/{name}")
+
         def land(table: str) -> DataFrame:
-            # Parsed once into columns; the key lookups below then read single columns.
+            # Part of the history is parsed once into columns, of which the key lookups below read
+            # single ones.  The whole of it needs no lookups of that kind, so a copy would be read once.
             rows = landing.read_entity(spark, raw, table, run_time, run_id, days)
-            sinks.overwrite(rows, f"{work}/landed_{table}")
-            return spark.read.schema(rows.schema).parquet(f"{work}/landed_{table}")
+            return rows if _covers_all(wh, days) else kept(f"landed_{table}", rows)
 
         def judge(table: str, judged: DataFrame) -> DataFrame:
-            # Judged once, then read by promotion, quarantine and audit.
-            sinks.overwrite(judged, f"{work}/{table}")
-            return spark.read.schema(judged.schema).parquet(f"{work}/{table}")
+            # Judged once, then read by promotion, quarantine and audit, without what is the same in all rows of a run.
+            rows = kept(table, judged.drop("_loaded_at", "_batch_id"))
+            return landing.stamp(rows, F.col("_source_date"), run_time, run_id)
 
         def store(table: str, promotion: promote.Promotion) -> None:
             rows = quality.enforce_rows(table, promotion.accepted)
             sinks.replace_slices(
-                rows.hint("rebalance", "_source_date"), wh.path(f"core/{table}"),
+                sinks.gathered(rows, len(days), "_source_date"), wh.path(f"core/{table}"),
                 ["_source_date"], days, day="_source_date",
             )
 
@@ -178,17 +192,21 @@ def load_core(
             delivered = wh.deliveries(entity, last).select(key, "_source_date")
             return first_seen(_cut(wh, delivered, rows, key, days), key)
 
+        def unknown(key: str, rows: DataFrame, known: DataFrame) -> DataFrame:
+            # Kept, so that its true size is known when the rows are looked up.
+            return kept(f"unknown_{key}", unknown_keys(rows, key, known, key, "_source_date"))
+
         landed = {t: land(t) for t in FACTS}
-        users = arrivals("users", "user_id", landed["orders"])
-        judged = {"orders": judge("orders", promote.classify_orders(landed["orders"], users))}
+        users = unknown("user_id", landed["orders"], arrivals("users", "user_id", landed["orders"]))
+        judged = {"orders": judge("orders", promote.classify_orders(landed["orders"], None, unknown_users=users, keep=kept))}
         orders = promote.split_orders(judged["orders"], _outside(wh, "orders", "order_id", days), uuid_ids)
         store("orders", orders)
 
         arrived = promote.arrived_orders(wh.read("core/orders"))
-        products = arrivals("products", "product_id", landed["order_items"])
+        products = unknown("product_id", landed["order_items"], arrivals("products", "product_id", landed["order_items"]))
         item_orders = _cut(wh, arrived, landed["order_items"], "order_id", days)
         judged["order_items"] = judge(
-            "order_items", promote.classify_items(landed["order_items"], products, item_orders)
+            "order_items", promote.classify_items(landed["order_items"], None, item_orders, unknown_products=products)
         )
         items = promote.split_items(
             judged["order_items"], _outside(wh, "order_items", "order_item_id", days), uuid_ids
@@ -196,9 +214,10 @@ def load_core(
         store("order_items", items)
 
         payment_orders = _cut(wh, arrived, landed["payments"], "order_id", days)
-        judged["payments"] = judge("payments", promote.classify_payments(landed["payments"], payment_orders))
+        unpaid = unknown("order_id", landed["payments"], payment_orders)
+        judged["payments"] = judge("payments", promote.classify_payments(landed["payments"], None, unknown_orders=unpaid))
         payments = promote.split_payments(
-            judged["payments"], _outside(wh, "payments", "payment_id", days), uuid_ids
+            judged["payments"], _outside(wh, "payments", "payment_id", days), uuid_ids, kept
         )
         _require_single_payment(wh, payments.accepted, days)
         store("payments", payments)
@@ -207,7 +226,7 @@ def load_core(
             {"orders": orders.rejected, "order_items": items.rejected, "payments": payments.rejected}, run_time
         )
         sinks.replace_slices(
-            rejected.hint("rebalance", "source_date"), wh.path("dq/rejected_rows"),
+            sinks.gathered(rejected, len(days), "source_date"), wh.path("dq/rejected_rows"),
             ["source_date"], days, day="source_date",
         )
         _audit(wh, raw, judged, days, run_time, run_id)
@@ -230,13 +249,13 @@ def _key_report(wh: Warehouse, table: str, days: Sequence[str]) -> DataFrame:
     """Primary keys of the new slices that occur twice, there or in earlier slices."""
     key = quality.CORE_RULES[table].unique[0]
     rows = wh.read(f"core/{table}")
-    return quality.unique_report(table, _cut(wh, rows.select(key), _in_days(rows, days), key, days), key)
+    return quality.unique_report(table, _cut(wh, rows.select(key), wh.slices(f"core/{table}", days), key, days), key)
 
 
 def _audit(wh: Warehouse, raw: str, judged: dict[str, DataFrame], days: Sequence[str], run_time: datetime, run_id: str) -> None:
     counts = quality.union_all(
         [
-            quality.promotion_counts(rows, _in_days(wh.read(f"core/{t}"), days), t)
+            quality.promotion_counts(rows, wh.slices(f"core/{t}", days), t)
             for t, rows in judged.items()
         ]
     )
@@ -256,9 +275,9 @@ def _audit(wh: Warehouse, raw: str, judged: dict[str, DataFrame], days: Sequence
 def _gates(wh: Warehouse, raw: str, days: Sequence[str]) -> None:
     """Keys of the new rows, new items against their parents, then landed rows against the manifests."""
     quality.require_zero(quality.union_all([_key_report(wh, t, days) for t in FACTS]))
-    items = _in_days(wh.read("core/order_items"), days)
-    parents = only_keys_of(wh.read("core/orders").select("order_id", "user_id"), items, "order_id")
-    products = only_keys_of(wh.deliveries("products").select("product_id").distinct(), items, "product_id")
+    items = wh.slices("core/order_items", days)
+    parents = _cut(wh, wh.read("core/orders").select("order_id", "user_id"), items, "order_id", days)
+    products = _cut(wh, wh.deliveries("products").select("product_id").distinct(), items, "product_id", days)
     quality.require_integrity(quality.integrity_counts(parents, items, products))
     audit = _in_days(wh.read("dq/load_audit"), days, "source_date")
     manifest = landing.read_manifest(wh.spark, raw, days).where(F.col("source_table").isin(list(FACTS)))
@@ -276,6 +295,7 @@ def require_core(wh: Warehouse) -> None:
         raise RuntimeError(f"core tables are missing, load core first: {missing}")
 
 
+@in_small_splits
 def load_facts(
     spark: SparkSession,
     raw: str,
@@ -306,11 +326,13 @@ def _write_facts(
     buyers = _cut(wh, wh.deliveries("users"), orders.where(in_days("created_at", order_days)), "user_id", days)
     users = skew_ready(promote.promote_users(buyers))
     stamp = F.lit(run_time.isoformat(sep=" ")).cast("timestamp_ntz").alias("updated_at")
+    whole = _covers_all(wh, days)  # then every item counts, and none is looked for by its order
+    placed = orders.where(in_days("created_at", order_days))
 
     def changed(entity: str) -> DataFrame:
         # Only keys that arrived in these days can have a new version.
         rows = wh.deliveries(entity)
-        return _cut(wh, rows, _in_days(rows, days), f"{entity[:-1]}_id", days)
+        return _cut(wh, rows, wh.slices(f"core/{entity}_deliveries", days), f"{entity[:-1]}_id", days)
 
     dims = {
         "users_dim": facts.users_dim(promote.promote_users(changed("users"))),
@@ -322,7 +344,7 @@ def _write_facts(
         log.add("load_dims", table, written, time.monotonic() - started)
 
     plan = {
-        "orders_fact": (facts.orders_fact(orders, users, items, order_days), order_days),
+        "orders_fact": (facts.orders_fact(placed, users, items, None if whole else order_days), order_days),
         "order_items_fact": (
             facts.order_items_fact(items, orders, products, categories, order_days), order_days,
         ),
@@ -366,7 +388,7 @@ def _delivered_with(orders: DataFrame, items: DataFrame, order_days: list[str])
     day = F.col("_source_date")
     span = orders.where(in_days("created_at", order_days)).agg(F.min(day).alias("first"), F.max(day).alias("last")).first()
     if span["first"] is None:
-        return orders, items
+        return orders.where(F.lit(False)), items.where(F.lit(False))
     return orders.where(day.between(span["first"], span["last"])), items.where(day >= span["first"])
 
 
@@ -386,12 +408,11 @@ def _fact_days(wh: Warehouse, days: Sequence[str]) -> DataFrame:
     Rows mostly belong to their delivery day; late items and payments past
     midnight reach other slices.  The result is one entry per calendar day.
     """
-    orders = wh.read("core/orders")
-    new_items = _in_days(wh.read("core/order_items"), days)
-    late = only_keys_of(orders, new_items, "order_id")
-    new_orders = _in_days(orders, days)
-    order_days = late.unionByName(new_orders, allowMissingColumns=True).select(F.to_date("created_at").alias("day"))
-    payment_days = _in_days(wh.read("core/payments"), days).select(F.to_date("processed_at").alias("day"))
+    placed = wh.slices("core/orders", days)
+    if not _covers_all(wh, days):  # else every order is among them
+        placed = placed.unionByName(only_keys_of(wh.read("core/orders"), wh.slices("core/order_items", days), "order_id"))
+    order_days = placed.select(F.to_date("created_at").alias("day"))
+    payment_days = wh.slices("core/payments", days).select(F.to_date("processed_at").alias("day"))
     return (
         order_days.withColumn("kind", F.lit("order"))
         .unionByName(payment_days.withColumn("kind", F.lit("payment")))
@@ -407,7 +428,7 @@ def refresh_marts(wh: Warehouse, days: Sequence[str]) -> None:
         if not wh.has(f"facts/{fact}"):
             return
         rows = _in_days(wh.read(f"facts/{fact}"), days, "ds")
-        sinks.replace_slices(build(rows).hint("rebalance", "ds"), wh.path(f"marts/{mart}"), ["ds"], days)
+        sinks.replace_slices(sinks.gathered(build(rows), len(days), "ds"), wh.path(f"marts/{mart}"), ["ds"], days)
 
     refresh("daily_gmv", "orders_fact", lambda r: marts.daily_gmv(r, "ds"))
     refresh("category_revenue_daily", "order_items_fact", lambda r: marts.category_revenue_daily(r, "ds"))

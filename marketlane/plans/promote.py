@@ -7,6 +7,7 @@ ordered daily runs.  With ``as_of=False`` the input is one load.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -19,8 +20,8 @@ from marketlane.functions.columns import (
     int_from_text,
     row_json,
 )
-from marketlane.operators.classify import first_reason, lookup_key
-from marketlane.operators.copies import FIRST, SAME_RUN, first_per_key, mark_copies
+from marketlane.operators.classify import first_reason, lookup_key, lookup_unknown
+from marketlane.operators.copies import FIRST, SAME_RUN, copied_keys, first_per_key, mark_copies, part_by_copies
 from marketlane.operators.quality import union_all
 from marketlane.operators.upsert import MUTABLE_COLUMNS, not_in, upsert_by_policy
 from marketlane.schemas import LANDING_COLUMNS, META_COLUMNS
@@ -34,6 +35,10 @@ NEGATIVE_QUANTITY = "negative_quantity"
 ORPHAN_ORDER = "orphan_order"
 
 
+#: Stores a small frame under a name and reads it back, so that its true size is known when it is joined.
+Keep = Callable[[str, DataFrame], DataFrame]
+
+
 @dataclass(frozen=True)
 class Promotion:
     """Accepted rows (typed, with ``_source_date``) and rejected landing rows with a reason."""
@@ -121,23 +126,44 @@ def _arrival(as_of: bool) -> str | None:
     return "_source_date" if as_of else None
 
 
-def classify_orders(staged: DataFrame, users: DataFrame, as_of: bool = True) -> DataFrame:
+def _looked_up(rows: DataFrame, column: str, out: str, known: DataFrame | None, unknown: DataFrame | None, as_of: bool) -> DataFrame:
+    """Add boolean ``out`` from the known keys, or from the stored ``unknown_keys`` of the same rows."""
+    if unknown is not None:
+        return lookup_unknown(rows, column, unknown, out, "_source_date")
+    return lookup_key(rows, column, known, column, out, _arrival(as_of))
+
+
+def classify_orders(
+    staged: DataFrame,
+    users: DataFrame | None,
+    as_of: bool = True,
+    unknown_users: DataFrame | None = None,
+    keep: Keep | None = None,
+) -> DataFrame:
     """Landing rows with ``reject_reason`` and ``copy_state``.
 
-    Only rows that pass the user rules compete for the order id.
+    Only rows that pass the user rules compete for the order id.  ``unknown_users``
+    holds ``user_id, _source_date`` that are not known; ``users`` is then not read.
+    With ``keep`` only rows whose order id occurs several times are ranked.
     """
-    known = lookup_key(staged, "user_id", users, "user_id", "_has_user", _arrival(as_of))
+    known = _looked_up(staged, "user_id", "_has_user", users, unknown_users, as_of)
     rules = first_reason(
         [(NULL_USER, F.col("user_id").isNull()), (ORPHAN_USER, ~F.col("_has_user"))]
     )
     judged = known.withColumn("reject_reason", rules).drop("_has_user")
+    clean = F.col("reject_reason").isNull()
+    alone, several = None, judged
+    if keep is not None:
+        alone, several = part_by_copies(judged, "order_id", keep("copied_orders", copied_keys(judged.where(clean), "order_id")))
     marked = mark_copies(
-        judged,
+        several,
         key=["order_id"],
         run=["_source_date"] if as_of else [],
         order_by=["_loaded_at", "created_at"],
-        eligible=F.col("reject_reason").isNull(),
+        eligible=clean,
     )
+    if alone is not None:
+        marked = marked.unionByName(alone.withColumn("copy_state", F.when(clean, FIRST)))
     duplicate = F.when(F.col("copy_state") == SAME_RUN, DUPLICATE_PK)
     return marked.withColumn("reject_reason", F.coalesce("reject_reason", duplicate))
 
@@ -155,10 +181,13 @@ def type_orders(rows: DataFrame, uuid_ids: bool = True) -> DataFrame:
 
 
 def classify_items(
-    staged: DataFrame, products: DataFrame, orders: DataFrame, as_of: bool = True
+    staged: DataFrame, products: DataFrame | None, orders: DataFrame, as_of: bool = True, unknown_products: DataFrame | None = None
 ) -> DataFrame:
-    """Landing rows with ``reject_reason``.  ``orders`` holds ``order_id, first_ds``."""
-    rows = lookup_key(staged, "product_id", products, "product_id", "_has_product", _arrival(as_of))
+    """Landing rows with ``reject_reason``.  ``orders`` holds ``order_id, first_ds``.
+
+    ``unknown_products`` holds ``product_id, _source_date`` that are not known; ``products`` is then not read.
+    """
+    rows = _looked_up(staged, "product_id", "_has_product", products, unknown_products, as_of)
     rows = lookup_key(rows, "order_id", orders, "order_id", "_has_order", _arrival(as_of))
     rules = [
         (NULL_PRODUCT, F.col("product_id").isNull()),
@@ -178,8 +207,11 @@ def type_items(rows: DataFrame, uuid_ids: bool = True) -> DataFrame:
     )
 
 
-def classify_payments(staged: DataFrame, orders: DataFrame, as_of: bool = True) -> DataFrame:
-    rows = lookup_key(staged, "order_id", orders, "order_id", "_has_order", _arrival(as_of))
+def classify_payments(
+    staged: DataFrame, orders: DataFrame | None, as_of: bool = True, unknown_orders: DataFrame | None = None
+) -> DataFrame:
+    """Landing rows with ``reject_reason``; of ``orders`` and ``unknown_orders`` one is read, as for items."""
+    rows = _looked_up(staged, "order_id", "_has_order", orders, unknown_orders, as_of)
     rule = first_reason([(ORPHAN_ORDER, ~F.col("_has_order"))])
     return rows.withColumn("reject_reason", rule).drop("_has_order")
 
@@ -203,13 +235,17 @@ def _rejected(classified: DataFrame) -> DataFrame:
     return classified.where(F.col("reject_reason").isNotNull())
 
 
-def _winners(classified: DataFrame, key: str, uuid_ids: bool) -> DataFrame:
+def _winners(classified: DataFrame, key: str, uuid_ids: bool, keep: Keep | None = None) -> DataFrame:
     """First accepted row per key; the others are dropped silently, as on a key conflict.
 
-    Spellings of one UUID are one key.
+    Spellings of one UUID are one key.  With ``keep`` only rows whose key occurs several times are ranked.
     """
-    clean = classified.where(F.col("reject_reason").isNull()).drop("reject_reason")
-    return first_per_key(clean.withColumn(key, _id(key, uuid_ids)), [key], ["_source_date", "_loaded_at"])
+    clean = classified.where(F.col("reject_reason").isNull()).drop("reject_reason").withColumn(key, _id(key, uuid_ids))
+    order_by = ["_source_date", "_loaded_at"]
+    if keep is None:
+        return first_per_key(clean, [key], order_by)
+    alone, several = part_by_copies(clean, key, keep(f"copied_{key}", copied_keys(clean, key)))
+    return alone.unionByName(first_per_key(several, [key], order_by))
 
 
 def _without_known(rows: DataFrame, existing: DataFrame | None, key: str) -> DataFrame:
@@ -239,9 +275,9 @@ def split_items(
 
 
 def split_payments(
-    classified: DataFrame, existing: DataFrame | None = None, uuid_ids: bool = True
+    classified: DataFrame, existing: DataFrame | None = None, uuid_ids: bool = True, keep: Keep | None = None
 ) -> Promotion:
-    accepted = type_payments(_winners(classified, "payment_id", uuid_ids), uuid_ids)
+    accepted = type_payments(_winners(classified, "payment_id", uuid_ids, keep), uuid_ids)
     return Promotion(_without_known(accepted, existing, "payment_id"), _rejected(classified))
 
 

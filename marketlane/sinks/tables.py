@@ -18,8 +18,23 @@ from marketlane.sources import storage
 from marketlane.sources.landing import COUNTED
 
 
+#: Files that one write may leave when its tasks write what they hold, without a shuffle that gathers each slice.
+MOST_FILES = 50_000
+#: Warehouse files are read often and written once.
+CODEC = "zstd"
+
+
+def gathered(rows: DataFrame, slices: int, *partition: str) -> DataFrame:
+    """``rows`` as they are, or gathered by slice where every task writing a file of its own per slice would leave too many.
+
+    The rebalance hint lets adaptive execution split a busy slice over several tasks and merge quiet ones into one.
+    """
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.hint("rebalance", *partition) if slices * tasks > MOST_FILES else rows
+
+
 def append(rows: DataFrame, path: str) -> None:
-    rows.write.mode("append").parquet(path)
+    rows.write.mode("append").option("compression", CODEC).parquet(path)
 
 
 def append_counted(rows: DataFrame, path: str) -> int:
@@ -31,7 +46,7 @@ def append_counted(rows: DataFrame, path: str) -> int:
 
 def overwrite(rows: DataFrame, path: str) -> None:
     """Full replace of a table."""
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", CODEC).parquet(path)
 
 
 def replace_slices(
@@ -57,20 +72,24 @@ def replace_slices(
         rows.observe(seen, *metrics)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("compression", CODEC)
         .partitionBy(*partition)
         .parquet(path)
     )
     result = seen.get
-    for missing in sorted(set(days or ()) - set(result.get("days") or ())):
-        drop_slice(spark, path, day, missing)
+    drop_slices(spark, path, day, set(days or ()) - set(result.get("days") or ()))
     return result["rows"]
 
 
-def drop_slice(spark: SparkSession, path: str, day: str, value: str) -> None:
-    """Remove the partition directories of one day, below any leading partition."""
-    name = f"{day}={value}"
-    for parent in [path, *[f"{path}/{c}" for c in storage.children(spark, path) if "=" in c]]:
-        if storage.exists(spark, f"{parent}/{name}"):
+def drop_slices(spark: SparkSession, path: str, day: str, values: set[str]) -> None:
+    """Remove the partition directories of some days, below any leading partition; each folder is listed once."""
+    gone = {f"{day}={value}" for value in values}
+    if not gone:
+        return
+    found = storage.children(spark, path)
+    leading = [f"{path}/{c}" for c in found if "=" in c and not c.startswith(f"{day}=")]
+    for parent, names in [(path, found), *((p, storage.children(spark, p)) for p in leading)]:
+        for name in gone.intersection(names):
             storage.delete(spark, f"{parent}/{name}")
 
 
@@ -80,15 +99,12 @@ def write_fact(
     """Month and day partitions, sorted inside, replaced day by day.
 
     The slice day is the event day, or column ``day`` where deliveries decide.
-    The rebalance hint lets adaptive execution split a busy day over several
-    tasks and merge quiet days into one.
+    Unless the slices are known to be few, each is gathered first.
     """
     slice_day = F.to_date(day or FACT_DAY_COLUMN[table])
-    laid_out = (
-        rows.withColumns({"month": yyyymm(slice_day), "ds": slice_day})
-        .hint("rebalance", "month", "ds")
-        .sortWithinPartitions("month", "ds", *FACT_SORT_KEY[table])
-    )
+    dated = rows.withColumns({"month": yyyymm(slice_day), "ds": slice_day})
+    slices = MOST_FILES if days is None else len(days)
+    laid_out = gathered(dated, slices, "month", "ds").sortWithinPartitions("month", "ds", *FACT_SORT_KEY[table])
     return replace_slices(laid_out, path, ["month", "ds"], days)
 
 
@@ -127,14 +143,23 @@ CSV_WRITE = {
 }
 
 
-def write_landing(rows: DataFrame, root: str, entity: str, day) -> None:
-    """CSV per entity and day; dimensions are cut by the day they appeared."""
+#: Rows of one compressed landing file, which a reader can't split.
+COMPRESSED_ROWS = 200_000
+
+
+def write_landing(rows: DataFrame, root: str, entity: str, day, slices: int | None = None, compression: str = "none") -> None:
+    """CSV per entity and day; dimensions are cut by the day they appeared.
+
+    ``slices`` says how many days there are at most; where they are few, rows are not shuffled.
+    """
     columns = LANDING_COLUMNS[entity]
     dated = rows.select(*columns, F.to_date(day).alias("_source_date"))
     (
-        dated.hint("rebalance", "_source_date")
+        gathered(dated, MOST_FILES if slices is None else slices, "_source_date")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("compression", compression)
+        .option("maxRecordsPerFile", 0 if compression == "none" else COMPRESSED_ROWS)
         .options(**CSV_WRITE)
         .partitionBy("_source_date")
         .csv(f"{root}/{entity}")

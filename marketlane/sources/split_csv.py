@@ -31,7 +31,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
-from marketlane.session import new_folder
+from marketlane.session import new_folder, split_bytes
 from marketlane.sources import storage
 
 #: What a split gives: whole records, the end of one, the beginning of one, and a part that neither begins nor ends.
@@ -184,7 +184,5 @@ def read(spark: SparkSession, schema: T.StructType, paths: Sequence[str], option
 
 def worth_it(spark: SparkSession, paths: Sequence[str]) -> bool:
     """Whether any of the files is larger than one split and can be split (compressed ones can't)."""
-    most = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
-        spark.conf.get("spark.sql.files.maxPartitionBytes")
-    )
+    most = split_bytes(spark)
     return any(size > most and not name.endswith((".gz", ".bz2", ".zst", ".lz4", ".snappy", ".deflate")) for name, size in storage.files(spark, paths))
