@@ -51,13 +51,14 @@ def lookup_unknown(rows: DataFrame, column: str, unknown: DataFrame, out: str, a
 
 
 def lookup_key(
-    rows: DataFrame, column: str, known: DataFrame, key: str, out: str, arrival: str | None
+    rows: DataFrame, column: str, known: DataFrame, key: str, out: str, arrival: str | None, probe: bool = False
 ) -> DataFrame:
     """Add boolean ``out``: is ``column`` a known key, as of the row's ``arrival`` day?
 
     ``known`` holds unique keys and their ``first_ds``, as a scan or ``skew_ready``;
     with ``arrival=None`` the day is not compared.  Rows without a key get a spread-out stand-in that
-    no id can equal (ids never contain NUL), so missing keys do not pile up in one task.
+    no id can equal (ids never contain NUL), so missing keys do not pile up in one task.  With
+    ``probe`` the joined text stays as ``_probe``: rows that are grouped by it next stay where they are.
     """
     spread = F.concat(F.lit("\u0000"), F.spark_partition_id().cast("string"))
     # The probe moves in place of the column, which is read off it again.
@@ -70,4 +71,4 @@ def lookup_key(
     found = F.col("_key").isNotNull()
     if arrival:
         found = found & (F.col("_first_ds") <= F.col(arrival))
-    return joined.withColumn(out, found).drop("_probe", "_key", "_first_ds")
+    return joined.withColumn(out, found).drop(*([] if probe else ["_probe"]), "_key", "_first_ds")

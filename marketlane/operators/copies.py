@@ -28,6 +28,19 @@ def first_per_key(rows: DataFrame, key: Sequence[str], order_by: Sequence[str |
     return rows.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
+def mark_first(
+    rows: DataFrame, group: str, key: str, order_by: Sequence[str | Column], eligible: Column, out: str
+) -> DataFrame:
+    """Add boolean ``out``: is the row the first eligible one of its key within its group?
+
+    Rows that are already dealt out by ``group`` are not moved.  The first of a key
+    over all groups is one of the rows marked.
+    """
+    ordered = [~F.coalesce(eligible, F.lit(False)), *total_order(rows, [group, key], order_by)]
+    w = Window.partitionBy(group, key).orderBy(*ordered)
+    return rows.withColumn(out, (F.row_number().over(w) == 1) & F.coalesce(eligible, F.lit(False)))
+
+
 def latest_version(rows: DataFrame, key: Sequence[str], version: str) -> DataFrame:
     """Replacing collapse: the row with the highest version per key."""
     return first_per_key(rows, key, [F.col(version).desc()])

@@ -22,7 +22,7 @@ from marketlane.operators.copies import latest_version
 from marketlane.operators.upsert import only_keys_of
 from marketlane.plans import facts, history, marts, promote
 from marketlane.schemas import DIMENSIONS, EVENT_RETENTION_MONTHS, FACTS, LOAD_AUDIT, columns_of, stored_layouts
-from marketlane.session import in_small_splits
+from marketlane.session import hot_keys_split, in_small_splits
 from marketlane.sinks import tables as sinks
 from marketlane.sources import landing, storage
 
@@ -205,11 +205,12 @@ def load_core(
         arrived = promote.arrived_orders(wh.read("core/orders"))
         products = unknown("product_id", landed["order_items"], arrivals("products", "product_id", landed["order_items"]))
         item_orders = _cut(wh, arrived, landed["order_items"], "order_id", days)
-        judged["order_items"] = judge(
-            "order_items", promote.classify_items(landed["order_items"], None, item_orders, unknown_products=products)
-        )
+        with hot_keys_split(spark):
+            judged["order_items"] = judge(
+                "order_items", promote.classify_items(landed["order_items"], None, item_orders, unknown_products=products, mark=True)
+            )
         items = promote.split_items(
-            judged["order_items"], _outside(wh, "order_items", "order_item_id", days), uuid_ids
+            judged["order_items"], _outside(wh, "order_items", "order_item_id", days), uuid_ids, kept
         )
         store("order_items", items)
 

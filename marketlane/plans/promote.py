@@ -21,7 +21,7 @@ from marketlane.functions.columns import (
     row_json,
 )
 from marketlane.operators.classify import first_reason, lookup_key, lookup_unknown
-from marketlane.operators.copies import FIRST, SAME_RUN, copied_keys, first_per_key, mark_copies, part_by_copies
+from marketlane.operators.copies import FIRST, SAME_RUN, copied_keys, first_per_key, mark_copies, mark_first, part_by_copies
 from marketlane.operators.quality import union_all
 from marketlane.operators.upsert import MUTABLE_COLUMNS, not_in, upsert_by_policy
 from marketlane.schemas import LANDING_COLUMNS, META_COLUMNS
@@ -181,21 +181,32 @@ def type_orders(rows: DataFrame, uuid_ids: bool = True) -> DataFrame:
 
 
 def classify_items(
-    staged: DataFrame, products: DataFrame | None, orders: DataFrame, as_of: bool = True, unknown_products: DataFrame | None = None
+    staged: DataFrame,
+    products: DataFrame | None,
+    orders: DataFrame,
+    as_of: bool = True,
+    unknown_products: DataFrame | None = None,
+    mark: bool = False,
 ) -> DataFrame:
     """Landing rows with ``reject_reason``.  ``orders`` holds ``order_id, first_ds``.
 
     ``unknown_products`` holds ``product_id, _source_date`` that are not known; ``products`` is then not read.
+    With ``mark`` rows also tell whether they are ``first_of_order``, the first accepted one of their id in their
+    order: that is seen where the rows meet their orders, and later only ids have to be compared between orders.
     """
     rows = _looked_up(staged, "product_id", "_has_product", products, unknown_products, as_of)
-    rows = lookup_key(rows, "order_id", orders, "order_id", "_has_order", _arrival(as_of))
+    rows = lookup_key(rows, "order_id", orders, "order_id", "_has_order", _arrival(as_of), probe=mark)
     rules = [
         (NULL_PRODUCT, F.col("product_id").isNull()),
         (ORPHAN_PRODUCT, ~F.col("_has_product")),
         (NEGATIVE_QUANTITY, F.col("quantity").cast("int") <= 0),
         (ORPHAN_ORDER, ~F.col("_has_order")),
     ]
-    return rows.withColumn("reject_reason", first_reason(rules)).drop("_has_product", "_has_order")
+    judged = rows.withColumn("reject_reason", first_reason(rules)).drop("_has_product", "_has_order")
+    if mark:
+        clean = F.col("reject_reason").isNull()
+        judged = mark_first(judged, "_probe", "order_item_id", WINNER_ORDER, clean, "first_of_order").drop("_probe")
+    return judged
 
 
 def type_items(rows: DataFrame, uuid_ids: bool = True) -> DataFrame:
@@ -235,17 +246,19 @@ def _rejected(classified: DataFrame) -> DataFrame:
     return classified.where(F.col("reject_reason").isNotNull())
 
 
+WINNER_ORDER = ["_source_date", "_loaded_at"]
+
+
 def _winners(classified: DataFrame, key: str, uuid_ids: bool, keep: Keep | None = None) -> DataFrame:
     """First accepted row per key; the others are dropped silently, as on a key conflict.
 
     Spellings of one UUID are one key.  With ``keep`` only rows whose key occurs several times are ranked.
     """
     clean = classified.where(F.col("reject_reason").isNull()).drop("reject_reason").withColumn(key, _id(key, uuid_ids))
-    order_by = ["_source_date", "_loaded_at"]
     if keep is None:
-        return first_per_key(clean, [key], order_by)
+        return first_per_key(clean, [key], WINNER_ORDER)
     alone, several = part_by_copies(clean, key, keep(f"copied_{key}", copied_keys(clean, key)))
-    return alone.unionByName(first_per_key(several, [key], order_by))
+    return alone.unionByName(first_per_key(several, [key], WINNER_ORDER))
 
 
 def _without_known(rows: DataFrame, existing: DataFrame | None, key: str) -> DataFrame:
@@ -268,9 +281,13 @@ def split_orders(
 
 
 def split_items(
-    classified: DataFrame, existing: DataFrame | None = None, uuid_ids: bool = True
+    classified: DataFrame, existing: DataFrame | None = None, uuid_ids: bool = True, keep: Keep | None = None
 ) -> Promotion:
-    accepted = type_items(_winners(classified, "order_item_id", uuid_ids), uuid_ids)
+    """With ``keep`` the rows are marked, and only ids of marked rows are compared between orders."""
+    rows = classified
+    if keep is not None:
+        rows, classified = classified.where("first_of_order").drop("first_of_order"), classified.drop("first_of_order")
+    accepted = type_items(_winners(rows, "order_item_id", uuid_ids, keep), uuid_ids)
     return Promotion(_without_known(accepted, existing, "order_item_id"), _rejected(classified))
 
 

@@ -1,13 +1,15 @@
 """Steps of a run that move keys in place of rows, or nothing: same results, and no shuffle where none is needed."""
 
+import re
 from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
-from marketlane.operators.classify import lookup_key, lookup_unknown, unknown_keys
+from marketlane.operators.classify import first_seen, lookup_key, lookup_unknown, unknown_keys
+from marketlane.operators.copies import mark_first
 from marketlane.plans import pipeline, promote
 from marketlane.schemas import LANDING_COLUMNS
-from marketlane.session import SPLITS, small_splits, split_bytes
+from marketlane.session import FORCED_SPLIT, SPLITS, hot_keys_split, small_splits, split_bytes
 from marketlane.sinks import tables as sinks
 from marketlane.sources import landing, storage
 from tests.shop_files import item, order, payment, product, user, write_categories, write_day
@@ -111,3 +113,62 @@ def test_splits_are_small_inside_only(spark):
     with small_splits(spark):
         assert split_bytes(spark) <= 32 << 20
     assert spark.conf.get(SPLITS) == before
+
+
+def as_uuid(name: str) -> str:
+    return f"00000000-0000-0000-0000-{name.encode().hex():0>12}"
+
+
+def judged_items(spark, rows, mark):
+    staged = landed(spark, "order_items", rows)
+    products = unknown_keys(staged, "product_id", spark.createDataFrame([(as_uuid("p"), D1)], "product_id string, first_ds date"), "product_id", "_source_date")
+    orders = spark.createDataFrame([(as_uuid(f"o{i}"), D2 if i == 4 else D1) for i in range(5)], "order_id string, first_ds date")
+    return promote.classify_items(staged, None, orders, unknown_products=products, mark=mark)
+
+
+def test_marked_items_give_the_same_winners(spark):
+    ids = [as_uuid("j"), as_uuid("k"), as_uuid("j").upper(), None, as_uuid("l")]
+    names = lambda order, product: {"order_id": order and as_uuid(order), "product_id": as_uuid(product)}
+    rows = [
+        ({"order_item_id": ids[i % 5], **names(f"o{i % 6}" if i % 11 else None, "p" if i % 7 else "x"), "quantity": str(i % 4 - 1), "unit_price": str(i % 3)}, D1 if i % 2 else D2)
+        for i in range(120)
+    ]
+    rows += [({"order_item_id": as_uuid(f"s{i // 3}"), **names(f"o{i // 3 % 4}", "p"), "quantity": "1", "unit_price": str(i % 2)}, D2) for i in range(30)]
+    for uuid_ids in (False, True):
+        stored = {}
+        keep = lambda name, frame: stored.setdefault(name, frame)
+        want = promote.split_items(judged_items(spark, rows, False), uuid_ids=uuid_ids)
+        got = promote.split_items(judged_items(spark, rows, True), uuid_ids=uuid_ids, keep=keep)
+        assert lines(got.accepted) == lines(want.accepted) and got.accepted.columns == want.accepted.columns
+        assert lines(got.rejected) == lines(want.rejected)
+        # Copies inside one order are told apart before; only ids of several orders are still compared.
+        several = {i for i in ids if i and not (uuid_ids and i.isupper())}
+        assert {r.order_item_id for r in stored["copied_order_item_id"].collect()} == several
+
+
+def test_items_are_marked_where_they_meet_their_orders(spark):
+    n = F.col("id")
+    order = F.when(n % 3 == 0, "hot").when(n % 10 == 1, None).otherwise(F.concat(F.lit("o"), (n / 4).cast("int")))
+    rows = spark.range(0, 30_000, 1, 8).select((n % 20_000).cast("string").alias("item"), order.alias("order_id"), F.lit(D1).alias("day"))
+    known = first_seen(rows.where("order_id is not null").select("order_id", F.col("day").alias("_source_date")), "order_id")
+    found = lookup_key(rows, "order_id", known, "order_id", "ok", "day", probe=True)
+    changed = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2000",
+    }
+    before = {k: spark.conf.get(k) for k in [*changed, FORCED_SPLIT]}
+    mark = lambda: mark_first(found, "_probe", "item", ["day"], F.col("ok"), "first")
+    want = found.where("ok").select("_probe", "item").distinct().count()
+    try:
+        for k, v in changed.items():
+            spark.conf.set(k, v)
+        moved = lambda frame: len(re.findall("Exchange hashpartitioning", plan(frame)))
+        assert moved(mark()) == moved(found)
+        with hot_keys_split(spark):
+            out = mark()
+            assert sum(r.first for r in out.collect()) == want
+            assert "SortMergeJoin(skew=true)" in plan(out)
+        assert spark.conf.get(FORCED_SPLIT) == before[FORCED_SPLIT]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
