@@ -1,6 +1,8 @@
 """Facts from two streams in any order of arrival against the batch build."""
 
+import glob
 import random
+import zipfile
 import zlib
 
 import pytest
@@ -107,3 +109,16 @@ def test_state_lies_on_disk(spark, tmp_path, lookups):
     query = ingest(spark, tmp_path, [make_orders(spark, [("o1", "u1", 1)])], [make_items(spark, [("i1", "o1", "p1", 1, 2)])], lookups)
     assert "rocksdbPutCount" in query.recentProgress[0].stateOperators[0].customMetrics
     assert spark.conf.get(name) == before
+
+
+def test_state_files_are_compressed_closely_and_set_no_space_aside(spark, tmp_path, lookups):
+    before = {k: spark.conf.get(k, None) for k in two_streams.STATE_STORE}
+    ingest(spark, tmp_path, [make_orders(spark, [("o1", "u1", 1)])], [make_items(spark, [("i1", "o1", "p1", 1, 2)])], lookups)
+    files = glob.glob(f"{tmp_path}/state/state/0/*/*/1.zip")
+    assert len(files) == 4 * 8  # four stores a partition
+    for name in files:
+        with zipfile.ZipFile(name) as file:
+            options = next(file.read(n).decode() for n in file.namelist() if n.startswith("OPTIONS"))
+        lines = {line.strip() for line in options.splitlines()}
+        assert {"compression=kZSTD", "block_size=16384", "allow_fallocate=false"} <= lines
+    assert {k: spark.conf.get(k, None) for k in two_streams.STATE_STORE} == before
