@@ -9,6 +9,7 @@ import pytest
 from marketlane.llm import language_model as lm
 from marketlane.llm.common import table
 from marketlane.llm.elias_fano import EliasFano, TrieLevel
+from marketlane.llm.queries import op8_lm_scoring
 from tests.llm.frames import ODD, documents
 
 
@@ -126,3 +127,43 @@ def test_odd_rows(spark):
 def test_model_is_kept_as_levels(spark, small):
     rows = lm.tries(table(spark, small, "documents"), group_bytes=200_000).collect()
     assert rows and all(TrieLevel.from_buffer(bytes(r["trie"])).contexts.n > 0 for r in rows)
+
+
+def prose(n=300):
+    """Texts of few words, so that n-grams of every length repeat, some texts twice."""
+    rng = np.random.default_rng(8)
+    texts = [" ".join(f"w{int(w)}" for w in rng.zipf(1.3, rng.integers(1, 60)) % 40) for _ in range(n)]
+    return list(enumerate(texts + texts[:40]))
+
+
+def test_query_scores_by_trigrams_of_the_whole_corpus(spark, tmp_path):
+    documents(spark, prose()).write.parquet(f"{tmp_path}/documents.parquet")
+    close(op8_lm_scoring(spark, str(tmp_path)).collect(), list(plain(prose(), 3)))
+
+
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_the_cut_changes_no_score(spark, order):
+    docs = documents(spark, prose())
+    one = {r["doc_id"]: tuple(r) for r in lm.scores(docs, order).collect()}
+    for r in lm.scores(docs, order, group_bytes=2_000).collect():
+        assert tuple(r) == pytest.approx(one[r["doc_id"]], rel=1e-9)
+
+
+def test_kept_levels_hold_one_set_of_discounts(spark):
+    docs = documents(spark, prose())
+    kept = {}
+    for size in (1 << 20, 2_000):
+        found = [(r["level"], TrieLevel.from_buffer(bytes(r["trie"]))) for r in lm.tries(docs, 3, size).collect()]
+        kept[size] = sorted((k, *map(int, x)) for k, t in found for x in zip(t.contexts[np.arange(t.contexts.n)], t.weights))
+    assert {k for k, *_ in kept[2_000]} == {2, 3}
+    assert kept[2_000] == kept[1 << 20]
+
+
+def test_sequences_answer_few_and_many_alike():
+    rng = np.random.default_rng(5)
+    values = np.sort(rng.integers(0, 1 << 40, 2000, dtype=np.uint64))
+    s = EliasFano.of(values)
+    asked = np.concatenate([values[::3], rng.integers(0, 1 << 41, 4000, dtype=np.uint64)])
+    at, equal = s.find(asked)
+    few = [s.find(part) for part in np.array_split(asked, 50)]
+    assert (equal == np.concatenate([e for _, e in few])).all() and (at[equal] == np.concatenate([a for a, _ in few])[equal]).all()
